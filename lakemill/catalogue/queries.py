@@ -273,10 +273,9 @@ def flatten_quality_summary(spark, sf):
     return missions.quality_summary(missions.quality_flags(missions.curated(missions.clean(rows))))
 
 
-def _one_file_per_row(df: DataFrame, name: str, folder: str) -> str:
-    """Write each text to a file of its own in a folder named after it; the path to read."""
-    df.repartition(name).write.partitionBy(name).text(folder)
-    return f"{folder}/*/*.txt"
+def _one_file_per_row(texts: DataFrame, folder: str) -> str:
+    texts.write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
 
 
 @_query
@@ -293,12 +292,8 @@ def documents_from_files(spark, sf):
         ),
         {"pretty": "true"},
     )
-    files = _one_file_per_row(
-        suppliers.select(F.concat(F.lit("S 100% "), "s_suppkey").alias("supplier"), document.alias("value")),
-        "supplier",
-        shared_folder(spark, "documents"),
-    )
-    rows = flatten.flatten_documents(read_documents(spark, files))
+    folder = _one_file_per_row(suppliers.select(document), shared_folder(spark, "documents"))
+    rows = flatten.flatten_documents(read_documents(spark, folder, ".txt"))
     return rows.select("person_pos", "role_pos", *MISSION_COLUMNS)
 
 
@@ -321,10 +316,8 @@ def index_from_files(spark, sf):
         F.struct(F.concat(F.lit(root), F.col("s_nationkey").cast("string")).alias("mission")),
     )
     document = F.to_json(F.struct(entries.alias("data")), {"pretty": "true"})
-    files = _one_file_per_row(
-        suppliers.select("s_suppkey", document.alias("value")), "s_suppkey", shared_folder(spark, "index")
-    )
-    return flatten.index_entries(read_index(spark, files))
+    folder = _one_file_per_row(suppliers.select(document), shared_folder(spark, "index"))
+    return flatten.index_entries(read_index(spark, folder))
 
 
 # --- missions ------------------------------------------------------------------------
