@@ -232,7 +232,7 @@ def dq_results_log(spark, sf):
     _, schema = _scratch(spark, "dq")
     orders = silver.silver_orders(b.raw_orders(spark, sf))
     lines = silver.silver_sales(b.raw_sales(spark, sf))
-    checks = quality.silver_checks(orders, lines, F.lit(_AS_OF).cast("timestamp"))
+    checks = quality.silver_checks(orders, lines, _AS_OF)
     quality.store_results(checks, f"{schema}.dq_results")
     return _logged(quality.latest_results(read_table(spark, f"{schema}.dq_results")))
 
@@ -246,7 +246,7 @@ def dq_battery(spark, sf):
         "daily_revenue": gold.daily_revenue(orders, stale),
         "top_products": gold.top_products(stale, tables["products"]),
     }
-    return _logged(quality.battery(tables, marts, F.lit(_AS_OF).cast("timestamp")))
+    return _logged(quality.battery(tables, marts, _AS_OF))
 
 
 # --- documents -----------------------------------------------------------------------
@@ -474,7 +474,8 @@ def _land_events(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     """Events in one folder per day, as they would arrive over time."""
     events = b.table(spark, sf, "events")
     days = events.withColumn("day", F.col("ts").cast("date"))
-    days.repartition("day").write.partitionBy("day").parquet(f"{folder}/landing")
+    # in range order of day and event, so that a busy day is written by several tasks
+    days.repartitionByRange("day", "event_id").write.partitionBy("day").parquet(f"{folder}/landing")
     return events
 
 

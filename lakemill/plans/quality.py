@@ -7,6 +7,7 @@ the differing groups; :func:`log_entries` turns counts into stored PASS/FAIL res
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,13 +155,17 @@ def bad_rows(df: DataFrame, bad: Column) -> DataFrame:
     return df.where(bad).agg(F.count("*").alias("bad_count"))
 
 
+def _check_time(as_of: datetime | str | None) -> Column:
+    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+
+
 def log_entries(
-    count: DataFrame, layer: str, table: str, check: str, as_of: Column | None = None
+    count: DataFrame, layer: str, table: str, check: str, as_of: datetime | str | None = None
 ) -> DataFrame:
     """Result row of a check from its one-row count, counted once for status and number."""
     bad = F.col(count.columns[0])
     return count.select(
-        (F.current_timestamp() if as_of is None else as_of).alias("check_ts"),
+        _check_time(as_of).alias("check_ts"),
         F.lit(layer).alias("layer"),
         F.lit(table).alias("table_name"),
         F.lit(check).alias("check_name"),
@@ -170,7 +175,7 @@ def log_entries(
 
 
 def silver_checks(
-    orders: DataFrame, sales: DataFrame, as_of: Column | None = None
+    orders: DataFrame, sales: DataFrame, as_of: datetime | str | None = None
 ) -> DataFrame:
     """The stored checks of the silver layer."""
     return union_labelled([
@@ -181,7 +186,7 @@ def silver_checks(
 
 
 def battery(
-    silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], as_of: Column | None = None
+    silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], as_of: datetime | str | None = None
 ) -> DataFrame:
     """Every check with a pass rule as result rows; each silver table is profiled in one scan."""
     entries = []
@@ -203,7 +208,7 @@ def battery(
             for check, bad in checks.items()
         ))).alias("c"))
         entries.append(long.select(
-            (F.current_timestamp() if as_of is None else as_of).alias("check_ts"),
+            _check_time(as_of).alias("check_ts"),
             F.lit("silver").alias("layer"),
             F.lit(name).alias("table_name"),
             F.col("c.check").alias("check_name"),

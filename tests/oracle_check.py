@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import os
 import sys
 import time
 from collections import Counter
@@ -65,8 +66,10 @@ def main() -> None:
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_TIMEZONE", "UTC"))
+        .config("spark.sql.ansi.enabled", os.environ.get("CHECK_ANSI", "true"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,55 @@
+"""Every query against its SQL oracle on the smallest driver tables, and plan rules."""
+
+import re
+from pathlib import Path
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from conftest import plan_of
+from oracle_check import compare, oracle
+
+SMALL = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="driver tables are missing")
+
+
+@pytest.fixture(scope="module")
+def db():
+    return oracle(SMALL)
+
+
+@pytest.mark.parametrize("name", list(queries()))
+def test_query_equals_its_oracle(spark, db, name):
+    assert compare(spark, db, name, SMALL) == ""
+
+
+def test_entry(spark):
+    assert entry(spark).columns == ["order_date", "total_revenue", "line_count", "order_count", "unique_customers"]
+
+
+def test_only_the_unordered_preview_has_no_oracle():
+    assert set(queries()) - set(oracle_sql()) == {"bronze_preview"}
+    assert set(oracle_sql()) <= set(queries())
+
+
+WRITERS = {
+    "silver_orders_replaced", "dq_results_log", "documents_from_files", "index_from_files", "bronze_csv_roundtrip",
+    "bronze_appended_twice", "bronze_preview", "csv_to_parquet", "parquet_export", "path_append", "flat_csv_roundtrip",
+    "flat_parquet_roundtrip", "external_table", "empty_table_like_files", "clustered_rewrite", "stream_ingest",
+    "stream_continuous", "bulk_load_idempotent", "medallion_layers", "medallion_results",
+}
+
+
+@pytest.mark.parametrize("name", [n for n in queries() if n not in WRITERS])
+def test_plans_scale(spark, name):
+    """No cross join, no nested loop, no Python, no window over one partition, at any table size."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(queries()[name](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert not re.search(r"CartesianProduct|NestedLoop|Python|ArrowEval|BroadcastHashJoin|InPandas", plan)
+    for window in re.finditer(r"Window \[", plan):
+        below = plan[window.end():]
+        assert below.index("hashpartitioning") < below.find("SinglePartition") or "SinglePartition" not in below

@@ -1,0 +1,125 @@
+"""CSV and Parquet sources and sinks, table maintenance."""
+
+import pytest
+
+from conftest import rows
+from lakemill.config import RetailRun
+from lakemill.plans import bronze, silver
+from lakemill.schemas import MISSION_SCHEMA, RETAIL_COLUMNS, text_schema
+from lakemill import sinks, sources, storage
+
+
+@pytest.fixture
+def exports(tmp_path):
+    folder = tmp_path / "customers"
+    folder.mkdir()
+    head = ",".join(RETAIL_COLUMNS["customers"])
+    (folder / "one.csv").write_text(f"{head}\n1,Ada,One,u1@example.com,2023-01-05,UK\n2,Bo,\"Two, Jr\",,bad date,\n")
+    (folder / "two.csv").write_text(f"{head}\n1,Ada,One,u1@example.com,2023-01-06,UK\nx,Cy,Three,u3@example.com,,US\n")
+    (folder / "notes.txt").write_text("not a table")
+    return tmp_path
+
+
+def test_csv_directory_pattern_and_file(spark, exports):
+    schema = text_schema(RETAIL_COLUMNS["customers"])
+    for path, n in (("customers", 4), ("customers/*.csv", 4), ("customers/two.csv", 2)):
+        assert sources.read_csv(spark, f"{exports}/{path}", schema).count() == n
+    read = sources.read_csv(spark, f"{exports}/customers", schema)
+    assert {t for _, t in read.dtypes} == {"string"}
+    assert read.where("customer_id = '2'").first().last_name == "Two, Jr"
+
+
+def test_csv_inference(spark, exports):
+    inferred = sources.read_csv(spark, f"{exports}/customers/one.csv")
+    assert dict(inferred.dtypes)["customer_id"] == "int"
+
+
+def test_csv_of_another_shape_is_refused(spark, exports):
+    (exports / "customers" / "odd.csv").write_text("a,b,c,d,e,f\n1,2,3,4,5,6\n")
+    with pytest.raises(Exception, match="CSV header"):
+        sources.read_csv(spark, f"{exports}/customers", text_schema(RETAIL_COLUMNS["customers"])).collect()
+
+
+def test_bronze_appends_and_silver_conforms(spark, schema, exports):
+    run = RetailRun(landing=str(exports), bronze=schema)
+    for _ in range(2):
+        bronze.ingest_export(spark, run, "customers")
+    raw = spark.table(run.table("bronze", "customers"))
+    assert raw.count() == 8 and raw.columns[-1] == "_ingest_ts"
+    assert bronze.preview(spark, run.table("bronze", "customers"), 5).count() == 5
+    conformed = silver.silver_customers(raw).drop("_ingest_ts")
+    assert [(r.customer_id, str(r.signup_date)) for r in conformed.orderBy("customer_id").collect()] == [
+        (None, "None"), (1, "2023-01-05"), (2, "None"),
+    ]
+    bronze.ingest_export(spark, RetailRun(landing=str(exports), bronze=schema, bronze_mode="overwrite"), "customers")
+    assert spark.table(run.table("bronze", "customers")).count() == 4
+
+
+FLAT = [
+    ("M", "01/02/1992", "", "a, \"b\"", "line\nbreak", "É", ""),
+    ("", "", "", "", "", "", ""),
+]
+
+
+def test_flat_csv_keeps_empty_text_quotes_and_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame(FLAT, MISSION_SCHEMA)
+    sinks.write_flat_csv(df.coalesce(1), f"{tmp_path}/csv")
+    assert rows(sources.read_flat_csv(spark, f"{tmp_path}/csv")) == sorted(FLAT)
+    text = next((tmp_path / "csv").glob("*.csv")).read_text()
+    assert text.startswith(",".join(MISSION_SCHEMA.names)) and '"a, ""b"""' in text and text.endswith(",,,,,,\n")
+    sinks.write_flat_csv(df.limit(0), f"{tmp_path}/none")
+    assert sources.read_flat_csv(spark, f"{tmp_path}/none").count() == 0
+    assert next((tmp_path / "none").glob("*.csv")).read_text().strip() == ",".join(MISSION_SCHEMA.names)
+
+
+def test_flat_parquet(spark, tmp_path):
+    df = spark.createDataFrame(FLAT, MISSION_SCHEMA)
+    sinks.write_flat_parquet(df, f"{tmp_path}/p")
+    assert rows(sources.read_parquet(spark, f"{tmp_path}/p")) == sorted(FLAT)
+    assert rows(sources.files_as_table(spark, f"{tmp_path}/p")) == sorted(FLAT)
+
+
+def test_path_write_modes(spark, tmp_path):
+    path = f"{tmp_path}/x y[1]"
+    sinks.write_path(spark.range(3), path, "append")
+    sinks.write_path(spark.range(3), path, "append")
+    assert spark.read.parquet(storage.escape_glob(path)).count() == 6
+    with pytest.raises(ValueError, match="cannot append"):
+        sinks.write_path(spark.range(3).selectExpr("cast(id AS string) AS id"), path, "append")
+    sinks.write_path(spark.range(3).selectExpr("'a' AS b"), path, "overwrite")
+    assert spark.read.parquet(storage.escape_glob(path)).columns == ["b"]
+
+
+def test_convert_csv_of_one_shape(spark, exports):
+    sinks.convert_csv(spark, f"{exports}/customers", f"{exports}/out", text_schema(RETAIL_COLUMNS["customers"]))
+    out = spark.read.parquet(f"{exports}/out")
+    assert rows(out.groupBy("source").count()) == [("one", 2), ("two", 2)]
+
+
+def test_convert_csv_of_different_shapes(spark, exports):
+    (exports / "customers" / "x%20y.csv").write_text("a\n1\n2\n")
+    written = sinks.convert_each_csv(spark, f"{exports}/customers", f"{exports}/each")
+    assert [w.rsplit("/", 1)[-1] for w in written] == ["one.parquet", "two.parquet", "x%20y.parquet"]
+    assert spark.read.parquet(written[0]).columns == list(RETAIL_COLUMNS["customers"])
+    assert rows(spark.read.parquet(written[2])) == [(1,), (2,)]
+
+
+def test_tables(spark, schema, tmp_path):
+    table = f"{schema}.t"
+    sinks.replace_table(spark.range(2), table)
+    sinks.replace_table(spark.createDataFrame([("a", 1)], "x string, y int"), table)
+    assert spark.table(table).columns == ["x", "y"]
+    sinks.append_table(spark.createDataFrame([(2, "b")], "y int, x string"), table)
+    assert rows(sources.read_table(spark, table)) == [("a", 1), ("b", 2)]
+    sinks.export_parquet(spark.table(table), f"{tmp_path}/export")
+    sinks.empty_table_like(spark, f"{schema}.empty", f"{tmp_path}/export")
+    assert spark.table(f"{schema}.empty").dtypes == [("x", "string"), ("y", "int")]
+    assert spark.table(f"{schema}.empty").count() == 0
+    sinks.comment_on(spark, table, "it's a \\ table")
+    assert spark.catalog.getTable(table).description == "it's a \\ table"
+
+
+def test_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    one, two = storage.shared_folder(spark, "a"), storage.shared_folder(spark, "a")
+    assert one != two and one.startswith(f"{root}/lakemill/a-")

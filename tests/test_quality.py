@@ -1,0 +1,130 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from lakemill.plans import gold, quality
+
+AS_OF = "2024-06-01 12:00:00"
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    customers = spark.createDataFrame([(1, "Ada"), (2, "Bo"), (None, "Cy")], "customer_id long, first_name string")
+    products = spark.createDataFrame(
+        [(10, "P_010", "Audio"), (11, "P_011", "Office"), (11, "P_011", "Office")],
+        "product_id long, product_name string, category string",
+    )
+    orders = spark.createDataFrame(
+        [(100, 1, "2024-03-01", "PAID"), (101, 1, "2024-03-01", "NEW"), (102, None, "2024-03-02", "PAID"), (103, 9, None, None)],
+        "order_id long, customer_id long, order_date string, order_status string",
+    ).withColumn("order_date", F.col("order_date").cast("date"))
+    sales = spark.createDataFrame(
+        [
+            (900, 100, 10, 2, "20.00", "0.10", "36.00"),
+            (901, 101, 11, 1, "5.50", "0.00", "5.52"),
+            (902, 100, 99, 0, "7.00", "1.50", "-3.50"),
+            (902, None, None, None, "-1.00", None, None),
+        ],
+        "sale_id long, order_id long, product_id long, quantity int, unit_price string, discount_pct string, line_total string",
+    ).withColumns({
+        "unit_price": F.col("unit_price").cast("decimal(18,2)"),
+        "discount_pct": F.col("discount_pct").cast("decimal(5,2)"),
+        "line_total": F.col("line_total").cast("decimal(18,2)"),
+    })
+    return {"customers": customers, "products": products, "orders": orders, "sales": sales}
+
+
+def test_row_counts(silver):
+    counts = quality.layer_row_counts(silver, {**silver, "sales": silver["sales"].limit(0)})
+    assert rows(counts) == [("customers", 3, 3), ("orders", 4, 4), ("products", 3, 3), ("sales", 4, 0)]
+    assert rows(quality.distinct_row_counts(silver["sales"], silver["orders"], silver["customers"])) == [(3,), (4,)]
+
+
+def test_keys(silver):
+    assert rows(quality.missing_keys(silver)) == [
+        ("customers.customer_id", 1), ("orders.order_id", 0), ("products.product_id", 0), ("sales.sale_id", 0),
+    ]
+    assert rows(quality.key_uniqueness(silver)) == [
+        ("customers", 3, 2), ("orders", 4, 4), ("products", 3, 2), ("sales", 4, 3),
+    ]
+
+
+def test_orphans(silver):
+    assert quality.orphan_orders_customers(silver["orders"], silver["customers"]).first()[0] == 2
+    assert quality.orphan_sales_orders(silver["sales"], silver["orders"]).first()[0] == 1
+    assert quality.orphan_sales_products(silver["sales"], silver["products"]).first()[0] == 2
+
+
+def test_domain_and_numbers(silver):
+    assert [tuple(r) for r in quality.status_profile(silver["orders"]).collect()] == [("PAID", 2), (None, 1), ("NEW", 1)]
+    assert tuple(quality.numeric_sanity(silver["sales"]).first()) == (1, 1, 1, 1)
+    assert tuple(quality.numeric_sanity(silver["sales"].limit(0)).first()) == (None,) * 4
+
+
+def test_line_totals_within_a_cent_pass_and_null_is_ignored(silver):
+    assert quality.mismatched_line_totals(silver["sales"]).first()[0] == 2
+    exact = silver["sales"].where("sale_id = 901").withColumn("line_total", F.lit(Decimal("5.51")))
+    assert quality.mismatched_line_totals(exact).first()[0] == 0
+
+
+def test_reconcile(silver):
+    orders, sales = silver["orders"], silver["sales"]
+    daily = gold.daily_revenue(orders, sales)
+    assert quality.reconcile_daily(daily, orders, sales).count() == 0
+    off = daily.withColumn("total_revenue", F.col("total_revenue") + F.lit(Decimal("0.02")))
+    found = quality.reconcile_daily(off, orders, sales).collect()
+    assert [(str(r.order_date), r.diff) for r in found] == [("2024-03-01", Decimal("-0.02"))]
+    cent = daily.withColumn("total_revenue", F.col("total_revenue") + F.lit(Decimal("0.01")))
+    assert quality.reconcile_daily(cent, orders, sales).count() == 0
+    gone = quality.reconcile_daily(daily.limit(0), orders, sales).collect()
+    assert [(r.gold_revenue, r.diff) for r in gone] == [(None, Decimal("38.02"))]
+
+    products = gold.top_products(sales, silver["products"].distinct())
+    assert quality.reconcile_products(products, sales).count() == 0
+    wrong = products.withColumn("total_qty", F.col("total_qty") + 1)
+    assert rows(quality.reconcile_products(wrong, sales).select("product_id")) == [(10,), (11,), (99,)]
+    # a key whose sums are 0 or NULL on one side and missing on the other is not reported
+    zero = products.where("product_id IS NOT NULL")
+    assert quality.reconcile_products(zero, sales).count() == 0
+
+
+def test_results_are_stored_by_name(spark, schema, silver):
+    table = f"{schema}.dq_results"
+    checks = quality.silver_checks(silver["orders"], silver["sales"], AS_OF)
+    quality.store_results(checks, table)
+    later = "2024-06-02 12:00:00"
+    shuffled = quality.silver_checks(silver["orders"], silver["sales"], later)
+    quality.store_results(shuffled.select(*reversed(shuffled.columns)), table)
+    latest = [tuple(r)[1:] for r in quality.latest_results(spark.table(table), 3).collect()]
+    assert latest == [
+        ("silver", "orders", "order_id_not_null", "PASS", 0),
+        ("silver", "sales", "line_total_not_null", "FAIL", 1),
+        ("silver", "sales", "orphan_sales_orders", "FAIL", 1),
+    ]
+    assert spark.table(table).count() == 6
+    assert quality.latest_results(spark.table(table), 4).first().check_ts.day == 2
+
+
+def test_battery_logs_every_check(silver):
+    orders, sales = silver["orders"], silver["sales"]
+    marts = {
+        "daily_revenue": gold.daily_revenue(orders, sales),
+        "top_products": gold.top_products(sales, silver["products"]),  # the repeated product doubles its sums
+    }
+    log = {(r.table_name, r.check_name): (r.status, r.bad_count) for r in quality.battery(silver, marts, AS_OF).collect()}
+    assert len(log) == 19
+    assert log["customers", "customer_id_not_null"] == ("FAIL", 1)
+    assert log["customers", "customer_id_unique"] == ("FAIL", 1)
+    assert log["orders", "order_id_unique"] == ("PASS", 0)
+    assert log["sales", "bad_discount"] == ("FAIL", 1)
+    assert log["sales", "line_total_mismatch"] == ("FAIL", 2)
+    assert log["orders", "orphan_orders_customers"] == ("FAIL", 2)
+    assert log["daily_revenue", "daily_revenue_matches_silver"] == ("PASS", 0)
+    assert log["top_products", "top_products_matches_silver"] == ("FAIL", 1)
+
+
+def test_entries_default_to_the_current_time(silver):
+    entry = quality.log_entries(quality.bad_rows(silver["sales"], F.col("quantity") < 0), "silver", "sales", "x")
+    assert entry.first().check_ts is not None and entry.first().status == "PASS"
