@@ -13,12 +13,27 @@ Some columns are bent so that the checks have something to find:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 
 
+def _hundredths(number: Column) -> Column:
+    """A double with two decimals as a whole number of hundredths."""
+    return F.floor(number * 100 + 0.5)
+
+
+def _exact(number: Column, kind: str = MONEY) -> Column:
+    """A double with two decimals as an exact decimal.
+
+    Built from the hundredths, as the direct cast goes through text for every row.
+    """
+    return (_hundredths(number).cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast(kind)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,7 +59,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast(MONEY).alias("list_price"),
+        _exact(F.col("p_retailprice")).alias("list_price"),
     )
 
 
@@ -59,19 +74,19 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    price = F.col("l_extendedprice").cast(MONEY)
-    discount = F.col("l_discount").cast("decimal(5,2)")
+    price = _exact(F.col("l_extendedprice"), "decimal(12,2)")
+    discount = _exact(F.col("l_discount"), "decimal(3,2)")
     returned = F.col("l_returnflag") == "R"
     quantity = F.col("l_quantity").cast("int")
     total = (price * (F.lit(1) - discount)).cast(MONEY)
-    cents = F.floor((price * 100).cast("bigint") / F.col("l_quantity")).cast("decimal(18,0)")
+    unit_price = F.floor(_hundredths(F.col("l_extendedprice")) / F.col("l_quantity")) / 100
     return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"),
         (F.col("l_orderkey") + F.col("l_linenumber") - 1).alias("order_id"),
         (F.col("l_partkey") + F.col("l_linenumber")).alias("product_id"),
         F.when(returned, -quantity).otherwise(quantity).alias("quantity"),
-        (cents / 100).cast(MONEY).alias("unit_price"),
-        discount.alias("discount_pct"),
+        _exact(unit_price).alias("unit_price"),
+        discount.cast("decimal(5,2)").alias("discount_pct"),
         F.when(returned, -total).otherwise(total).alias("line_total"),
         F.col("l_linestatus").alias("line_status"),
         F.col("l_shipdate").cast("timestamp").alias("_ingest_ts"),
@@ -134,7 +149,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     active = F.when(F.col("p_size") > 25, "True").when(F.col("p_size") > 10, "False").otherwise("unclear")
 
     def load(extra: int, day: str) -> DataFrame:
-        price = F.col("p_retailprice").cast(MONEY) + F.lit(extra)
+        price = _exact(F.col("p_retailprice")) + F.lit(extra)
         return base.select(
             F.col("p_partkey").cast("string").alias("product_id"),
             F.col("p_name").alias("product_name"),

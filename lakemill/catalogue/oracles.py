@@ -398,7 +398,7 @@ ORACLES: dict[str, str] = {
     "flat_csv_roundtrip": _with(DOCUMENTS) + f"SELECT {_FLAT_COLUMNS} FROM flat",
     "flat_parquet_roundtrip": _with(DOCUMENTS) + f"SELECT {_FLAT_COLUMNS} FROM flat",
     "external_table": _with(MISSIONS) + "SELECT * FROM flagged",
-    "empty_table_like_files": "SELECT * FROM customer WHERE 1 = 0",
+    "empty_table_like": "SELECT * FROM customer WHERE 1 = 0",
     "clustered_rewrite": _with(MISSIONS) + f"SELECT {_FLAT_COLUMNS} FROM mission_rows",
     # streams
     "stream_ingest": _EVENTS,

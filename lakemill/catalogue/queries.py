@@ -24,7 +24,7 @@ from lakemill.sinks import (
     append_table,
     convert_csv,
     create_schema,
-    empty_table_like,
+    empty_table_like as make_empty_table,
     export_parquet,
     replace_table,
     write_flat_csv,
@@ -453,9 +453,9 @@ def external_table(spark, sf):
 
 
 @_query
-def empty_table_like_files(spark, sf):
+def empty_table_like(spark, sf):
     _, schema = _scratch(spark, "empty")
-    empty_table_like(spark, f"{schema}.customers", f"{sf}/customer.parquet")
+    make_empty_table(spark, f"{schema}.customers", f"{sf}/customer.parquet")
     return read_table(spark, f"{schema}.customers")
 
 
@@ -508,7 +508,7 @@ def stream_continuous(spark, sf):
 def bulk_load_idempotent(spark, sf):
     folder, schema = _scratch(spark, "bulk")
     export_parquet(b.table(spark, sf, "events").drop("ts"), f"{folder}/landing")
-    empty_table_like(spark, f"{schema}.events", f"{folder}/landing")
+    make_empty_table(spark, f"{schema}.events", f"{folder}/landing")
     for _ in range(2):
         bulk_load(spark, f"{folder}/landing", f"{schema}.events", f"{folder}/ledger")
     return read_table(spark, f"{schema}.events")

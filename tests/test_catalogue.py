@@ -35,7 +35,7 @@ def test_only_the_unordered_preview_has_no_oracle():
 WRITERS = {
     "silver_orders_replaced", "dq_results_log", "documents_from_files", "index_from_files", "bronze_csv_roundtrip",
     "bronze_appended_twice", "bronze_preview", "csv_to_parquet", "parquet_export", "path_append", "flat_csv_roundtrip",
-    "flat_parquet_roundtrip", "external_table", "empty_table_like_files", "clustered_rewrite", "stream_ingest",
+    "flat_parquet_roundtrip", "external_table", "empty_table_like", "clustered_rewrite", "stream_ingest",
     "stream_continuous", "bulk_load_idempotent", "medallion_layers", "medallion_results",
 }
 
