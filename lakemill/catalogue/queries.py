@@ -274,7 +274,9 @@ def flatten_quality_summary(spark, sf):
 
 
 def _one_file_per_row(texts: DataFrame, folder: str) -> str:
-    texts.write.option("maxRecordsPerFile", 1).text(folder)
+    """Write each text to a file of its own, with all cores."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    texts.repartition(cores).write.option("maxRecordsPerFile", 1).text(folder)
     return folder
 
 

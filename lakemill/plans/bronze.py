@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemill.config import RetailRun
+from lakemill.plans.together import together
 from lakemill.schemas import RETAIL_COLUMNS, text_schema
 from lakemill.sinks import append_table, create_schema, replace_table
 from lakemill.sources import ingest_stamp, read_csv, read_table
@@ -20,8 +23,7 @@ def ingest_export(spark: SparkSession, run: RetailRun, name: str) -> None:
 
 def build_bronze(spark: SparkSession, run: RetailRun) -> None:
     create_schema(spark, run.schema_of("bronze"))
-    for name in RETAIL_COLUMNS:
-        ingest_export(spark, run, name)
+    together(spark, (partial(ingest_export, spark, run, name) for name in RETAIL_COLUMNS))
 
 
 def preview(spark: SparkSession, table: str, n: int = 10) -> DataFrame:

@@ -8,11 +8,14 @@ of joining first, also for repeated or missing keys on either side.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.config import RetailRun
 from lakemill.operators.topk import largest, top
+from lakemill.plans.together import together
 from lakemill.sinks import create_schema, replace_table
 from lakemill.sources import read_table
 
@@ -106,5 +109,8 @@ def build_gold(spark: SparkSession, run: RetailRun) -> None:
         "top_products": top_products(sales, products),
         "customer_360": customer_360(customers, orders, sales),
     }
-    for name, mart in marts.items():
-        replace_table(mart, run.table("gold", name), run.table_format)
+    writes = (
+        partial(replace_table, mart, run.table("gold", name), run.table_format)
+        for name, mart in marts.items()
+    )
+    together(spark, writes)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.config import RetailRun
 from lakemill.functions import typed
 from lakemill.operators.dedup import any_per_key, distinct_rows, latest_per_key
+from lakemill.plans.together import together
 from lakemill.schemas import INGEST_TS, SILVER_TYPES
 from lakemill.sinks import create_schema, replace_table
 from lakemill.sources import read_table
@@ -45,6 +48,13 @@ def build_silver(spark: SparkSession, run: RetailRun) -> None:
         "orders": silver_orders,
         "sales": lambda bronze: silver_sales(bronze, run.dedupe_sales),
     }
-    for name, plan in plans.items():
-        bronze = read_table(spark, run.table("bronze", name))
-        replace_table(plan(bronze), run.table("silver", name), run.table_format)
+    writes = (
+        partial(
+            replace_table,
+            plan(read_table(spark, run.table("bronze", name))),
+            run.table("silver", name),
+            run.table_format,
+        )
+        for name, plan in plans.items()
+    )
+    together(spark, writes)
