@@ -407,6 +407,7 @@ ORACLES: dict[str, str] = {
     # all layers
     "medallion_layers": _with(ORDERS, SALES, DAILY) + f"SELECT {_DAILY_COLUMNS} FROM daily",
 }
+ORACLES["stream_flatten"] = ORACLES["flatten_documents"]
 ORACLES["silver_orders_replaced"] = ORACLES["silver_orders_distinct"]
 
 _LAYER_CHECKS = [

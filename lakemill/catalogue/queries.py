@@ -40,7 +40,7 @@ from lakemill.sources import (
     read_table,
 )
 from lakemill.storage import shared_folder
-from lakemill.streaming import arriving_files, bulk_load, ingest_available, run_into
+from lakemill.streaming import arriving_files, bulk_load, drain_into, ingest_available, run_into
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -493,6 +493,16 @@ def stream_ingest(spark, sf):
     return read_table(spark, target).drop("ts", "ingest_ts")
 
 
+@_query
+def stream_flatten(spark, sf):
+    folder, schema = _scratch(spark, "stream")
+    documents = b.mission_documents(spark, sf)
+    export_parquet(documents, f"{folder}/landing")
+    arriving = arriving_files(spark, f"{folder}/landing", documents.schema)
+    drain_into(flatten.flatten_documents(arriving), f"{schema}.people", f"{folder}/ledger")
+    return read_table(spark, f"{schema}.people")
+
+
 @_query
 def stream_continuous(spark, sf):
     folder, schema = _scratch(spark, "stream")

@@ -7,9 +7,18 @@ from pyspark.sql import functions as F
 
 from lakemill.config import MissionRun
 from lakemill.functions import conditional_sum, empty_if_null, full_name, is_missing, us_date
+from lakemill.operators.flatten import document_report, flatten_documents
 from lakemill.operators.topk import counted, largest, top
-from lakemill.sinks import cluster_table, comment_on, create_schema, register_external, write_path
-from lakemill.sources import read_parquet
+from lakemill.sinks import (
+    cluster_table,
+    comment_on,
+    create_schema,
+    register_external,
+    write_flat_csv,
+    write_flat_parquet,
+    write_path,
+)
+from lakemill.sources import read_documents, read_parquet
 
 # Columns of the curated view, and the fields each quality flag looks at.
 CURATED_COLUMNS = (
@@ -81,6 +90,22 @@ def preview(people: DataFrame, k: int = 50) -> DataFrame:
     return top(people.select(*PREVIEW_COLUMNS), k, *PREVIEW_ORDER, "startDate", "endDate")
 
 
+def flatten_files(
+    spark: SparkSession, source: str, csv: str | None = None, parquet: str | None = None
+) -> DataFrame:
+    """Flatten document files into CSV and Parquet folders; returns the report per document.
+
+    Documents that cannot be read are in the report with a reason and stop nothing.
+    """
+    documents = read_documents(spark, source)
+    rows = flatten_documents(documents)
+    if csv:
+        write_flat_csv(rows, csv)
+    if parquet:
+        write_flat_parquet(rows, parquet)
+    return document_report(documents)
+
+
 def create_views(spark: SparkSession, run: MissionRun) -> None:
     """The curated view over the table and the quality view over the curated one."""
     columns = ", ".join(CURATED_COLUMNS)

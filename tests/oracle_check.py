@@ -16,6 +16,11 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean",
+}
+
+
 def _cell(value):
     if isinstance(value, (float, decimal.Decimal)):
         return round(float(value), 6)
@@ -45,6 +50,9 @@ def compare(spark: SparkSession, db: duckdb.DuckDBPyConnection, name: str, folde
     if name not in oracle_sql():
         return ""
     result = db.execute(oracle_sql()[name])
+    types = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in result.description}
+    if types != dict(df.dtypes):
+        return f"types {dict(df.dtypes)} instead of {types}"
     names, expected = _bag([d[0] for d in result.description], result.fetchall())
     if columns != names:
         return f"columns {columns} instead of {names}"

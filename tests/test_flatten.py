@@ -7,7 +7,8 @@ import pytest
 from conftest import plan_of, rows
 from lakemill.operators import flatten
 from lakemill.schemas import MISSION_COLUMNS
-from lakemill.sources import read_documents, read_index
+from lakemill.plans.missions import flatten_files
+from lakemill.sources import read_documents, read_flat_csv, read_index
 from lakemill.streaming import arriving_documents, drain_into
 
 
@@ -156,6 +157,20 @@ def test_streamed_documents_flatten_like_a_batch(spark, schema, tmp_path):
     assert rows(spark.table(f"{schema}.flat")) == rows(batch)
 
 
+def test_flatten_files(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for name in ("two roles", "no people"):
+        (landing / f"{name}.json").write_text(CASES[name][0])
+    (landing / "broken.json").write_text(REJECTS["broken"][0])
+    report = flatten_files(spark, str(landing), f"{tmp_path}/csv", f"{tmp_path}/parquet")
+    found = {r.file_path.rsplit("/", 1)[-1]: (r.reason, r.row_count) for r in report.collect()}
+    assert found == {"two roles.json": (None, 2), "no people.json": (None, 0), "broken.json": ("invalid JSON", 0)}
+    expected = [("M", "01/02/1992", "01/09/1992", "I", role, "F", "L") for role in ("CI", "PI")]
+    assert rows(read_flat_csv(spark, f"{tmp_path}/csv")) == expected
+    assert rows(spark.read.parquet(f"{tmp_path}/parquet")) == expected
+
+
 def test_index(spark, tmp_path):
     urls = [f"https://example.com/api/{n}" for n in ("A-1", "B%20II", "C", "D")]
     (tmp_path / "index.json").write_text(json.dumps({"data": [{"mission": u} for u in urls]}, indent=2))
