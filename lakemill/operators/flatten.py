@@ -15,16 +15,11 @@ from pyspark.sql import functions as F
 from lakemill.functions import empty_if_null, last_url_segment
 from lakemill.schemas import MISSION_COLUMNS
 
-DOCUMENT_TYPE = (
-    "struct<identifier string, startDate string, endDate string,"
-    " people array<struct<institution string, roles variant,"
-    " person struct<firstName string, lastName string>>>>"
-)
+PERSON_TYPE = "struct<institution string, roles variant, person struct<firstName string, lastName string>>"
+DOCUMENT_TYPE = f"struct<identifier string, startDate string, endDate string, people array<{PERSON_TYPE}>>"
 
-
-def _allow_repeated_keys(df: DataFrame) -> None:
-    """Let the last of several equal keys win, for the whole session."""
-    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+# A VARIANT holds at most 128 MiB, and a parsed document is smaller than twice its text.
+LARGE_DOCUMENT = 64 * 1024 * 1024
 
 
 def _framed(text: str) -> tuple[Column, Column]:
@@ -38,11 +33,61 @@ def _framed(text: str) -> tuple[Column, Column]:
     return framed, F.try_variant_get(framed, "$[1]", "bigint") == mark
 
 
-def _document(text: str) -> Column:
-    """Used fields of the document; NULL when the text is no JSON object."""
+def _large_document(text: str) -> Column:
+    """The same fields of a document beyond the size of one ``VARIANT``, read person by person.
+
+    Framed in an object here, again to be sure of the end of the document.  A top level or
+    ``people`` of the wrong type makes such a document invalid.
+    """
+    mark = F.xxhash64(text)
+    framed = F.from_json(
+        F.concat(F.lit('{"document":'), F.col(text), F.lit(',"mark":'), mark, F.lit("}")),
+        "document struct<identifier variant, startDate variant, endDate variant, people array<variant>>,"
+        " mark bigint, broken string",
+        {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
+    )
+    doc = framed["document"]
+    fields = F.struct(
+        *(F.try_variant_get(doc[name], "$", "string").alias(name) for name in ("identifier", "startDate", "endDate")),
+        F.transform(doc["people"], lambda person: F.try_variant_get(person, "$", PERSON_TYPE)).alias("people"),
+    )
+    return F.when(framed["broken"].isNull() & (framed["mark"] == mark) & doc.isNotNull(), fields)
+
+
+def _parsed(docs: DataFrame, text: str) -> DataFrame:
+    """Per document the used fields, the reject reason and whether ``people`` is no list.
+
+    In two steps: the first parses every text once; the second sees the text only of a
+    large document that did not fit.
+    """
+    # let the last of repeated keys win, for the whole session
+    docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    ids = [c for c in docs.columns if c != text]
     framed, complete = _framed(text)
     fields = F.try_variant_get(framed, "$[0]", DOCUMENT_TYPE)
-    return F.when(complete & F.is_valid_utf8(text), fields)
+    people = F.try_variant_get(framed, "$[0].people", "variant")
+    listed = F.try_variant_get(people, "$", "array<variant>").isNotNull()
+    reason = (
+        F.when(F.col(text).isNull(), "no text")
+        .when(~F.is_valid_utf8(text), "not UTF-8")
+        .when(~F.coalesce(complete, F.lit(False)), "invalid JSON")
+        .when(fields.isNull(), "top level is not an object")
+    )
+    too_large = framed.isNull() & (F.octet_length(text) > LARGE_DOCUMENT) & F.is_valid_utf8(text)
+    first = docs.select(
+        *ids,
+        F.when(complete & F.is_valid_utf8(text), fields).alias("small"),
+        F.when(too_large, F.col(text)).alias("large"),
+        reason.alias("reason"),
+        (reason.isNull() & people.isNotNull() & ~listed).alias("people_not_a_list"),
+    )
+    large = F.when(F.col("large").isNotNull(), _large_document("large"))
+    return first.select(
+        *ids,
+        F.coalesce("small", large).alias("doc"),
+        F.when(large.isNull(), F.col("reason")).alias("reason"),
+        "people_not_a_list",
+    )
 
 
 def _roles(roles: Column) -> Column:
@@ -61,10 +106,9 @@ def flatten_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     has one row with an empty role; entries that are no objects give no row; documents
     that are no JSON objects give none either, see :func:`rejected_documents`.
     """
-    _allow_repeated_keys(docs)
     ids = [c for c in docs.columns if c != text]
     # the outer form keeps Spark from deriving a filter that would parse the text again
-    people = docs.select(*ids, _document(text).alias("doc")).select(
+    people = _parsed(docs, text).select(
         *ids, "doc", F.posexplode_outer("doc.people").alias("person_pos", "entry")
     )
     roles = people.where(F.col("entry").isNotNull()).select(
@@ -95,22 +139,10 @@ def in_document_order(rows: DataFrame, *ids: str) -> DataFrame:
     return rows.orderBy(*(ids or ("file_path",)), "person_pos", "role_pos")
 
 
-def _reason(text: str) -> Column:
-    framed, complete = _framed(text)
-    whole = F.try_variant_get(framed, "$[0]", "struct<people variant>")
-    return (
-        F.when(F.col(text).isNull(), "no text")
-        .when(~F.is_valid_utf8(text), "not UTF-8")
-        .when(~F.coalesce(complete, F.lit(False)), "invalid JSON")
-        .when(whole.isNull(), "top level is not an object")
-    )
-
-
 def rejected_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents that give no rows because they are no JSON objects, with the reason."""
-    _allow_repeated_keys(docs)
-    ids = [c for c in docs.columns if c != text]
-    return docs.select(*ids, _reason(text).alias("reason")).where(F.col("reason").isNotNull())
+    rejects = _parsed(docs, text).where(F.col("reason").isNotNull())
+    return rejects.drop("doc", "people_not_a_list")
 
 
 def _row_count(doc: Column) -> Column:
@@ -128,23 +160,7 @@ def document_report(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Counted inside each document, so nothing is shuffled; sum ``row_count`` for the total.
     """
-    _allow_repeated_keys(docs)
-    ids = [c for c in docs.columns if c != text]
-    framed, _ = _framed(text)
-    people = F.try_variant_get(framed, "$[0].people", "variant")
-    unlisted = people.isNotNull() & F.try_variant_get(people, "$", "array<variant>").isNull()
-    parsed = docs.select(
-        *ids,
-        _reason(text).alias("reason"),
-        _document(text).alias("doc"),
-        F.coalesce(unlisted, F.lit(False)).alias("unlisted"),
-    )
-    return parsed.select(
-        *ids,
-        "reason",
-        (F.col("reason").isNull() & F.col("unlisted")).alias("people_not_a_list"),
-        _row_count(F.col("doc")).alias("row_count"),
-    )
+    return _parsed(docs, text).withColumn("row_count", _row_count(F.col("doc"))).drop("doc")
 
 
 def index_entries(index: DataFrame, first: int | None = None) -> DataFrame:
