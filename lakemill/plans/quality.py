@@ -23,7 +23,7 @@ from lakemill.operators.relate import (
     union_labelled,
 )
 from lakemill.operators.topk import counted, largest, top
-from lakemill.plans.gold import product_totals, revenue_by_date
+from lakemill.plans.gold import order_totals, product_totals, revenue_by_date
 from lakemill.schemas import DQ_RESULTS_SCHEMA, PRIMARY_KEYS
 from lakemill.sinks import append_table, create_schema, create_table
 from lakemill.sources import read_table
@@ -160,17 +160,25 @@ def _check_time(as_of: datetime | str | None) -> Column:
 
 
 def log_entries(
-    count: DataFrame, layer: str, table: str, check: str, as_of: datetime | str | None = None
+    counts: DataFrame, checks: Mapping[tuple[str, str, str], str], as_of: datetime | str | None = None
 ) -> DataFrame:
-    """Result row of a check from its one-row count, counted once for status and number."""
-    bad = F.col(count.columns[0])
-    return count.select(
+    """Result rows from one row of counts; ``checks`` maps (layer, table, check) to the count column."""
+    found = (
+        F.struct(
+            F.lit(layer).alias("layer"),
+            F.lit(table).alias("table_name"),
+            F.lit(check).alias("check_name"),
+            F.coalesce(column, F.lit(0)).cast("bigint").alias("bad_count"),
+        )
+        for (layer, table, check), column in checks.items()
+    )
+    return counts.select(F.inline(F.array(*found))).select(
         _check_time(as_of).alias("check_ts"),
-        F.lit(layer).alias("layer"),
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        pass_or_fail(bad).alias("status"),
-        bad.cast("bigint").alias("bad_count"),
+        "layer",
+        "table_name",
+        "check_name",
+        pass_or_fail(F.col("bad_count")).alias("status"),
+        "bad_count",
     )
 
 
@@ -178,59 +186,90 @@ def silver_checks(
     orders: DataFrame, sales: DataFrame, as_of: datetime | str | None = None
 ) -> DataFrame:
     """The stored checks of the silver layer."""
-    return union_labelled([
-        log_entries(bad_rows(orders, F.col("order_id").isNull()), "silver", "orders", "order_id_not_null", as_of),
-        log_entries(bad_rows(sales, F.col("line_total").isNull()), "silver", "sales", "line_total_not_null", as_of),
-        log_entries(orphan_sales_orders(sales, orders), "silver", "sales", "orphan_sales_orders", as_of),
-    ])
+    checks = {
+        ("silver", "orders", "order_id_not_null"): bad_rows(orders, F.col("order_id").isNull()),
+        ("silver", "sales", "line_total_not_null"): bad_rows(sales, F.col("line_total").isNull()),
+        ("silver", "sales", "orphan_sales_orders"): orphan_sales_orders(sales, orders),
+    }
+    return union_labelled(
+        [log_entries(count, {check: F.col(count.columns[0])}, as_of) for check, count in checks.items()]
+    )
+
+
+def _order_checks(mart: DataFrame, orders: DataFrame, sales: DataFrame) -> DataFrame:
+    """Orphaned sales lines and differing days in one pass over the sales, as one row.
+
+    Same counts as :func:`orphan_sales_orders` and :func:`reconcile_daily`.  Lines without
+    an order have no ``known`` and so match no stored day.
+    """
+    known = orders.select("order_id", "order_date", F.lit(True).alias("known"))
+    by_day = (
+        order_totals(sales)
+        .join(known, "order_id", "left")
+        .groupBy("known", "order_date")
+        .agg(F.sum("order_revenue").alias("silver"), F.sum("order_lines").alias("lines"))
+    )
+    stored = mart.select("order_date", F.col("total_revenue").alias("gold"), F.lit(True).alias("known"))
+    drift = F.abs(_or_zero("silver") - _or_zero("gold")) > F.lit(TOLERANCE)
+    return by_day.join(stored, ["known", "order_date"], "full_outer").agg(
+        F.sum(F.when(F.col("known").isNull(), F.col("lines"))).alias("orphans"),
+        F.count_if(F.col("known").isNotNull() & drift).alias("days"),
+    )
 
 
 def battery(
     silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], as_of: datetime | str | None = None
 ) -> DataFrame:
-    """Every check with a pass rule as result rows; each silver table is profiled in one scan."""
+    """Every check with a pass rule as result rows.
+
+    All checks on the columns of a table share one scan, and so do both checks that follow
+    the sales lines to their orders.
+    """
     entries = []
     for name, df in silver.items():
+        key = PRIMARY_KEYS[name]
         rules = {}
         if name == "sales":
             rules = sales_rules() | {
                 "line_total_not_null": F.col("line_total").isNull(),
                 "line_total_mismatch": line_total_error() > F.lit(TOLERANCE),
             }
-        profile = table_profile(df, name, PRIMARY_KEYS[name], rules)
-        checks = {
-            f"{PRIMARY_KEYS[name]}_not_null": F.col("null_ids"),
-            f"{PRIMARY_KEYS[name]}_unique": F.col("total") - F.col("distinct_ids"),
-            **{rule: F.coalesce(F.col(rule), F.lit(0)) for rule in rules},
+        columns = {
+            f"{key}_not_null": F.col("null_ids"),
+            f"{key}_unique": F.col("total") - F.col("distinct_ids"),
+            **{rule: F.col(rule) for rule in rules},
         }
-        long = profile.select(F.explode(F.array(*(
-            F.struct(F.lit(check).alias("check"), bad.cast("bigint").alias("bad"))
-            for check, bad in checks.items()
-        ))).alias("c"))
-        entries.append(long.select(
-            _check_time(as_of).alias("check_ts"),
-            F.lit("silver").alias("layer"),
-            F.lit(name).alias("table_name"),
-            F.col("c.check").alias("check_name"),
-            pass_or_fail(F.col("c.bad")).alias("status"),
-            F.col("c.bad").alias("bad_count"),
-        ))
+        checks = {("silver", name, check): column for check, column in columns.items()}
+        entries.append(log_entries(table_profile(df, name, key, rules), checks, as_of))
+
     orders, sales = silver["orders"], silver["sales"]
-    relations = [
-        ("orders", orphan_orders_customers(orders, silver["customers"])),
-        ("sales", orphan_sales_orders(sales, orders)),
-        ("sales", orphan_sales_products(sales, silver["products"])),
-    ]
-    for table, count in relations:
-        entries.append(log_entries(count, "silver", table, count.columns[0], as_of))
-    drifts = {
-        "daily_revenue": reconcile_daily(gold["daily_revenue"], orders, sales),
-        "top_products": reconcile_products(gold["top_products"], sales),
-    }
-    for table, different in drifts.items():
-        count = different.agg(F.count("*").alias("bad_count"))
-        entries.append(log_entries(count, "gold", table, f"{table}_matches_silver", as_of))
-    return union_labelled(entries)
+    customers_missing = orphan_orders_customers(orders, silver["customers"])
+    products_missing = orphan_sales_products(sales, silver["products"])
+    products_differ = reconcile_products(gold["top_products"], sales).agg(F.count("*").alias("n"))
+    return union_labelled([
+        *entries,
+        log_entries(
+            customers_missing,
+            {("silver", "orders", "orphan_orders_customers"): F.col("orphan_orders_customers")},
+            as_of,
+        ),
+        log_entries(
+            _order_checks(gold["daily_revenue"], orders, sales),
+            {
+                ("silver", "sales", "orphan_sales_orders"): F.col("orphans"),
+                ("gold", "daily_revenue", "daily_revenue_matches_silver"): F.col("days"),
+            },
+            as_of,
+        ),
+        log_entries(
+            products_missing,
+            {("silver", "sales", "orphan_sales_products"): F.col("orphan_sales_products")},
+            as_of,
+        ),
+        log_entries(
+            products_differ, {("gold", "top_products", "top_products_matches_silver"): F.col("n")}, as_of
+        ),
+    ])
 
 
 def store_results(entries: DataFrame, table: str, table_format: str = "parquet") -> None:

@@ -123,8 +123,23 @@ def test_battery_logs_every_check(silver):
     assert log["orders", "orphan_orders_customers"] == ("FAIL", 2)
     assert log["daily_revenue", "daily_revenue_matches_silver"] == ("PASS", 0)
     assert log["top_products", "top_products_matches_silver"] == ("FAIL", 1)
+    assert log["sales", "orphan_sales_orders"] == ("FAIL", 1)
+
+
+def test_battery_counts_equal_the_single_checks(spark, silver):
+    orders, sales = silver["orders"], silver["sales"].unionByName(silver["sales"].withColumn("order_id", F.lit(103)))
+    daily = spark.createDataFrame([("2024-03-01", 1.0), ("2020-01-01", 7.0), (None, 5.0)], "d string, r double").select(
+        F.col("d").cast("date").alias("order_date"), F.col("r").cast("decimal(28,2)").alias("total_revenue")
+    )
+    marts = {"daily_revenue": daily, "top_products": gold.top_products(sales, silver["products"])}
+    tables = {**silver, "sales": sales}
+    log = {r.check_name: r.bad_count for r in quality.battery(tables, marts, AS_OF).collect()}
+    assert log["daily_revenue_matches_silver"] == quality.reconcile_daily(daily, orders, sales).count() == 4
+    assert log["orphan_sales_orders"] == quality.orphan_sales_orders(sales, orders).first()[0] == 1
+    assert log["top_products_matches_silver"] == quality.reconcile_products(marts["top_products"], sales).count()
 
 
 def test_entries_default_to_the_current_time(silver):
-    entry = quality.log_entries(quality.bad_rows(silver["sales"], F.col("quantity") < 0), "silver", "sales", "x")
+    count = quality.bad_rows(silver["sales"], F.col("quantity") < 0)
+    entry = quality.log_entries(count, {("silver", "sales", "x"): F.col("bad_count")})
     assert entry.first().check_ts is not None and entry.first().status == "PASS"
