@@ -18,8 +18,9 @@ from lakemill.schemas import MISSION_COLUMNS
 PERSON_TYPE = "struct<institution string, roles variant, person struct<firstName string, lastName string>>"
 DOCUMENT_TYPE = f"struct<identifier string, startDate string, endDate string, people array<{PERSON_TYPE}>>"
 
-# A VARIANT holds at most 128 MiB, and a parsed document is smaller than twice its text.
-LARGE_DOCUMENT = 64 * 1024 * 1024
+# A VARIANT holds at most 128 MiB and spends a few bytes (offset, type) on every value, so
+# a text below this size always fits.
+LARGE_DOCUMENT = 16 * 1024 * 1024
 
 
 def _framed(text: str) -> tuple[Column, Column]:
