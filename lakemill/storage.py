@@ -3,29 +3,27 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="lakemill-")
+def _shared_root(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def has_shared_root(spark: SparkSession) -> bool:
+    return _shared_root(spark) is not None
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir`` for files that outlive one job.
+    """A fresh folder for files that outlive one job, in the folder that all executors share.
 
-    A local session without that setting gets a temporary folder; a cluster session
-    without it is refused, because executors would not see the driver's disk.
+    That is ``spark.checkpoint.dir``, or what ``SparkContext.setCheckpointDir`` was given.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _shared_root(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_root()
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{root.rstrip('/')}/lakemill/{purpose}-{uuid.uuid4().hex}"
 
 
