@@ -62,3 +62,15 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     rest = groups.select(*keys, F.struct(*facts).alias("_cold"), F.lit(0).alias("_slot"))
     joined = dealt.join(rest, [*keys, "_slot"], "left").withColumn("_facts", F.coalesce("_hot", "_cold"))
     return joined.select(*rows.columns, *(F.col(f"_facts.{c}").alias(c) for c in facts))
+
+
+#: Text that may be broadcast at once, of all rows together.
+BROADCAST_BYTES = 16 << 20
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Hint a broadcast where the rows, printed as JSON, measure under 16 MB; otherwise leave the join to shuffle."""
+    columns = [f.name for f in df.schema]
+    printed = F.to_json(F.struct(*columns))
+    measured = df.agg(F.sum(F.octet_length(printed) + 64).alias("bytes")).first()["bytes"]
+    return F.broadcast(df) if (measured or 0) <= BROADCAST_BYTES else df

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemill.llm import chat, exact_dedup, mixing
+from lakemill.llm import chat, contamination, exact_dedup, mixing
 from lakemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,49 @@ def op6_mix_sources(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select(*columns)
 
 
+@_query(r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, list_slice(words, s, s + 9) AS phrase
+    FROM (SELECT item_id, words, unnest(range(1, greatest(2, len(words) - 8))) AS s FROM items WHERE len(words) > 0)
+), lengths AS (
+    SELECT DISTINCT len(phrase) AS n FROM windows
+), found AS (
+    SELECT doc_id, s, n, item_id
+    FROM (
+        SELECT doc_id, s, n, list_slice(words, s, s + n - 1) AS phrase
+        FROM (SELECT doc_id, words, n, unnest(range(1, greatest(1, len(words) - n + 2))) AS s FROM docs, lengths)
+    ) JOIN windows USING (phrase)
+), hits AS (
+    SELECT doc_id, count(DISTINCT pos) AS n_hit
+    FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op7_decontaminate(spark, sf):
+    found = contamination.find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(named, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
 @_query(r"""
 WITH docs AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
