@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, contamination, exact_dedup, mixing
+from lakemill.llm import chat, contamination, exact_dedup, mixing, warc
 from lakemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,22 @@ def op4_chat_prefix_targets(spark, sf):
     return chat.digest(chat.format_turns(conversations.unionByName(extra)))
 
 
+@_query("""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS response
+    FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
+FROM payloads
+""")
+def op5_warc_round_trip(spark, sf):
+    folder = warc.archive_folder(spark)
+    return warc.read(warc.write(table(spark, sf, "pages"), folder), folder)
+
+
 @_query()
 def op6_mix_sources(spark, sf):
     columns = ["doc_id", "size", "source_size", "target", "taken"]
