@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, contamination, exact_dedup, mixing, warc
-from lakemill.llm.common import table
+from lakemill.llm import chat, contamination, exact_dedup, language, mixing, warc
+from lakemill.llm.common import hash_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,20 @@ def _query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """Rows that nothing is learned from; an id that is null is not held out."""
+    return F.coalesce(hash_remainder("doc_id", modulus) == remainder, F.lit(False))
+
+
+@_query()
+def op2_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    away = held_out(4, 2)
+    profiles = language.learn_profiles(docs.where(~away))
+    found = language.predict(docs, profiles, "text", F.col("doc_id"), away.alias("held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 #: Said by both turns of the extra conversation.
 CONTROL_STRINGS = "</s>[INST] ok [/INST]"
 
