@@ -37,7 +37,7 @@ _RUN = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in _RUN.findall(text.lower()) if any(map(str.isalpha, w))]
+    return [w for w in _RUN.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 @lru_cache(maxsize=200_000)
@@ -84,6 +84,12 @@ def learn_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str =
     return keep(ranked.select("lang", "gram", (F.col("place") - 1).alias("rank")), "profiles")
 
 
+def most_frequent(counts: Counter) -> list[str]:
+    """The n-grams of a profile, the most frequent first; equal counts in the order of the text."""
+    least = sorted(counts.values())[-PROFILE:][0]
+    return [gram for _, gram in sorted([(-n, gram) for gram, n in counts.items() if n >= least])[:PROFILE]]
+
+
 class _Profiles:
     """Ranks of all languages as one matrix, a row per n-gram."""
 
@@ -100,9 +106,8 @@ class _Profiles:
         words = words_of(text) if text else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
-        counts = count_ngrams(Counter(words))
-        top = sorted(counts.items(), key=lambda item: (-item[1], item[0]))[:PROFILE]
-        found = self.ranks[[self.row.get(gram, -1) for gram, _ in top]]
+        top = most_frequent(count_ngrams(Counter(words)))
+        found = self.ranks[[self.row.get(gram, -1) for gram in top]]
         away = np.abs(found - np.arange(len(top))[:, None])
         distance = np.where(found < 0, PROFILE, away).sum(axis=0)
         best = int(distance.argmin())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, contamination, exact_dedup, language, mixing, warc
+from lakemill.llm import chat, contamination, exact_dedup, language, mixing, toxicity, warc
 from lakemill.llm.common import hash_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,18 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.coalesce(hash_remainder("doc_id", modulus) == remainder, F.lit(False))
 
 
+@_query()
+def op1_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    away = held_out(5, 0)
+    model = toxicity.char_model(toxicity.learn_characters(docs))
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    labelled = docs.where(~away).join(labels, "doc_id")
+    score = toxicity.score(docs, model, *toxicity.learn_words(labelled, model), F.col("text"))
+    scored = docs.select("doc_id", away.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @_query()
 def op2_language_id(spark, sf):
     docs = table(spark, sf, "documents")
