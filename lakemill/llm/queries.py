@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, contamination, exact_dedup, language, mixing, toxicity, warc
+from lakemill.llm import chat, contamination, exact_dedup, language, mixing, substring, toxicity, warc
 from lakemill.llm.common import hash_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,29 @@ def op7_decontaminate(spark, sf):
         (F.col("n_hit") > 0).alias("contaminated"),
     )
 
+@_query(r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY list_slice(words, s, s + 19) ORDER BY doc_id, s) AS nth
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM docs WHERE len(words) >= 20)
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS pos FROM windows WHERE nth > 1
+), per_word AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM docs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+    FROM per_word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+""")
+def op8_substring_dedup(spark, sf):
+    found = substring.remove_repeats(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 @_query(r"""
 WITH docs AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
