@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, contamination, exact_dedup, language, mixing, substring, toxicity, warc
+from lakemill.llm import chat, contamination, exact_dedup, language, mixing, order_minhash, substring, toxicity, warc
 from lakemill.llm.common import hash_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +171,12 @@ def op8_substring_dedup(spark, sf):
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+@_query()
+def op9_near_duplicates(spark, sf):
+    found = order_minhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size")
+
+
 @_query(r"""
 WITH docs AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
