@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import posixpath
+import shutil
+import tempfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOT_GROUPS = 1000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python functions import it; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='ship-')}/{package.name}", "zip", package.parent, package.name
+        )
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

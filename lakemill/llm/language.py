@@ -139,7 +139,9 @@ def identified(
     """The documents in some learned language, with all their columns.
 
     Texts without a letter go, and texts whose n-grams are so far out of place that the score is under
-    ``least_score``.
+    ``least_score``.  Where nothing could be learned, all texts with a letter stay.
     """
+    if profiles.isEmpty():
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
     found = predict(docs, profiles, text_col, F.struct("*").alias("row"))
     return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select("row.*")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, contamination, exact_dedup, language, mixing, order_minhash, substring, toxicity, warc
-from lakemill.llm.common import hash_remainder, table
+from lakemill.llm import chat, contamination, exact_dedup, language, licenses, mixing, order_minhash, substring, toxicity, warc
+from lakemill.llm.common import hash_remainder, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +18,12 @@ ORACLES: dict[str, str] = {}
 
 def _query(oracle: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = run
         if oracle is not None:
             ORACLES[function.__name__] = oracle
         return function
@@ -51,6 +57,20 @@ def op2_language_id(spark, sf):
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@_query()
+def op3_license_scan(spark, sf):
+    found = licenses.scan_licenses(table(spark, sf, "documents"))
+    best = F.get("found", F.lit(0))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("found").alias("n_licenses"),
+        best["license"].alias("license"),
+        best["coverage"].alias("coverage"),
+        best["start"].alias("start"),
+        best["stop"].alias("stop"),
+    )
+
+
 #: Said by both turns of the extra conversation.
 CONTROL_STRINGS = "</s>[INST] ok [/INST]"
 
