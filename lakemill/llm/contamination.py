@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import filled, keep, row_key, small_side
+from lakemill.llm.common import filled, keep, small_side
 
 WINDOW_WORDS = 10
 #: Posting lists that are intersected before a phrase is compared.
@@ -27,7 +27,7 @@ TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def terms_of(text: str) -> Column:
+def terms_of(text: str | Column) -> Column:
     return F.regexp_extract_all(F.translate(filled(text), _UPPER, _LOWER), F.lit(TERM), F.lit(0))
 
 
@@ -46,10 +46,13 @@ def phrases(
 def build_index(
     docs: DataFrame, vocabulary: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Stored postings ``term``, ``doc`` (see :func:`row_key`), ``pos``; only of a vocabulary's ``term``s, if given."""
-    tokens = docs.select(
-        row_key(id_col, text_col).alias("doc"), F.posexplode(terms_of(text_col)).alias("pos", "term")
-    )
+    """Stored postings ``term``, ``doc`` (hash of id and text), ``pos``; only of a vocabulary's ``term``s, if given.
+
+    Documents whose 64-bit hashes collide share their postings; matches are compared with each one's words.
+    """
+    # the key is made once a text, below the explode
+    read = docs.select(F.xxhash64(id_col, text_col).alias("doc"), terms_of(text_col).alias("words"))
+    tokens = read.select("doc", F.posexplode("words").alias("pos", "term"))
     if vocabulary is not None:
         tokens = tokens.join(small_side(vocabulary), "term", "left_semi")
     return keep(tokens.select("term", "doc", "pos"), "postings")
@@ -101,7 +104,7 @@ def proximity_matches(
     wanted = keep(phrases(items, length=length), "phrases")
     vocabulary = wanted.select(F.explode("terms").alias("term")).distinct()
     met = intersect(build_index(docs, vocabulary), wanted, lists, slop)
-    ids = docs.select(row_key("doc_id", "text").alias("doc"), "doc_id")
+    ids = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id")
     return met.join(wanted.select("phrase", F.explode("items").alias("item_id")), "phrase").join(ids, "doc").select(
         "doc_id", "item_id", "start"
     ).distinct()
@@ -121,11 +124,11 @@ def find_contamination(
     found = met.join(small_side(wanted), "phrase").groupBy("doc").agg(
         F.collect_list(F.struct("start", "terms", "items")).alias("found")
     )
-    words = docs.select(
-        row_key(id_col, text_col).alias("doc"), F.col(id_col).alias("id"), terms_of(text_col).alias("words"),
-        F.struct("*").alias("row"),
+    rows = docs.select(F.xxhash64(id_col, text_col).alias("doc"), F.struct("*").alias("row"))
+    joined = rows.join(found, "doc", "left").select(
+        "row", F.col("row")[id_col].alias("id"), "found", terms_of(F.col("row")[text_col]).alias("words")
     )
-    compared = words.join(found, "doc", "left").select(
+    compared = joined.select(
         "row", "id", F.size("words").cast("bigint").alias("n_words"),
         F.filter(
             F.coalesce("found", F.expr("array()")),
