@@ -30,6 +30,7 @@ import pandas as pd
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from lakemill.llm.common import filled, join_groups, keep, row_key
 from lakemill.storage import shared_folder
@@ -50,86 +51,87 @@ def _base32(hex_digest: str) -> str:
     return "sha1:" + base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
 
-def _record(row) -> bytes:
-    """One WARC record as a gzip member."""
-    payload = bytes(row.html)
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http if row.revisit else http + payload
+def _record(row, revisit: bool) -> bytes:
+    """One WARC record as a gzip member; a revisit record needs no html."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row.length}\r\n\r\n".encode()
+    block = http if revisit else http + bytes(row.html)
     headers = [
-        ("WARC-Type", "revisit" if row.revisit else "response"),
+        ("WARC-Type", "revisit" if revisit else "response"),
         ("WARC-Record-ID", _urn(row.key)),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", None if row.url is None else quote(row.url, safe="%/:=&?~#+!$,;'@()*[]")),
         ("WARC-Page-ID", row.page),
         ("WARC-Payload-Digest", _base32(row.digest)),
         ("WARC-Block-Digest", _base32(hashlib.sha1(block).hexdigest())),
-        ("WARC-Profile", PROFILE if row.revisit else None),
-        ("WARC-Refers-To", _urn(row.response_key) if row.revisit else None),
-        ("WARC-Refers-To-Page-ID", row.response if row.revisit else None),
+        ("WARC-Profile", PROFILE if revisit else None),
+        ("WARC-Refers-To", _urn(row.response_key) if revisit else None),
+        ("WARC-Refers-To-Page-ID", row.response if revisit else None),
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(block))),
     ]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers if v is not None) + "\r\n"
-    return _member(head.encode() + block + b"\r\n\r\n")
-
-
-def _member(data: bytes) -> bytes:
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-    return packer.compress(data) + packer.flush()
+    return packer.compress(head.encode() + block + b"\r\n\r\n") + packer.flush()
 
 
-def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        packed = [_record(row) for row in batch.itertuples(index=False)]
-        yield pd.DataFrame(
-            {"page": batch["page"], "key": batch["key"], "record": packed, "bytes": [len(p) for p in packed]}
-        )
+def _packer(revisit: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(record=[_record(row, revisit) for row in batch.itertuples(index=False)])[
+                [c for c in batch.columns if c != "html"] + ["record"]
+            ]
+
+    return run
 
 
-def _revisits(pages: DataFrame) -> DataFrame:
-    """Per group of equal payloads its response."""
-    large = pages.where(F.col("length") >= MIN_REVISIT).groupBy("digest", "length").agg(
-        F.count("*").alias("copies"), F.max(F.struct("page_id", "key")).alias("response")
-    )
-    return large.where("copies > 1")
+def _packed(rows: DataFrame, revisit: bool) -> DataFrame:
+    schema = StructType([*(f for f in rows.schema if f.name != "html"), StructField("record", BinaryType())])
+    return rows.mapInPandas(_packer(revisit), schema)
 
 
 def pack(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Stored compressed records: ``page_id``, ``key``, ``record``, ``bytes``, and ``number``, unique."""
+    """Stored compressed responses of all pages: ``page`` (id as text), ``url``, ``key``, ``digest``, ``length``,
+    ``record``, and ``number``, unique."""
     html = filled(html_col).cast("binary")
     read = pages.select(
-        F.col(id_col).cast("bigint").alias("page_id"),
+        # as text, since pandas has no nulls among integers
+        F.col(id_col).cast("bigint").cast("string").alias("page"),
         F.col(url_col).alias("url"),
-        html.alias("html"),
         row_key(id_col, url_col, html_col).alias("key"),
         F.sha1(html).alias("digest"),
         F.octet_length(html).cast("bigint").alias("length"),
+        html.alias("html"),
     )
-    facts = keep(_revisits(read), "payloads")
-    joined = join_groups(read, facts, ["digest", "length"], "copies", F.xxhash64("key"))
-    typed = joined.select(
-        # as text, since pandas has no nulls among integers
-        F.col("page_id").cast("string").alias("page"), "url", "html", "key", "digest",
-        (F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response.page_id"))).alias("revisit"),
-        F.col("response.page_id").cast("string").alias("response"),
-        F.col("response.key").alias("response_key"),
+    return keep(_packed(read, False).withColumn("number", F.monotonically_increasing_id()), "records")
+
+
+def revisits(records: DataFrame) -> DataFrame:
+    """Stored revisit records ``number``, ``again``, of the pages whose payload another page's response holds."""
+    facts = records.where(F.col("length") >= MIN_REVISIT).groupBy("digest", "length").agg(
+        F.count("*").alias("copies"),
+        F.max(F.struct(F.col("page").cast("bigint").alias("page_id"), F.col("key"))).alias("held"),
+    )
+    facts = keep(facts.where("copies > 1"), "payloads")
+    narrow = records.select("number", "page", "url", "key", "digest", "length")
+    joined = join_groups(narrow, facts, ["digest", "length"], "copies", F.xxhash64("number")).where(
+        F.col("held").isNotNull() & ~F.col("page").cast("bigint").eqNullSafe(F.col("held.page_id"))
     )
-    packed = typed.mapInPandas(_records, "page string, key binary, record binary, bytes bigint")
-    return keep(
-        packed.select(
-            F.col("page").cast("bigint").alias("page_id"), "key", "record", "bytes",
-            F.monotonically_increasing_id().alias("number"),
-        ),
-        "records",
+    named = joined.select(
+        "number", "page", "url", "key", "digest", "length",
+        F.col("held.page_id").cast("string").alias("response"), F.col("held.key").alias("response_key"),
     )
+    return keep(_packed(named, True).select("number", F.col("record").alias("again")), "revisits")
 
 
-def place(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """``number``, ``file`` and ``offset`` of each record, by running sums over the range order."""
+def place(records: DataFrame, again: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``number``, ``file``, ``offset`` and ``again`` of each record, by running sums over the range order."""
     order = ["page_id", "key", "number"]
-    sorted_ranges = keep(
-        records.select(*order, "bytes").repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "order"
-    )
+    sizes = records.select(
+        F.col("page").cast("bigint").alias("page_id"), "key", "number", F.octet_length("record").alias("bytes")
+    ).join(again, "number", "left")
+    sizes = sizes.withColumn("bytes", F.coalesce(F.octet_length("again"), "bytes").cast("bigint"))
+    ranged = sizes.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    sorted_ranges = keep(ranged, "order")
     # a row per partition
     parts = sorted_ranges.groupBy("part").agg(F.sum("bytes").alias("part_bytes"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,7 +139,7 @@ def place(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
     within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.col("base") + F.coalesce(F.sum("bytes").over(within), F.lit(0))
     return sorted_ranges.join(F.broadcast(bases), "part").withColumn("offset", offset).select(
-        "number", F.floor(F.col("offset") / file_bytes).cast("bigint").alias("file"), "offset"
+        "number", F.floor(F.col("offset") / file_bytes).cast("bigint").alias("file"), "offset", "again"
     )
 
 
@@ -194,8 +196,11 @@ _MANIFEST = "file bigint, name string, temporary string, records bigint, bytes b
 def write(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, **columns: str) -> DataFrame:
     """Write archives below ``root`` and return the manifest, a row per file, stored beside them."""
     records = pack(pages, **columns)
-    placed = records.join(place(records, file_bytes), "number").select("file", "offset", "record")
-    runs = placed.repartition("file").sortWithinPartitions("file", "offset").select("file", "record")
+    placed = place(records, revisits(records), file_bytes)
+    rows = records.select("number", "record").join(placed.hint("merge"), "number").select(
+        "file", "offset", F.coalesce("again", "record").alias("record")
+    )
+    runs = rows.repartition("file").sortWithinPartitions("file", "offset").select("file", "record")
     written = keep(runs.mapInPandas(_writer(root), _MANIFEST), "written")
     moved = _spread(written).mapInPandas(_mover(root), _MANIFEST)
     moved.write.parquet(posixpath.join(root, "manifest"))
