@@ -6,7 +6,8 @@ Some columns are bent so that the checks have something to find:
 * orders of unspecified priority have no customer;
 * sales lines point at ``order + line - 1`` and ``part + line``, beyond the last key at the end;
 * returned lines have a negative quantity and total, and unit prices are cut to the cent;
-* raw tables hold two loads of customers, products and orders, and some malformed text.
+* raw tables hold two loads of customers, products and orders, and some malformed text;
+* mission rows of one or two pieces and documents of one source have no identifier.
 
 ``oracles.py`` states the same in SQL.
 """
@@ -208,7 +209,9 @@ def mission_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     status, flag = F.col("l_linestatus"), F.col("l_returnflag")
     day = F.date_format("l_shipdate", "MM/dd/yyyy")
     return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("O-"), F.col("l_orderkey").cast("string")).alias("mission_identifier"),
+        F.when(F.col("l_quantity") == 1, "")
+        .when(F.col("l_quantity") != 2, F.concat(F.lit("O-"), F.col("l_orderkey").cast("string")))
+        .alias("mission_identifier"),
         day.alias("startDate"),
         F.when(status == "O", "").otherwise(day).alias("endDate"),
         F.when(line == 6, "")
@@ -242,7 +245,7 @@ def mission_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def document(entries: Column) -> Column:
         return F.to_json(F.struct(
-            F.concat(F.lit("D-"), F.col("doc_id").cast("string")).alias("identifier"),
+            F.when(source != "src2", F.concat(F.lit("D-"), F.col("doc_id").cast("string"))).alias("identifier"),
             F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.col("n_chars").cast("int")), "MM/dd/yyyy")
             .alias("startDate"),
             entries.alias("people"),

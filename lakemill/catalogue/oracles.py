@@ -1,8 +1,7 @@
 """The same queries in SQL, for DuckDB over the driver tables.
 
 Written independently of the Spark plans, joining first and aggregating after, so that
-agreement means something.  ``bronze_preview`` (any ten rows) has no fixed answer and
-so no entry.
+agreement means something.
 """
 
 from __future__ import annotations
@@ -86,7 +85,8 @@ TOP = """top_products AS (
   GROUP BY s.product_id, product_name, category)"""
 
 MISSIONS = """mission_rows AS (
-  SELECT 'O-' || l_orderkey AS mission_identifier, strftime(l_shipdate, '%m/%d/%Y') AS startDate,
+  SELECT CASE WHEN l_quantity = 1 THEN '' WHEN l_quantity <> 2 THEN 'O-' || l_orderkey END AS mission_identifier,
+         strftime(l_shipdate, '%m/%d/%Y') AS startDate,
          CASE WHEN l_linestatus = 'O' THEN '' ELSE strftime(l_shipdate, '%m/%d/%Y') END AS endDate,
          CASE WHEN l_linenumber = 6 THEN '' WHEN l_linenumber < 6 THEN 'Supplier ' || l_suppkey END
            AS institution,
@@ -102,7 +102,7 @@ people AS (
          concat_ws(' ', firstName, lastName) AS full_name
   FROM mission_rows),
 flagged AS (
-  SELECT *, false AS is_missing_mission_identifier, full_name = '' AS is_missing_person_name,
+  SELECT *, coalesce(mission_identifier, '') = '' AS is_missing_mission_identifier, full_name = '' AS is_missing_person_name,
          institution = '' AS is_missing_institution, role = '' AS is_missing_role
   FROM people)"""
 
@@ -121,7 +121,7 @@ flat AS (
          unnest(CASE WHEN len(roles) = 0 THEN [''] ELSE roles END) AS role,
          CAST(generate_subscripts(CASE WHEN len(roles) = 0 THEN [''] ELSE roles END, 1) - 1 AS INTEGER)
            AS role_pos,
-         'D-' || doc_id AS mission_identifier,
+         CASE WHEN source <> 'src2' THEN 'D-' || doc_id ELSE '' END AS mission_identifier,
          strftime(DATE '2000-01-01' + CAST(n_chars AS INTEGER), '%m/%d/%Y') AS startDate, '' AS endDate,
          CASE WHEN line <> '' THEN source ELSE '' END AS institution,
          CASE WHEN lang = 'fr' THEN '' ELSE lang END AS firstName,
@@ -146,7 +146,9 @@ _SALES_COLUMNS = ", ".join(
 )
 _FLAT_COLUMNS = "mission_identifier, startDate, endDate, institution, role, firstName, lastName"
 _CLEAN_COLUMNS = _FLAT_COLUMNS + ", start_date, end_date, full_name"
-_EVENTS = "SELECT event_id, user_id, event_type, value, props FROM events"
+_EVENTS = "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events"
+_LOAD_STAMP = "'2024-01-0' || loaded || ' 00:00:00' AS _ingest_ts"
+_SALES_STAMP = "strftime(_ingest_ts, '%Y-%m-%d %H:%M:%S') AS _ingest_ts"
 
 
 def _first(source: str, columns: str, key: str, order: str) -> str:
@@ -240,21 +242,22 @@ ORACLES: dict[str, str] = {
     "silver_customers": _with(RAW_CUSTOMERS)
     + _first(
         "raw_customers",
-        "customer_id, first_name, last_name, email, signup_date, country",
+        f"customer_id, first_name, last_name, email, signup_date, country, {_LOAD_STAMP}",
         "customer_id",
         "first_name, last_name, email, signup_date, country, loaded",
     ),
     "silver_products": _with(RAW_PRODUCTS)
     + _first(
         "raw_products",
-        f"product_id, product_name, category, {_MONEY.format('list_price')}, is_active",
+        f"product_id, product_name, category, {_MONEY.format('list_price')}, is_active, {_LOAD_STAMP}",
         "product_id",
         "product_name, category, list_price, is_active, loaded",
     ),
     "silver_orders_latest": _with(RAW_ORDERS)
-    + _first("raw_orders", "order_id, customer_id, order_date, order_status", "order_id", "loaded DESC"),
-    "silver_sales_typed": _with(RAW_SALES) + f"SELECT {_SALES_COLUMNS} FROM raw_sales",
-    "silver_sales_latest": _with(RAW_SALES) + _first("raw_sales", _SALES_COLUMNS, "sale_id", _LATEST_SALE),
+    + _first("raw_orders", f"order_id, customer_id, order_date, order_status, {_LOAD_STAMP}", "order_id", "loaded DESC"),
+    "silver_sales_typed": _with(RAW_SALES) + f"SELECT {_SALES_COLUMNS}, {_SALES_STAMP} FROM raw_sales",
+    "silver_sales_latest": _with(RAW_SALES)
+    + _first("raw_sales", f"{_SALES_COLUMNS}, {_SALES_STAMP}", "sale_id", _LATEST_SALE),
     "silver_orders_distinct": _with(RAW_ORDERS)
     + "SELECT DISTINCT CAST(order_id AS VARCHAR) AS order_id, customer_text AS customer_id, order_date FROM raw_orders",
     # quality
@@ -317,6 +320,13 @@ ORACLES: dict[str, str] = {
         ]
     ),
     # documents
+    "flatten_in_order": _with(DOCUMENTS)
+    + """SELECT doc_id, person_pos, role_pos, role,
+         CAST(row_number() OVER (PARTITION BY doc_id ORDER BY person_pos, role_pos) AS INTEGER) AS nth
+  FROM flat""",
+    "documents_from_pattern": """SELECT 'pattern' AS via, COUNT(*) AS documents FROM supplier
+  UNION ALL SELECT 'single file', least(1, COUNT(*)) FROM supplier""",
+    "no_documents": "SELECT COUNT(*) AS other_files, 'FileNotFoundError' AS error FROM supplier",
     "flatten_documents": _with(DOCUMENTS) + f"SELECT doc_id, person_pos, role_pos, {_FLAT_COLUMNS} FROM flat",
     "flatten_rejects": """SELECT doc_id,
   CASE source WHEN 'src0' THEN 'invalid JSON' ELSE 'top level is not an object' END AS reason
@@ -327,7 +337,7 @@ ORACLES: dict[str, str] = {
          source NOT IN ('src0', 'src1') AND lang = 'es' AS people_not_a_list, coalesce(n, 0) AS row_count
   FROM documents LEFT JOIN (SELECT doc_id, COUNT(*) AS n FROM flat GROUP BY doc_id) USING (doc_id)""",
     "flatten_quality_summary": _with(DOCUMENTS)
-    + """SELECT CAST(0 AS BIGINT) AS missing_mission_identifier,
+    + """SELECT COUNT(*) FILTER (WHERE mission_identifier = '') AS missing_mission_identifier,
          COUNT(*) FILTER (WHERE concat_ws(' ', firstName, lastName) = '') AS missing_person_name,
          COUNT(*) FILTER (WHERE institution = '') AS missing_institution,
          COUNT(*) FILTER (WHERE role = '') AS missing_role
@@ -367,7 +377,7 @@ ORACLES: dict[str, str] = {
     + " FROM flagged",
     "missions_preview": _with(MISSIONS)
     + """SELECT mission_identifier, startDate, endDate, institution, role, full_name FROM people
-  ORDER BY mission_identifier, institution, role, full_name, startDate, endDate LIMIT 50""",
+  ORDER BY mission_identifier NULLS FIRST, institution, role, full_name, startDate, endDate LIMIT 50""",
     # files and tables
     "bronze_csv_roundtrip": _with(RAW_SALES)
     + """SELECT CAST(sale_id AS VARCHAR) AS sale_id, CAST(order_id AS VARCHAR) AS order_id,
@@ -377,28 +387,64 @@ ORACLES: dict[str, str] = {
          CAST(line_total AS VARCHAR) AS line_total FROM raw_sales""",
     "bronze_appended_twice": _with(RAW_ORDERS)
     + "SELECT order_status, 2 * COUNT(*) AS cnt FROM raw_orders GROUP BY order_status",
+    "bronze_preview": "SELECT least(10, COUNT(*)) AS preview_rows, least(10, COUNT(*)) AS found FROM lineitem",
     "csv_to_parquet": _with(RAW_ORDERS)
-    + """SELECT CAST(order_id AS INTEGER) AS order_id, customer_text AS customer_id, order_date, order_status
+    + """SELECT CAST(order_id AS INTEGER) AS order_id, customer_text AS customer_id, order_date, order_status,
+         lpad(CAST(order_id % 12 AS VARCHAR), 3, '0') AS source, lpad(CAST(order_id % 12 AS VARCHAR), 3, '0') || '.csv'
+           AS file
   FROM raw_orders""",
     "parquet_export": _with(PRODUCTS)
     + f"SELECT product_id, product_name, category, {_MONEY.format('list_price')} FROM products",
     "path_append": _with(PRODUCTS)
     + f"SELECT product_id, product_name, category, {_MONEY.format('list_price')} FROM products CROSS JOIN (VALUES (1), (2))",
-    "flat_csv_roundtrip": _with(DOCUMENTS) + f"SELECT {_FLAT_COLUMNS} FROM flat",
+    "flat_csv_roundtrip": _with(DOCUMENTS)
+    + f"""SELECT * REPLACE ('  ' || institution || chr(9) AS institution, ' ' || role || ' ' AS role)
+  FROM (SELECT {_FLAT_COLUMNS} FROM flat)""",
     "flat_parquet_roundtrip": _with(DOCUMENTS) + f"SELECT {_FLAT_COLUMNS} FROM flat",
     "external_table": _with(MISSIONS) + "SELECT * FROM flagged",
     "empty_table_like": "SELECT * FROM customer WHERE 1 = 0",
     "clustered_rewrite": _with(MISSIONS) + f"SELECT {_FLAT_COLUMNS} FROM mission_rows",
+    "clustered_external": _with(MISSIONS) + f"SELECT {_CLEAN_COLUMNS} FROM people CROSS JOIN (VALUES (1), (2))",
     # streams
+    "clustered_stream": _EVENTS.replace(" FROM", ", true AS refused FROM"),
     "stream_ingest": _EVENTS,
     "stream_continuous": _EVENTS,
     "bulk_load_idempotent": _EVENTS,
     # all layers
-    "medallion_layers": _with(ORDERS, SALES, DAILY) + f"SELECT {_DAILY_COLUMNS} FROM daily",
+    "medallion_layers": _with(RAW_CUSTOMERS, PRODUCTS, ORDERS, SALES, DAILY, TOP)
+    + f""", customers AS ({_first(
+        "raw_customers", "customer_id, first_name, last_name, email, country", "customer_id",
+        "first_name, last_name, email, signup_date, country, loaded",
+    )}), people AS (
+  SELECT c.customer_id, concat_ws('|', first_name, last_name, email, country) AS label,
+         COUNT(DISTINCT o.order_id) AS orders, SUM(line_total) AS spend
+  FROM customers c LEFT JOIN placed o ON c.customer_id = o.customer_id LEFT JOIN sales s ON o.order_id = s.order_id
+  GROUP BY ALL)
+SELECT 'daily_revenue' AS mart, CAST(order_date AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS label,
+       CAST(total_revenue AS DOUBLE) AS amount, line_count AS n, order_count AS orders, unique_customers AS customers
+FROM daily
+UNION ALL SELECT 'top_products', CAST(product_id AS VARCHAR), concat_ws('|', product_name, category),
+       CAST(total_sales AS DOUBLE), total_qty, NULL, NULL FROM top_products
+UNION ALL SELECT 'customer_360', CAST(customer_id AS VARCHAR), label, CAST(spend AS DOUBLE), NULL, orders, NULL
+FROM people""",
 }
 ORACLES["stream_flatten"] = ORACLES["flatten_documents"]
 ORACLES["silver_orders_replaced"] = ORACLES["silver_orders_distinct"]
 
+# the marts, summed by order or line first as they are built, against sums over the joined lines
+_GOLD_DRIFT = {
+    "daily_revenue": """SELECT COUNT(*) AS bad FROM (
+  SELECT order_date, SUM(revenue) AS gold FROM (SELECT DISTINCT order_id, order_date FROM raw_orders)
+  JOIN (SELECT order_id, SUM(line_total) AS revenue FROM raw_sales GROUP BY order_id) USING (order_id) GROUP BY order_date)
+  FULL JOIN (SELECT order_date, SUM(line_total) AS silver FROM placed JOIN raw_sales USING (order_id) GROUP BY order_date)
+  USING (order_date) WHERE abs(coalesce(gold, 0) - coalesce(silver, 0)) > 0.01""",
+    "top_products": """SELECT COUNT(*) AS bad FROM (
+  SELECT product_id, SUM(qty) AS gold FROM (SELECT product_id, sale_id, SUM(quantity) AS qty FROM raw_sales GROUP BY ALL)
+  GROUP BY product_id)
+  FULL JOIN (SELECT product_id, SUM(quantity) AS silver FROM raw_sales GROUP BY product_id) USING (product_id)
+  WHERE coalesce(gold, 0) <> coalesce(silver, 0)""",
+}
+
 _LAYER_CHECKS = [
     *((t, f"{k}_not_null", f"SELECT COUNT(*) - COUNT({k}) AS bad FROM {_VIEWS[t]}") for t, k in _TABLES.items()),
     *((t, f"{k}_unique", f"SELECT COUNT(*) - COUNT(DISTINCT {k}) AS bad FROM {_VIEWS[t]}") for t, k in _TABLES.items()),
@@ -413,7 +459,5 @@ _LAYER_CHECKS = [
 ]
 ORACLES["medallion_results"] = _LAYERS + "\nSELECT * EXCLUDE (check_ts) FROM (" + _union(
     [_result("silver", *check) for check in _LAYER_CHECKS]
-    + [
-        _result("gold", t, f"{t}_matches_silver", "SELECT 0 AS bad") for t in ("daily_revenue", "top_products")
-    ]
+    + [_result("gold", f"{mart}", f"{mart}_matches_silver", query) for mart, query in _GOLD_DRIFT.items()]
 ) + ")"

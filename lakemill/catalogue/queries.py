@@ -10,23 +10,25 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from lakemill.catalogue import bindings as b
 from lakemill.config import MissionRun, RetailRun
 from lakemill.operators import flatten
-from lakemill.operators.relate import orphan_rows
+from lakemill.operators.relate import orphan_rows, union_labelled
 from lakemill.plans import bronze, gold, medallion, missions, quality, silver
 from lakemill.schemas import INGEST_TS, MISSION_COLUMNS, RETAIL_COLUMNS
 from lakemill.sinks import (
     append_table,
+    cluster_table,
     convert_csv,
     create_schema,
     empty_table_like as make_empty_table,
     export_parquet,
     replace_table,
+    write_csv,
     write_flat_csv,
     write_flat_parquet,
     write_path,
@@ -39,7 +41,7 @@ from lakemill.sources import (
     read_parquet,
     read_table,
 )
-from lakemill.storage import shared_folder
+from lakemill.storage import move_single_files, shared_folder
 from lakemill.streaming import arriving_files, bulk_load, drain_into, ingest_available, run_into
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +60,11 @@ def _query(function: Query) -> Query:
     return function
 
 
+def _as_text(df: DataFrame, column: str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """A time as text, which is the same on both sides whatever the types of time are."""
+    return df.withColumn(column, F.date_format(column, pattern))
+
+
 def _scratch(spark: SparkSession, purpose: str) -> tuple[str, str]:
     """A fresh folder and a fresh schema whose managed tables live in it."""
     folder = shared_folder(spark, purpose)
@@ -99,27 +106,27 @@ def customer_360(spark, sf):
 
 @_query
 def silver_customers(spark, sf):
-    return silver.silver_customers(b.raw_customers(spark, sf)).drop(INGEST_TS)
+    return _as_text(silver.silver_customers(b.raw_customers(spark, sf)), INGEST_TS)
 
 
 @_query
 def silver_products(spark, sf):
-    return silver.silver_products(b.raw_products(spark, sf)).drop(INGEST_TS)
+    return _as_text(silver.silver_products(b.raw_products(spark, sf)), INGEST_TS)
 
 
 @_query
 def silver_orders_latest(spark, sf):
-    return silver.silver_orders(b.raw_orders(spark, sf)).drop(INGEST_TS)
+    return _as_text(silver.silver_orders(b.raw_orders(spark, sf)), INGEST_TS)
 
 
 @_query
 def silver_sales_typed(spark, sf):
-    return silver.silver_sales(b.raw_sales(spark, sf)).drop(INGEST_TS)
+    return _as_text(silver.silver_sales(b.raw_sales(spark, sf)), INGEST_TS)
 
 
 @_query
 def silver_sales_latest(spark, sf):
-    return silver.silver_sales(b.raw_sales(spark, sf), dedupe=True).drop(INGEST_TS)
+    return _as_text(silver.silver_sales(b.raw_sales(spark, sf), dedupe=True), INGEST_TS)
 
 
 @_query
@@ -280,6 +287,45 @@ def _one_file_per_row(texts: DataFrame, folder: str) -> str:
     return folder
 
 
+def _supplier_files(spark, sf):
+    """A document file for every supplier, named in no particular way."""
+    suppliers = b.table(spark, sf, "supplier")
+    document = F.to_json(F.struct(F.concat(F.lit("S-"), F.col("s_suppkey").cast("string")).alias("identifier")))
+    return _one_file_per_row(suppliers.select(document), shared_folder(spark, "documents"))
+
+
+@_query
+def documents_from_pattern(spark, sf):
+    folder = _supplier_files(spark, sf)
+    found = read_documents(spark, f"{folder}/part-*.txt")
+    one = found.agg(F.min("file_path").alias("path")).first()["path"]
+    single = read_documents(spark, one)
+    return union_labelled([
+        df.agg(F.count("*").alias("documents")).select(F.lit(via).alias("via"), "documents")
+        for via, df in (("pattern", found), ("single file", single))
+    ])
+
+
+@_query
+def no_documents(spark, sf):
+    folder = _supplier_files(spark, sf)
+    error = None
+    try:
+        read_documents(spark, folder, ".json")
+    except FileNotFoundError as refused:
+        error = type(refused).__name__
+    files = read_documents(spark, folder, ".txt").agg(F.count("*").alias("other_files"))
+    return files.withColumn("error", F.lit(error).cast("string"))
+
+
+@_query
+def flatten_in_order(spark, sf):
+    rows = flatten.in_document_order(flatten.flatten_documents(b.mission_documents(spark, sf)), "doc_id")
+    numbered = rows.select("doc_id", "person_pos", "role_pos", "role", F.monotonically_increasing_id().alias("at"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("at"))
+    return numbered.withColumn("nth", nth).drop("at")
+
+
 @_query
 def documents_from_files(spark, sf):
     suppliers = b.table(spark, sf, "supplier")
@@ -378,7 +424,15 @@ def missions_preview(spark, sf):
 
 
 def _land_csv(df: DataFrame, folder: str, name: str) -> None:
-    df.select(*RETAIL_COLUMNS[name]).write.option("header", True).csv(f"{folder}/{name}")
+    write_csv(df.select(*RETAIL_COLUMNS[name]), f"{folder}/{name}")
+
+
+def _land_numbered_csv(df: DataFrame, key: str, folder: str, files: int = 12) -> None:
+    """CSV files 000.csv, 001.csv, ... by the remainder of a key."""
+    number = F.lpad((F.col(key).cast("bigint") % files).cast("string"), 3, "0")
+    numbered = df.withColumn("number", number).repartition(files, "number")
+    write_csv(numbered, f"{folder}/by-number", partition_by=["number"])
+    move_single_files(df.sparkSession, f"{folder}/by-number", "number=", f"{folder}/named", ".csv")
 
 
 @_query
@@ -404,15 +458,17 @@ def bronze_appended_twice(spark, sf):
 def bronze_preview(spark, sf):
     _, schema = _scratch(spark, "bronze")
     append_table(b.raw_sales(spark, sf), f"{schema}.sales")
-    return bronze.preview(spark, f"{schema}.sales")
+    preview = bronze.preview(spark, f"{schema}.sales")
+    found = preview.intersect(read_table(spark, f"{schema}.sales"))
+    return preview.agg(F.count("*").alias("preview_rows")).join(found.agg(F.count("*").alias("found")))
 
 
 @_query
 def csv_to_parquet(spark, sf):
     folder = shared_folder(spark, "convert")
-    _land_csv(b.raw_orders(spark, sf), folder, "orders")
-    convert_csv(spark, f"{folder}/orders", f"{folder}/parquet")
-    return read_parquet(spark, f"{folder}/parquet").drop("source")
+    _land_numbered_csv(b.raw_orders(spark, sf).select(*RETAIL_COLUMNS["orders"]), "order_id", folder)
+    convert_csv(spark, f"{folder}/named", f"{folder}/parquet")
+    return read_parquet(spark, f"{folder}/parquet")
 
 
 @_query
@@ -434,7 +490,10 @@ def path_append(spark, sf):
 @_query
 def flat_csv_roundtrip(spark, sf):
     path = shared_folder(spark, "flat-csv")
-    write_flat_csv(flatten.flatten_documents(b.mission_documents(spark, sf)), path)
+    rows = flatten.flatten_documents(b.mission_documents(spark, sf)).withColumns({
+        "institution": F.concat(F.lit("  "), "institution", F.lit("\t")), "role": F.concat(F.lit(" "), "role", F.lit(" ")),
+    })
+    write_flat_csv(rows, path)
     return read_flat_csv(spark, path)
 
 
@@ -469,9 +528,26 @@ def clustered_rewrite(spark, sf):
     return read_table(spark, f"{schema}.people")
 
 
+@_query
+def clustered_external(spark, sf):
+    """Load, cluster, load again: both loads are there."""
+    folder, schema = _scratch(spark, "cluster")
+    write_flat_parquet(b.mission_rows(spark, sf), f"{folder}/flat")
+    for mode in ("overwrite", "append"):
+        run = MissionRun(parquet_path=f"{folder}/flat", root_path=f"{folder}/external", schema=schema, mode=mode)
+        missions.load_missions(spark, run)
+        if mode == "overwrite":
+            missions.cluster_missions(spark, run.full_table)
+    return read_table(spark, run.full_table)
+
+
 # --- streams -------------------------------------------------------------------------
 
 
+def _timed_events(spark: SparkSession, schema: str) -> DataFrame:
+    return _as_text(read_table(spark, f"{schema}.events"), "ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 def _land_events(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     """Events in one folder per day, as they would arrive over time."""
     events = b.table(spark, sf, "events")
@@ -490,7 +566,7 @@ def stream_ingest(spark, sf):
         ingest_available(
             spark, f"{folder}/landing", events.schema, target, f"{folder}/ledger", max_files=7, recursive=True
         )
-    return read_table(spark, target).drop("ts", "ingest_ts")
+    return _timed_events(spark, schema).drop("ingest_ts")
 
 
 @_query
@@ -513,17 +589,33 @@ def stream_continuous(spark, sf):
         running.processAllAvailable()
     finally:
         running.stop()
-    return read_table(spark, f"{schema}.events").drop("ts")
+    return _timed_events(spark, schema)
+
+
+@_query
+def clustered_stream(spark, sf):
+    """Stream, try to cluster, stream more: the target of a stream is refused and goes on as it was."""
+    folder, schema = _scratch(spark, "stream")
+    events, refused = b.table(spark, sf, "events"), False
+    for rest in (0, 1):
+        events.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(f"{folder}/landing")
+        drain_into(arriving_files(spark, f"{folder}/landing", events.schema), f"{schema}.events", f"{folder}/ledger")
+        if not rest:
+            try:
+                cluster_table(spark, f"{schema}.events", ("event_id",))
+            except ValueError:
+                refused = True
+    return _timed_events(spark, schema).withColumn("refused", F.lit(refused))
 
 
 @_query
 def bulk_load_idempotent(spark, sf):
     folder, schema = _scratch(spark, "bulk")
-    export_parquet(b.table(spark, sf, "events").drop("ts"), f"{folder}/landing")
+    export_parquet(b.table(spark, sf, "events"), f"{folder}/landing")
     make_empty_table(spark, f"{schema}.events", f"{folder}/landing")
     for _ in range(2):
         bulk_load(spark, f"{folder}/landing", f"{schema}.events", f"{folder}/ledger")
-    return read_table(spark, f"{schema}.events")
+    return _timed_events(spark, schema)
 
 
 # --- all layers ----------------------------------------------------------------------
@@ -544,7 +636,27 @@ def _layers(spark: SparkSession, sf: str) -> RetailRun:
 
 @_query
 def medallion_layers(spark, sf):
-    return read_table(spark, _layers(spark, sf).table("gold", "daily_revenue"))
+    """All three marts of one run, in common columns."""
+    run = _layers(spark, sf)
+    none = F.lit(None)
+    columns = {
+        "daily_revenue": (F.col("order_date"), none, "total_revenue", "line_count", "order_count", "unique_customers"),
+        "top_products": (
+            F.col("product_id"), F.concat_ws("|", "product_name", "category"), "total_sales", "total_qty", none, none,
+        ),
+        "customer_360": (
+            F.col("customer_id"), F.concat_ws("|", "first_name", "last_name", "email", "country"), "lifetime_spend",
+            none, "lifetime_orders", none,
+        ),
+    }
+    names = {"key": "string", "label": "string", "amount": "double", "n": "bigint", "orders": "bigint", "customers": "bigint"}
+    return union_labelled([
+        read_table(spark, run.table("gold", mart)).select(
+            F.lit(mart).alias("mart"),
+            *((F.col(c) if isinstance(c, str) else c).cast(kind).alias(name) for c, (name, kind) in zip(of, names.items())),
+        )
+        for mart, of in columns.items()
+    ])
 
 
 @_query

@@ -29,11 +29,11 @@ def _sortable(df: DataFrame, without: Sequence[str]) -> list[str]:
 
 
 def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, always the same one: the smallest by the remaining columns.
+    """One row per key, always the same one: the smallest by the remaining columns, NULLs last.
 
-    ``dropDuplicates`` may pick another row when a lost task runs again.
+    So a row whose fields could be read goes before one with a field that could not.  ``dropDuplicates`` may pick another row when a lost task runs again.
     """
-    return first_per_key(df, keys, [F.col(c).asc_nulls_first() for c in _sortable(df, keys)])
+    return first_per_key(df, keys, [F.col(c).asc_nulls_last() for c in _sortable(df, keys)])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Nested mission documents to flat rows, row-local and therefore batch or streaming.
 
 Input is any DataFrame with a JSON text column, one document per row: whole files, a
-table of documents, JSON lines.  The text is parsed once into a ``VARIANT`` and cast
-in one step to the few fields that are used; the cast turns a field of the wrong type
-into NULL where ``from_json`` would lose the whole record.  Fields that are not
-listed here, contact details among them, never leave the document.
+table of documents, JSON lines.  A document is read level by level: each level gives the text of the values
+below it, which never fails and has no size limit of its own, and only the fields that are used
+are read further.  So a value of the wrong type is skipped where a typed parse would lose the whole
+record, and documents of all sizes take the same way.  Fields that are not listed here, contact
+details among them, never leave the document.
 """
 
 from __future__ import annotations
@@ -15,88 +16,97 @@ from pyspark.sql import functions as F
 from lakemill.functions import empty_if_null, last_url_segment
 from lakemill.schemas import MISSION_COLUMNS
 
-PERSON_TYPE = "struct<institution string, roles variant, person struct<firstName string, lastName string>>"
-DOCUMENT_TYPE = f"struct<identifier string, startDate string, endDate string, people array<{PERSON_TYPE}>>"
+DOCUMENT_TYPE = "identifier: string, startDate: string, endDate: string, people: array<string>"
+ENTRY_TYPE = "institution string, roles string, person string"
+PERSON_TYPE = "firstName string, lastName string"
+_LIST_TYPE = "array<string>"
+_STRICT = {
+    "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str((1 << 31) - 1),
+}
 
-# A VARIANT holds at most 128 MiB and spends a few bytes (offset, type) on every value, so
-# a text below this size always fits.
-LARGE_DOCUMENT = 16 * 1024 * 1024
+# Stands before the content of a JSON string that begins like an object or a list, so that the text of a value
+# tells its type: private characters that no document is expected to hold.
+_MARK = "\uf8d1lakemill\uf8d1"
 
 
-def _framed(text: str) -> tuple[Column, Column]:
-    """The parsed array ``[document, hash]`` and whether the hash stands where it should.
+_LOOKS_NESTED = r'"(?=\s*(?:[{\[]|\\u007[bB]|\\u005[bB]))'
+_NULL_PEOPLE = r'"people"\s*:\s*null\b'
 
-    The parser ignores text after a complete value.  Framed this way the document must
-    be exactly one value, or the array does not parse or its second element differs.
+
+def _marked(text: Column) -> Column:
+    """JSON with marked strings; an explicit null as the list of people is made a marked string.
+
+    Few documents have either, and only those are written anew.
     """
-    mark = F.xxhash64(text)
-    framed = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(","), mark, F.lit("]")))
-    return framed, F.try_variant_get(framed, "$[1]", "bigint") == mark
+    strings = F.regexp_replace(text, _LOOKS_NESTED, f'"{_MARK}')
+    marked = F.regexp_replace(strings, _NULL_PEOPLE, f'"people":"{_MARK}null"')
+    return F.when(F.rlike(text, F.lit(f"{_LOOKS_NESTED}|{_NULL_PEOPLE}")), marked).otherwise(text)
 
 
-def _large_document(text: str) -> Column:
-    """The same fields of a document beyond the size of one ``VARIANT``, read person by person.
+def _plain(value: Column) -> Column:
+    return F.replace(value, F.lit(_MARK), F.lit(""))
+
+
+def _text(value: Column) -> Column:
+    return empty_if_null(_plain(value))
+
+
+def _is_object(value: Column) -> Column:
+    return F.coalesce(F.ltrim(value).startswith("{"), F.lit(False))
 
-    Framed in an object here, again to be sure of the end of the document.  A top level or
-    ``people`` of the wrong type makes such a document invalid.
-    """
-    mark = F.xxhash64(text)
-    framed = F.from_json(
-        F.concat(F.lit('{"document":'), F.col(text), F.lit(',"mark":'), mark, F.lit("}")),
-        "document struct<identifier variant, startDate variant, endDate variant, people array<variant>>,"
-        " mark bigint, broken string",
-        {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
-    )
-    doc = framed["document"]
-    fields = F.struct(
-        *(F.try_variant_get(doc[name], "$", "string").alias(name) for name in ("identifier", "startDate", "endDate")),
-        F.transform(doc["people"], lambda person: F.try_variant_get(person, "$", PERSON_TYPE)).alias("people"),
-    )
-    return F.when(framed["broken"].isNull() & (framed["mark"] == mark) & doc.isNotNull(), fields)
+
+def _is_list(value: Column) -> Column:
+    return F.coalesce(F.ltrim(value).startswith("["), F.lit(False))
+
+
+def _list(value: Column) -> Column:
+    return F.when(_is_list(value), F.from_json(value, _LIST_TYPE, _STRICT))
 
 
 def _parsed(docs: DataFrame, text: str) -> DataFrame:
-    """Per document the used fields, the reject reason and whether ``people`` is no list.
+    """Per document the used fields (as text), the reject reason and whether ``people`` is no list.
 
-    In two steps: the first parses every text once; the second sees the text only of a
-    large document that did not fit.
+    The text stands in an array with an object behind it that names the text's hash.  The parser ignores text after
+    a complete value; framed this way the document must be exactly one object, or the array does not
+    parse or has other elements.
     """
-    # let the last of repeated keys win, for the whole session
-    docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     ids = [c for c in docs.columns if c != text]
-    framed, complete = _framed(text)
-    fields = F.try_variant_get(framed, "$[0]", DOCUMENT_TYPE)
-    people = F.try_variant_get(framed, "$[0].people", "variant")
-    listed = F.try_variant_get(people, "$", "array<variant>").isNotNull()
-    reason = (
-        F.when(F.col(text).isNull(), "no text")
-        .when(~F.is_valid_utf8(text), "not UTF-8")
-        .when(~F.coalesce(complete, F.lit(False)), "invalid JSON")
-        .when(fields.isNull(), "top level is not an object")
-    )
-    too_large = framed.isNull() & (F.octet_length(text) > LARGE_DOCUMENT) & F.is_valid_utf8(text)
-    first = docs.select(
+    mark = F.xxhash64(text).cast("string")
+    whole = F.concat(F.lit("["), _marked(F.col(text)), F.lit(',{"identifier":"'), mark, F.lit('"}]'))
+    valid_text = F.is_valid_utf8(text)
+    framed = docs.select(
         *ids,
-        F.when(complete & F.is_valid_utf8(text), fields).alias("small"),
-        F.when(too_large, F.col(text)).alias("large"),
-        reason.alias("reason"),
-        (reason.isNull() & people.isNotNull() & ~listed).alias("people_not_a_list"),
-    )
-    large = F.when(F.col("large").isNotNull(), _large_document("large"))
-    return first.select(
+        F.when(F.col(text).isNull(), "no text").when(~valid_text, "not UTF-8").alias("unread"),
+        F.when(valid_text, whole).alias("whole"),
+        mark.alias("mark"),
+    ).withColumn("frame", F.from_json("whole", f"array<struct<{DOCUMENT_TYPE}>>", _STRICT))
+    complete = (F.size("frame") == 2) & (F.get("frame", F.lit(1))["identifier"] == F.col("mark"))
+    doc = F.when(F.coalesce(complete, F.lit(False)), F.get("frame", F.lit(0)))
+    read = framed.select(*ids, "unread", "whole", doc.alias("doc"))
+    # looked at once more only where there is no list of people
+    one_value = F.coalesce(F.size(F.from_json("whole", _LIST_TYPE, _STRICT)) == 2, F.lit(False))
+    as_text = F.get(F.from_json("whole", "array<struct<people: string>>", _STRICT), F.lit(0))["people"]
+    not_listed = F.col("doc.people").isNull() & as_text.isNotNull()
+    return read.select(
         *ids,
-        F.coalesce("small", large).alias("doc"),
-        F.when(large.isNull(), F.col("reason")).alias("reason"),
-        "people_not_a_list",
+        "doc",
+        F.when(F.col("unread").isNotNull(), F.col("unread"))
+        .when(F.col("doc").isNotNull(), None)
+        .when(one_value, "top level is not an object")
+        .otherwise("invalid JSON")
+        .alias("reason"),
+        F.when(F.col("doc").isNull(), False).otherwise(not_listed).alias("people_not_a_list"),
     )
 
 
+def _entry(value: Column) -> Column:
+    """Fields of an entry of ``people``, NULL when it is no object."""
+    return F.when(_is_object(value), F.from_json(value, ENTRY_TYPE, _STRICT))
+
+
 def _roles(roles: Column) -> Column:
     """Role list: a list as it is, any other value as the only role, nothing as NULL."""
-    single = F.try_variant_get(roles, "$", "string")
-    return F.coalesce(
-        F.try_variant_get(roles, "$", "array<string>"), F.when(single.isNotNull(), F.array(single))
-    )
+    return F.coalesce(_list(roles), F.when(roles.isNotNull() & ~_is_list(roles), F.array(roles)))
 
 
 def flatten_documents(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -108,25 +118,30 @@ def flatten_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     that are no JSON objects give none either, see :func:`rejected_documents`.
     """
     ids = [c for c in docs.columns if c != text]
-    # the outer form keeps Spark from deriving a filter that would parse the text again
+    # the outer forms keep Spark from deriving filters that would parse the text again
     people = _parsed(docs, text).select(
-        *ids, "doc", F.posexplode_outer("doc.people").alias("person_pos", "entry")
+        *ids, "doc", F.posexplode_outer("doc.people").alias("person_pos", "value")
+    )
+    entries = people.where(_is_object(F.col("value"))).select(
+        *ids, "doc", "person_pos", F.from_json("value", ENTRY_TYPE, _STRICT).alias("entry")
     )
-    roles = people.where(F.col("entry").isNotNull()).select(
+    roles = entries.select(
         *ids, "doc", "entry", "person_pos",
         F.posexplode_outer(_roles(F.col("entry.roles"))).alias("role_pos", "role"),
     )
-    return roles.select(
+    person = F.col("entry.person")
+    named = roles.withColumn("named", F.when(_is_object(person), F.from_json(person, PERSON_TYPE, _STRICT)))
+    return named.select(
         *ids,
         "person_pos",
         F.coalesce("role_pos", F.lit(0)).alias("role_pos"),
-        empty_if_null("doc.identifier").alias("mission_identifier"),
-        empty_if_null("doc.startDate").alias("startDate"),
-        empty_if_null("doc.endDate").alias("endDate"),
-        empty_if_null("entry.institution").alias("institution"),
-        empty_if_null("role").alias("role"),
-        empty_if_null("entry.person.firstName").alias("firstName"),
-        empty_if_null("entry.person.lastName").alias("lastName"),
+        _text(F.col("doc.identifier")).alias("mission_identifier"),
+        _text(F.col("doc.startDate")).alias("startDate"),
+        _text(F.col("doc.endDate")).alias("endDate"),
+        _text(F.col("entry.institution")).alias("institution"),
+        _text(F.col("role")).alias("role"),
+        _text(F.col("named.firstName")).alias("firstName"),
+        _text(F.col("named.lastName")).alias("lastName"),
     )
 
 
@@ -148,9 +163,9 @@ def rejected_documents(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _row_count(doc: Column) -> Column:
     """Rows a document flattens to, without exploding it."""
-    entries = F.filter(doc["people"], lambda entry: entry.isNotNull())
+    entries = F.filter(doc["people"], _is_object)
     per_entry = F.transform(
-        entries, lambda e: F.greatest(F.coalesce(F.size(_roles(e["roles"])), F.lit(0)), F.lit(1))
+        entries, lambda e: F.greatest(F.coalesce(F.size(_roles(_entry(e)["roles"])), F.lit(0)), F.lit(1))
     )
     total = F.aggregate(per_entry, F.lit(0).cast("bigint"), lambda n, rows: n + rows)
     return F.coalesce(total, F.lit(0).cast("bigint"))

@@ -95,14 +95,16 @@ def flatten_files(
 ) -> DataFrame:
     """Flatten document files into CSV and Parquet folders; returns the report per document.
 
-    Documents that cannot be read are in the report with a reason and stop nothing.
+    Documents that cannot be read are in the report with a reason and stop nothing.  The CSV is made from the
+    Parquet files where both are wanted, so the documents are flattened once.
     """
     documents = read_documents(spark, source)
     rows = flatten_documents(documents)
-    if csv:
-        write_flat_csv(rows, csv)
     if parquet:
         write_flat_parquet(rows, parquet)
+        rows = read_parquet(spark, parquet)
+    if csv:
+        write_flat_csv(rows, csv)
     return document_report(documents)
 
 
@@ -129,5 +131,5 @@ def load_missions(spark: SparkSession, run: MissionRun) -> None:
 
 
 def cluster_missions(spark: SparkSession, table: str, partitions: int | None = None) -> None:
-    """Cluster a managed table of mission rows by mission and institution."""
+    """Cluster a table of mission rows by mission and institution."""
     cluster_table(spark, table, ("mission_identifier", "institution"), partitions)

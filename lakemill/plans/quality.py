@@ -134,19 +134,23 @@ def reconcile_daily(mart: DataFrame, orders: DataFrame, sales: DataFrame) -> Dat
     return different.select("order_date", "silver_revenue", "gold_revenue", diff.alias("diff"))
 
 
+def _stored_products(mart: DataFrame) -> DataFrame:
+    return mart.select(
+        "product_id", F.col("total_qty").alias("gold_qty"), F.col("total_sales").alias("gold_sales")
+    )
+
+
+def _product_differs() -> Column:
+    gap = F.abs(_or_zero("silver_sales") - _or_zero("gold_sales"))
+    return (gap > F.lit(TOLERANCE)) | (_or_zero("silver_qty") != _or_zero("gold_qty"))
+
+
 def reconcile_products(mart: DataFrame, sales: DataFrame) -> DataFrame:
     """Products whose stored quantity or sales differ from the silver sums."""
     expected = product_totals(sales).withColumnsRenamed(
         {"total_qty": "silver_qty", "total_sales": "silver_sales"}
     )
-    stored = mart.select(
-        "product_id", F.col("total_qty").alias("gold_qty"), F.col("total_sales").alias("gold_sales")
-    )
-    gap = F.abs(_or_zero("silver_sales") - _or_zero("gold_sales"))
-    differs = (gap > F.lit(TOLERANCE)) | (
-        _or_zero("silver_qty") != _or_zero("gold_qty")
-    )
-    different = differing_groups(expected, stored, "product_id", differs)
+    different = differing_groups(expected, _stored_products(mart), "product_id", _product_differs())
     return different.select("product_id", "silver_qty", "gold_qty", "silver_sales", "gold_sales")
 
 
@@ -217,13 +221,29 @@ def _order_checks(mart: DataFrame, orders: DataFrame, sales: DataFrame) -> DataF
     )
 
 
+def _product_checks(mart: DataFrame, products: DataFrame, sales: DataFrame) -> DataFrame:
+    """Sales lines without a product and differing products in one pass over the sales, as one row.
+
+    Same counts as :func:`orphan_sales_products` and :func:`reconcile_products`.
+    """
+    sums = sales.groupBy("product_id").agg(
+        F.sum("quantity").alias("silver_qty"), F.sum("line_total").alias("silver_sales"), F.count("*").alias("lines")
+    )
+    known = products.select("product_id").distinct().withColumn("known", F.lit(True))
+    both = sums.join(known, "product_id", "left").join(_stored_products(mart), "product_id", "full_outer")
+    return both.agg(
+        F.sum(F.when(F.col("known").isNull(), F.col("lines"))).alias("orphans"),
+        F.count_if(_product_differs()).alias("products"),
+    )
+
+
 def battery(
     silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], as_of: datetime | str | None = None
 ) -> DataFrame:
     """Every check with a pass rule as result rows.
 
-    All checks on the columns of a table share one scan, and so do both checks that follow
-    the sales lines to their orders.
+    All checks on the columns of a table share one scan, and so do the two checks that follow
+    the sales lines to their orders, and the two that follow them to their products: three passes over the sales.
     """
     entries = []
     for name, df in silver.items():
@@ -244,8 +264,6 @@ def battery(
 
     orders, sales = silver["orders"], silver["sales"]
     customers_missing = orphan_orders_customers(orders, silver["customers"])
-    products_missing = orphan_sales_products(sales, silver["products"])
-    products_differ = reconcile_products(gold["top_products"], sales).agg(F.count("*").alias("n"))
     return union_labelled([
         *entries,
         log_entries(
@@ -262,13 +280,13 @@ def battery(
             as_of,
         ),
         log_entries(
-            products_missing,
-            {("silver", "sales", "orphan_sales_products"): F.col("orphan_sales_products")},
+            _product_checks(gold["top_products"], silver["products"], sales),
+            {
+                ("silver", "sales", "orphan_sales_products"): F.col("orphans"),
+                ("gold", "top_products", "top_products_matches_silver"): F.col("products"),
+            },
             as_of,
         ),
-        log_entries(
-            products_differ, {("gold", "top_products", "top_products_matches_silver"): F.col("n")}, as_of
-        ),
     ])
 
 

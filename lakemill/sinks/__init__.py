@@ -2,6 +2,7 @@ from lakemill.sinks.files import (
     convert_csv,
     convert_each_csv,
     export_parquet,
+    write_csv,
     write_flat_csv,
     write_flat_parquet,
     write_path,
@@ -29,6 +30,7 @@ __all__ = [
     "export_parquet",
     "register_external",
     "replace_table",
+    "write_csv",
     "write_flat_csv",
     "write_flat_parquet",
     "write_path",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemill.operators.flatten import flat_columns
+from lakemill.plans.together import together
 from lakemill.sources.files import read_csv
 from lakemill.storage import escape_glob, file_selection, path_exists
 
@@ -34,38 +38,71 @@ def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_flat_csv(rows: DataFrame, path: str) -> None:
-    """Flat mission rows as headed CSV with minimal quoting; no rows still give a header."""
-    flat_columns(rows).write.mode("overwrite").options(
-        header=True, emptyValue="", nullValue="", escape='"'
+#: Rows of a flat CSV file, which one task reads since its fields may hold line breaks.
+FLAT_FILE_ROWS = 1_000_000
+
+
+def write_csv(rows: DataFrame, path: str, partition_by: Sequence[str] = (), **options) -> None:
+    """Headed CSV as :func:`lakemill.sources.read_csv` reads it: doubled quotes, every blank kept."""
+    rows.write.mode("overwrite").partitionBy(*partition_by).options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **options
     ).csv(path)
 
 
+def write_flat_csv(rows: DataFrame, path: str) -> None:
+    """Flat mission rows as headed CSV with minimal quoting; no rows still give a header.
+
+    Files hold at most ``FLAT_FILE_ROWS`` rows.
+    """
+    write_csv(flat_columns(rows), path, emptyValue="", nullValue="", maxRecordsPerFile=FLAT_FILE_ROWS)
+
+
 def write_flat_parquet(rows: DataFrame, path: str) -> None:
     export_parquet(flat_columns(rows), path)
 
 
+def _file_name() -> Column:
+    # the name on the metadata path is percent-encoded; '+' is literal in it
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def _csv_files(spark: SparkSession, source: str) -> DataFrame:
+    """``path`` and ``name`` of the CSV files; equal names in several folders are refused, as their results would meet."""
+    selected, options = file_selection(spark, source, ".csv", wildcards="*")
+    listing = spark.read.format("binaryFile").options(**options).load(selected)
+    files = listing.select("path", F.regexp_replace(_file_name(), r"\.csv$", "").alias("name"))
+    twice = files.groupBy("name").count().where("count > 1").limit(5).collect()
+    if twice:
+        raise ValueError(f"several files of {source} are named {', '.join(sorted(r['name'] for r in twice))}")
+    return files
+
+
 def convert_csv(
     spark: SparkSession, source: str, target: str, schema: StructType | None = None
 ) -> None:
-    """Convert all CSV files of one shape in a single job, one ``source=<name>`` folder per file."""
-    # the name on the metadata path is percent-encoded; '+' is literal in it
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    table = read_csv(spark, source, schema).select("*", F.regexp_replace(name, r"\.csv$", "").alias("source"))
-    table.write.mode("overwrite").partitionBy("source").parquet(target)
+    """Convert all CSV files of one shape in a single job, one ``file=<name>.csv`` folder per file.
+
+    The name without its ending is also the column ``source``, always text.
+    """
+    _csv_files(spark, source)
+    name = _file_name()
+    table = read_csv(spark, source, schema).select(
+        "*", F.regexp_replace(name, r"\.csv$", "").alias("source"), name.alias("file")
+    )
+    table.write.mode("overwrite").partitionBy("file").parquet(target)
 
 
 def convert_each_csv(spark: SparkSession, source: str, target: str) -> list[str]:
     """Convert CSV files of different shapes, each to ``<target>/<name>.parquet``.
 
-    Every file is its own distributed read and write with its own inferred schema.
-    Only file names come to the driver; use :func:`convert_csv` for many files of one shape.
+    Every file is its own distributed read and write with its own inferred schema; as many of these jobs run
+    at a time as the driver has threads for.  Only file names come to the driver; use
+    :func:`convert_csv` for many files of one shape.
     """
-    selected, options = file_selection(spark, source, ".csv", wildcards="*")
-    listing = spark.read.format("binaryFile").options(**options).load(selected).select("path")
-    written = []
-    for row in listing.orderBy("path").toLocalIterator():
-        output = f"{target.rstrip('/')}/{row.path.rsplit('/', 1)[-1].removesuffix('.csv')}.parquet"
-        export_parquet(read_csv(spark, row.path), output)
-        written.append(output)
-    return written
+    files = [(r["path"], f"{target.rstrip('/')}/{r['name']}.parquet") for r in _csv_files(spark, source).orderBy("path").toLocalIterator()]
+    together(spark, (partial(_convert, spark, path, output) for path, output in files))
+    return [output for _, output in files]
+
+
+def _convert(spark: SparkSession, path: str, output: str) -> None:
+    export_parquet(read_csv(spark, path), output)

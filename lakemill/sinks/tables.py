@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakemill.storage import folder_bytes, path_exists, swap_folders
+
 
 def _literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
@@ -56,6 +58,15 @@ def empty_table_like(
     )
 
 
+#: Size of the files that clustering aims at.
+CLUSTERED_FILE_BYTES = 256 << 20
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return details.first()["data_type"]
+
+
 def cluster_table(
     spark: SparkSession,
     table: str,
@@ -63,24 +74,24 @@ def cluster_table(
     partitions: int | None = None,
     table_format: str = "parquet",
 ) -> None:
-    """Rewrite a managed table in range order of some columns, for tight file statistics.
+    """Rewrite a table in range order of some columns, for tight file statistics.
+
+    The table, managed or external, stays where it is: the rewrite goes to a folder beside its location, and the two
+    change places by renaming.  If the job dies between the renames, both folders still hold every row.
+    The target of a stream is refused before anything is touched, since its readers
+    follow the sink's log, not the folder.  Files have about ``CLUSTERED_FILE_BYTES`` unless ``partitions`` is given.
 
     The row number of the scan is the last range key: it lets a value that fills a third of
     the table span several tasks, and it stays the same when a lost task is repeated.
-    The rewrite goes to a staging table that then takes the name.  Between the drop and the
-    rename the name is missing for a moment; if the job dies there, the staging
-    table still has every row.
     """
-    staging = f"{table}__clustering"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    location = table_location(spark, table)
+    if path_exists(spark, f"{location}/_spark_metadata"):
+        raise ValueError(f"{table} is the target of a stream; cluster a copy of it")
+    if partitions is None:
+        partitions = max(1, -(-folder_bytes(spark, location) // CLUSTERED_FILE_BYTES))
+    staging, retired = f"{location}__clustering", f"{location}__before"
     numbered = spark.table(table).withColumn("_scan_row", F.monotonically_increasing_id())
-    keys = [*columns, "_scan_row"]
-    ranged = (
-        numbered.repartitionByRange(*keys)
-        if partitions is None
-        else numbered.repartitionByRange(partitions, *keys)
-    )
-    ranged.sortWithinPartitions(*columns).drop("_scan_row").write.format(table_format).saveAsTable(staging)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    ranged = numbered.repartitionByRange(partitions, *columns, "_scan_row").sortWithinPartitions(*columns)
+    ranged.drop("_scan_row").write.format(table_format).mode("overwrite").save(staging)
+    swap_folders(spark, location, staging, retired)
     spark.catalog.refreshTable(table)

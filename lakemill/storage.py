@@ -43,6 +43,33 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
+def swap_folders(spark: SparkSession, current: str, fresh: str, retired: str) -> None:
+    """Put the fresh folder in the place of the current one, which is kept aside until that is done."""
+    fs, _ = _file_system(spark, current)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for source, target in ((current, retired), (fresh, current)):
+        if not fs.rename(path(source), path(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+    fs.delete(path(retired), True)
+
+
+def move_single_files(spark: SparkSession, source: str, prefix: str, target: str, suffix: str) -> None:
+    """Give the one file of each folder ``<prefix><name>`` the path ``<target>/<name><suffix>``."""
+    fs, folder = _file_system(spark, source)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(target))
+    for sub in fs.listStatus(folder):
+        name = sub.getPath().getName()
+        if name.startswith(prefix):
+            (part,) = (f for f in fs.listStatus(sub.getPath()) if not f.getPath().getName().startswith((".", "_")))
+            fs.rename(part.getPath(), path(f"{target}/{name.removeprefix(prefix)}{suffix}"))
+
+
 def escape_glob(path: str, specials: str = "*?[]{}") -> str:
     """Make the given wildcard characters literal for Hadoop path globbing."""
     return re.sub(f"([{re.escape(specials)}])", r"\\\1", path)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lakemill.sinks.tables import table_location
 from lakemill.sources.files import ingest_stamp
 from lakemill.storage import path_exists
 
@@ -38,16 +39,11 @@ def arriving_documents(spark: SparkSession, path: str, suffix: str = ".json") ->
     )
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
-    return details.first()["data_type"]
-
-
 def _check_target(spark: SparkSession, table: str) -> None:
     """Refuse a table with rows that no stream wrote: the sink log would hide them."""
     if not spark.catalog.tableExists(table):
         return
-    if path_exists(spark, f"{_location(spark, table)}/_spark_metadata"):
+    if path_exists(spark, f"{table_location(spark, table)}/_spark_metadata"):
         return
     if not spark.table(table).isEmpty():
         raise ValueError(f"{table} holds batch data; stream into a table of its own")

@@ -9,7 +9,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "4g")
+        .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))

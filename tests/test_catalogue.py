@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lakemill.catalogue import ORACLES, QUERIES
 from conftest import plan_of
 from oracle_check import compare, oracle
 
@@ -18,7 +19,7 @@ def db():
     return oracle(SMALL)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_oracle(spark, db, name):
     assert compare(spark, db, name, SMALL) == ""
 
@@ -27,9 +28,9 @@ def test_entry(spark):
     assert entry(spark).columns == ["order_date", "total_revenue", "line_count", "order_count", "unique_customers"]
 
 
-def test_only_the_unordered_preview_has_no_oracle():
-    assert set(queries()) - set(oracle_sql()) == {"bronze_preview"}
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 WRITERS = {
@@ -37,10 +38,11 @@ WRITERS = {
     "bronze_appended_twice", "bronze_preview", "csv_to_parquet", "parquet_export", "path_append", "flat_csv_roundtrip",
     "flat_parquet_roundtrip", "external_table", "empty_table_like", "clustered_rewrite", "stream_ingest",
     "stream_continuous", "stream_flatten", "bulk_load_idempotent", "medallion_layers", "medallion_results",
+    "documents_from_pattern", "no_documents", "clustered_external", "clustered_stream",
 }
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in WRITERS])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITERS])
 def test_plans_scale(spark, name):
     """No cross join, no nested loop, no Python, no window over one partition, at any table size."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -53,3 +55,21 @@ def test_plans_scale(spark, name):
     for window in re.finditer(r"Window \[", plan):
         below = plan[window.end():]
         assert below.index("hashpartitioning") < below.find("SinglePartition") or "SinglePartition" not in below
+
+
+def test_battery_passes_three_times_over_the_sales(spark, tmp_path):
+    from lakemill.catalogue import bindings
+    from lakemill.plans import gold, quality
+
+    tables = {}
+    for name, df in bindings.silver_tables(spark, SMALL).items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    for name, df in {
+        "daily_revenue": gold.daily_revenue(tables["orders"], tables["sales"]),
+        "top_products": gold.top_products(tables["sales"], tables["products"]),
+    }.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    marts = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("daily_revenue", "top_products")}
+    plan = plan_of(quality.battery(tables, marts))
+    assert len(re.findall(rf"FileScan [^\n]*{tmp_path}/sales\]", plan)) == 3

@@ -58,6 +58,7 @@ def test_bronze_appends_and_silver_conforms(spark, schema, exports):
 FLAT = [
     ("M", "01/02/1992", "", "a, \"b\"", "line\nbreak", "É", ""),
     ("", "", "", "", "", "", ""),
+    ("  M ", " \t", "\\", 'a\\"b', "x\r\ny", "\ty ", '"'),
 ]
 
 
@@ -65,8 +66,8 @@ def test_flat_csv_keeps_empty_text_quotes_and_line_breaks(spark, tmp_path):
     df = spark.createDataFrame(FLAT, MISSION_SCHEMA)
     sinks.write_flat_csv(df.coalesce(1), f"{tmp_path}/csv")
     assert rows(sources.read_flat_csv(spark, f"{tmp_path}/csv")) == sorted(FLAT)
-    text = next((tmp_path / "csv").glob("*.csv")).read_text()
-    assert text.startswith(",".join(MISSION_SCHEMA.names)) and '"a, ""b"""' in text and text.endswith(",,,,,,\n")
+    text = next((tmp_path / "csv").glob("*.csv")).read_bytes().decode()
+    assert text.startswith(",".join(MISSION_SCHEMA.names)) and '"a, ""b"""' in text and "\n,,,,,,\n" in text
     sinks.write_flat_csv(df.limit(0), f"{tmp_path}/none")
     assert sources.read_flat_csv(spark, f"{tmp_path}/none").count() == 0
     assert next((tmp_path / "none").glob("*.csv")).read_text().strip() == ",".join(MISSION_SCHEMA.names)
@@ -96,6 +97,52 @@ def test_convert_csv_of_one_shape(spark, exports):
     assert rows(out.groupBy("source").count()) == [("one", 2), ("two", 2)]
 
 
+def test_converted_files_keep_their_names_as_text(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("001", "1", "1.0", "2024-01-01"):
+        (tmp_path / "in" / f"{name}.csv").write_text(f"a\n{len(name)}\n")
+    sinks.convert_csv(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert rows(out.select("source", "a", "file")) == sorted(
+        (n, len(n), f"{n}.csv") for n in ("001", "1", "1.0", "2024-01-01")
+    )
+
+
+def test_equal_names_are_refused_before_anything_is_written(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "part.csv").write_text("a\n1\n")
+    for convert in (sinks.convert_csv, sinks.convert_each_csv):
+        with pytest.raises(ValueError, match="named part"):
+            convert(spark, f"{tmp_path}/in/*/*.csv", f"{tmp_path}/out")
+    assert not (tmp_path / "out").exists()
+
+
+def test_clustered_external_table_stays_where_it_is(spark, schema, tmp_path):
+    where, table = f"{tmp_path}/data", f"{schema}.ext"
+    spark.range(100).selectExpr("id % 7 AS k", "id").write.parquet(where)
+    sinks.register_external(spark, table, where)
+    sinks.cluster_table(spark, table, ("k",), partitions=3)
+    assert spark.read.parquet(where).count() == spark.table(table).count() == 100
+    spark.range(5).selectExpr("id AS k", "id").write.mode("append").parquet(where)
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).count() == 105
+    details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    assert details["Type"] == "EXTERNAL"
+    assert sorted(p.name for p in tmp_path.iterdir() if p.name.startswith("data")) == ["data"]
+
+
+def test_a_stream_target_is_not_clustered(spark, schema, tmp_path):
+    from lakemill.streaming import bulk_load
+
+    spark.range(10).write.parquet(f"{tmp_path}/landing")
+    sinks.empty_table_like(spark, f"{schema}.t", f"{tmp_path}/landing")
+    bulk_load(spark, f"{tmp_path}/landing", f"{schema}.t", f"{tmp_path}/ledger")
+    with pytest.raises(ValueError, match="target of a stream"):
+        sinks.cluster_table(spark, f"{schema}.t", ("id",))
+    assert spark.table(f"{schema}.t").count() == 10
+
+
 def test_convert_csv_of_different_shapes(spark, exports):
     (exports / "customers" / "x%20y.csv").write_text("a\n1\n2\n")
     written = sinks.convert_each_csv(spark, f"{exports}/customers", f"{exports}/each")

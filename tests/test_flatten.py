@@ -111,24 +111,65 @@ def test_report_counts_the_rows_of_every_document(docs):
     assert {n for n, r in report.items() if r.reason} == set(REJECTS)
 
 
-def test_large_documents_are_read_alike(docs):
-    """The way taken beyond the VARIANT limit, here on the same small documents."""
-    large = flatten._large_document("text")
-    seen = {r.name: r for r in docs.select("name", large.isNull().alias("rejected"), flatten._row_count(large).alias("n")).collect()}
-    assert {n for n, r in seen.items() if r.rejected} == set(REJECTS) | NOT_LISTS - {"people is null"}
-    assert {n: r.n for n, r in seen.items() if r.n} == {n: len(rows) for n, (_, rows) in CASES.items() if rows}
-    fields = lambda doc: doc.getField("people").getField("person")
-    both = docs.where("name IN ('one person', 'stray entries', 'person is text', 'numeric name')")
-    parsed = flatten._parsed(both, "text").select(fields(F.col("doc")))
-    assert rows(both.select(fields(large))) == rows(parsed)
-
-
-def test_documents_are_parsed_once_and_never_shuffled(spark, docs):
-    plain = spark.createDataFrame([("a", "{}")], "name string, text string")
-    plan = plan_of(flatten.flatten_documents(plain))
+def test_strings_that_look_like_objects_stay_strings(spark):
+    inner = json.dumps(person(roles=["PI"]))
+    texts = {
+        "entry": mission(inner, "{}", " {} ", "[1]", person(roles=["PI"])),
+        "escaped": '{"people": ["\\u007b}", {"roles": "PI"}]}',
+        "people": json.dumps({"people": f"[{inner}]"}),
+        "role": mission(person(roles='["x"]'), person(roles=["{a}", "[b", 'a \\"{c}'])),
+        "values": mission({"institution": "{I}", "roles": "PI", "person": {"firstName": "[F]", "lastName": "{"}}),
+        "person": mission(person(roles=["PI"], person='{"firstName": "x"}')),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "name string, text string")
+    found = {}
+    for r in flatten.in_document_order(flatten.flatten_documents(docs), "name").collect():
+        found.setdefault(r.name, []).append((r.institution, r.role, r.firstName, r.lastName))
+    assert found == {
+        "entry": [ONE],
+        "escaped": [("", "PI", "", "")],
+        "role": [("I", '["x"]', "F", "L"), ("I", "{a}", "F", "L"), ("I", "[b", "F", "L"), ("I", 'a \\"{c}', "F", "L")],
+        "values": [("{I}", "PI", "[F]", "{")],
+        "person": [("I", "PI", "", "")],
+    }
+    report = {r.name: (r.reason, r.people_not_a_list, r.row_count) for r in flatten.document_report(docs).collect()}
+    assert report["people"] == (None, True, 0) and report["entry"] == (None, False, 1)
+
+
+def test_documents_of_any_size_are_read_alike(spark, tmp_path):
+    """Beyond 128 MiB, in an unread field and in one that is read."""
+    long = F.repeat(F.lit("0123456789abcdef"), (F.col("id") + (9 << 20)).cast("int"))
+    piece = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    docs = spark.range(1).select(
+        F.explode(F.array(
+            F.struct(F.lit("object").alias("name"), piece('{"people": {"a": "', long, '"}}').alias("text")),
+            F.struct(
+                F.lit("unread").alias("name"),
+                piece('{"people": [{"roles": ["PI", "CI"], "note": "', long, '"}, {"roles": "PI"}]}').alias("text"),
+            ),
+            F.struct(
+                F.lit("read").alias("name"), piece('{"people": [{"institution": "', long, '"}, 7]}').alias("text")
+            ),
+        )).alias("d")
+    ).select("d.*")
+    docs.write.partitionBy("name").parquet(f"{tmp_path}/docs")
+    expected = {
+        "object": (True, []),
+        "unread": (False, [("CI", 0), ("PI", 0), ("PI", 0)]),
+        "read": (False, [("", 9 << 24)]),
+    }
+    for name, (flag, people) in expected.items():
+        one = spark.read.parquet(f"{tmp_path}/docs/name={name}")
+        assert rows(flatten.document_report(one)) == [(None, flag, len(people))]
+        assert rows(flatten.flatten_documents(one).select("role", F.length("institution"))) == people
+
+
+def test_each_level_is_parsed_once_and_nothing_is_shuffled(spark, tmp_path):
+    spark.createDataFrame([("a", "{}")], "name string, text string").write.parquet(f"{tmp_path}/docs")
+    plan = plan_of(flatten.flatten_documents(spark.read.parquet(f"{tmp_path}/docs")))
     assert "Exchange" not in plan and "Python" not in plan
-    project = [line for line in plan.splitlines() if "try_variant_get" in line and "parseJson" in line]
-    assert len(project) == 1
+    # the document, an entry, its roles, its person
+    assert plan.count("from_json(") == 4, plan
 
 
 def test_files_directory_pattern_and_single(spark, tmp_path):
