@@ -4,9 +4,9 @@ A region of a text is aligned with a license template: words that occur once in
 increasing subsequence of them is kept, and the gaps between anchors are aligned in the same way, where
 other words have become unique.  Coverage is the share of the template's words that are aligned.
 
-Regions are found without loss: a region that covers a share c of a template's n words holds at least one of any
-floor((1 - c) n) + 1 of them, so the rarest that many words in the text, at their places in the template, give
-all regions worth aligning.  A region is as long as the template and a quarter more on either side.
+A region that covers a share c of a template's n words holds at least one of any floor((1 - c) n) + 1 of them.  So
+that many words, the rarest in the text, place the regions: each occurrence puts the template where its own place in
+it says.  A region is as long as the template and a quarter more on either side.
 
 Defined cases: null and empty texts, and texts without a license, have no findings; a template found in several
 regions counts once, by the best (then first) of them; of several templates the one with the most aligned
