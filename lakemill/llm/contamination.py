@@ -23,6 +23,7 @@ from lakemill.llm.common import filled, keep, small_side
 WINDOW_WORDS = 10
 #: Posting lists that are intersected before a phrase is compared.
 RAREST = 3
+LONGER = 4.0
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,31 +59,35 @@ def build_index(
     return keep(tokens.select("term", "doc", "pos"), "postings")
 
 
-def _anchors(index: DataFrame, wanted: DataFrame, lists: int) -> DataFrame:
-    """The rarest terms of each phrase that the index can hold: ``term``, ``phrase``, ``offset``, ``bit``, ``all_bits``."""
+def _anchors(index: DataFrame, wanted: DataFrame, lists: int, longer: float) -> DataFrame:
+    """The rarest terms of each phrase that the index can hold: ``term``, ``phrase``, ``offset``, ``bit``, ``all_bits``.
+
+    A list over ``longer`` times as long as the rarest one costs more to intersect than it can save in phrases
+    to compare, and is left out.
+    """
     counts = index.groupBy("term").agg(F.count("*").alias("postings"))
     placed = wanted.select("phrase", F.size("terms").alias("n"), F.posexplode("terms").alias("offset", "term"))
     own = Window.partitionBy("phrase")
     ranked = placed.join(counts, "term", "left").select(
-        "term", "phrase", "offset",
+        "term", "phrase", "offset", "n", "postings",
         F.count("postings").over(own).alias("found"),
-        "n",
+        F.min("postings").over(own).alias("fewest"),
         F.row_number().over(own.orderBy("postings", "offset")).alias("rank"),
     )
-    used = F.least(F.lit(lists), F.col("n"))
-    return ranked.where((F.col("found") == F.col("n")) & (F.col("rank") <= lists)).select(
-        "term", "phrase", "offset",
-        F.expr("shiftleft(1, rank - 1)").alias("bit"),
-        (F.pow(F.lit(2), used) - 1).cast("int").alias("all_bits"),
-    )
+    used = ranked.where(
+        (F.col("found") == F.col("n")) & (F.col("rank") <= lists) & (F.col("postings") <= F.col("fewest") * longer)
+    ).withColumn("bit", F.expr("shiftleft(1, rank - 1)"))
+    return used.select("term", "phrase", "offset", "bit", F.sum("bit").over(own).cast("int").alias("all_bits"))
 
 
-def intersect(index: DataFrame, wanted: DataFrame, lists: int = RAREST, slop: int = 0) -> DataFrame:
+def intersect(
+    index: DataFrame, wanted: DataFrame, lists: int = RAREST, longer: float = LONGER, slop: int = 0
+) -> DataFrame:
     """(``doc``, ``phrase``, ``start``) where the offset-adjusted lists of a phrase's rarest terms meet.
 
     With ``slop`` the adjusted positions may lie that many words apart; ``start`` is the smallest of them.
     """
-    anchors = small_side(keep(_anchors(index, wanted, lists), "anchors"))
+    anchors = small_side(keep(_anchors(index, wanted, lists, longer), "anchors"))
     votes = index.join(anchors, "term").select(
         "doc", "phrase", (F.col("pos") - F.col("offset")).alias("start"), "bit", "all_bits"
     )
@@ -103,7 +108,7 @@ def proximity_matches(
     """Documents that hold the rarest terms of an item's phrase within ``slop`` words of their places in it."""
     wanted = keep(phrases(items, length=length), "phrases")
     vocabulary = wanted.select(F.explode("terms").alias("term")).distinct()
-    met = intersect(build_index(docs, vocabulary), wanted, lists, slop)
+    met = intersect(build_index(docs, vocabulary), wanted, lists, float("inf"), slop)
     ids = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id")
     return met.join(wanted.select("phrase", F.explode("items").alias("item_id")), "phrase").join(ids, "doc").select(
         "doc_id", "item_id", "start"
