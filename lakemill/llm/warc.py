@@ -23,6 +23,7 @@ import posixpath
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -32,11 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from lakemill.llm import common
 from lakemill.llm.common import filled, join_groups, keep, row_key
 from lakemill.storage import shared_folder
 
 MIN_REVISIT = 1000
 FILE_BYTES = 32 << 20
+#: What the place of a file's first record takes, in memory.
+FIRST_BYTES = 200
 #: Written into every record, so that reruns agree.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -106,7 +110,7 @@ def pack(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
 
 
 def revisits(records: DataFrame) -> DataFrame:
-    """Stored revisit records ``number``, ``again``, of the pages whose payload another page's response holds."""
+    """Stored revisit records (``record``) of the pages whose payload another page's response holds."""
     facts = records.where(F.col("length") >= MIN_REVISIT).groupBy("digest", "length").agg(
         F.count("*").alias("copies"),
         F.max(F.struct(F.col("page").cast("bigint").alias("page_id"), F.col("key"))).alias("held"),
@@ -120,43 +124,75 @@ def revisits(records: DataFrame) -> DataFrame:
         "number", "page", "url", "key", "digest", "length",
         F.col("held.page_id").cast("string").alias("response"), F.col("held.key").alias("response_key"),
     )
-    return keep(_packed(named, True).select("number", F.col("record").alias("again")), "revisits")
+    return keep(_packed(named, True).select("page", "key", "number", "record"), "revisits")
+
+
+_ORDER = ["page_id", "key", "number"]
 
 
 def place(records: DataFrame, again: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """``number``, ``file``, ``offset`` and ``again`` of each record, by running sums over the range order."""
-    order = ["page_id", "key", "number"]
+    """``file`` of each record, beside its place in the order, by running sums over the range order."""
+    small = again.select("number", F.octet_length("record").alias("small"))
     sizes = records.select(
-        F.col("page").cast("bigint").alias("page_id"), "key", "number", F.octet_length("record").alias("bytes")
-    ).join(again, "number", "left")
-    sizes = sizes.withColumn("bytes", F.coalesce(F.octet_length("again"), "bytes").cast("bigint"))
-    ranged = sizes.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+        F.col("page").cast("bigint").alias("page_id"), "key", "number", F.octet_length("record").alias("large")
+    ).join(small, "number", "left")
+    sizes = sizes.select(*_ORDER, F.coalesce("small", "large").cast("bigint").alias("bytes"))
+    ranged = sizes.repartitionByRange(*_ORDER).withColumn("part", F.spark_partition_id())
     sorted_ranges = keep(ranged, "order")
     # a row per partition
     parts = sorted_ranges.groupBy("part").agg(F.sum("bytes").alias("part_bytes"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.select("part", F.coalesce(F.sum("part_bytes").over(earlier), F.lit(0)).alias("base"))
-    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.col("base") + F.coalesce(F.sum("bytes").over(within), F.lit(0))
-    return sorted_ranges.join(F.broadcast(bases), "part").withColumn("offset", offset).select(
-        "number", F.floor(F.col("offset") / file_bytes).cast("bigint").alias("file"), "offset", "again"
+    return sorted_ranges.join(F.broadcast(bases), "part").select(
+        *_ORDER, F.floor(offset / file_bytes).cast("bigint").alias("file")
     )
 
 
+def _position(page: str | None, key: bytes, number: int) -> tuple:
+    return (page is not None, int(page or 0), bytes(key), int(number))
+
+
+def _with_file(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """Rows (``page``, ``key``, ``number``, ...) with their ``file``.
+
+    The first record of every file, a small row, is sent to the executors where all of them fit in the limit
+    for broadcasts; beyond it the rows are joined with their places.
+    """
+    first = placed.groupBy("file").agg(F.min(F.struct(*_ORDER)).alias("first"))
+    first = keep(first.select("file", F.col("first.page_id").cast("string").alias("page"), "first.key", "first.number"), "files")
+    if first.count() * FIRST_BYTES > common.BROADCAST_BYTES:
+        return rows.join(placed.select("number", "file").hint("merge"), "number")
+    found = sorted((_position(r["page"], r["key"], r["number"]), r["file"]) for r in first.collect())
+    sent = rows.sparkSession.sparkContext.broadcast(([p for p, _ in found], [f for _, f in found]))
+
+    @F.pandas_udf("bigint")
+    def file_of(page: pd.Series, key: pd.Series, number: pd.Series) -> pd.Series:
+        starts, files = sent.value
+        own = map(_position, page, key, number)
+        return pd.Series([files[bisect_right(starts, p) - 1] for p in own], dtype="int64")
+
+    return rows.withColumn("file", file_of("page", "key", "number"))
+
+
 def _writer(root: str):
     """Write runs of records to temporary files, one manifest row each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = arrow_fs.FileSystem.from_uri(root)
         store.create_dir(base, recursive=True)
-        current, out, row, digest = None, None, None, None
+        current, out, row, digest, last = None, None, None, None, None
 
         def closed() -> pd.DataFrame:
             out.close()
             return pd.DataFrame([row | {"sha256": digest.hexdigest()}])
 
         for batch in batches:
-            for file, record in zip(batch["file"], batch["record"], strict=True):
+            for file, number, record in zip(batch["file"], batch["number"], batch["record"], strict=True):
+                if number == last:  # the revisit record before it stands for this response
+                    continue
+                last = number
                 if file != current:
                     if out is not None:
                         yield closed()
@@ -196,11 +232,11 @@ _MANIFEST = "file bigint, name string, temporary string, records bigint, bytes b
 def write(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, **columns: str) -> DataFrame:
     """Write archives below ``root`` and return the manifest, a row per file, stored beside them."""
     records = pack(pages, **columns)
-    placed = place(records, revisits(records), file_bytes)
-    rows = records.select("number", "record").join(placed.hint("merge"), "number").select(
-        "file", "offset", F.coalesce("again", "record").alias("record")
-    )
-    runs = rows.repartition("file").sortWithinPartitions("file", "offset").select("file", "record")
+    again = revisits(records)
+    kinds = [again.withColumn("kind", F.lit(0)), records.select(*again.columns).withColumn("kind", F.lit(1))]
+    rows = _with_file(kinds[0].unionByName(kinds[1]), place(records, again, file_bytes))
+    order = [F.col("file"), F.col("page").cast("bigint"), F.col("key"), F.col("number"), F.col("kind")]
+    runs = rows.repartition("file").sortWithinPartitions(*order).select("file", "number", "record")
     written = keep(runs.mapInPandas(_writer(root), _MANIFEST), "written")
     moved = _spread(written).mapInPandas(_mover(root), _MANIFEST)
     moved.write.parquet(posixpath.join(root, "manifest"))
