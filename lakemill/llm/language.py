@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,87 +26,108 @@ from pyspark.sql import functions as F
 from lakemill.llm.common import keep
 
 PROFILE = 300
-LONGEST = 3
 UNDETERMINED = "und"
 #: Languages that may be learned; a table of profiles is at most this many times PROFILE rows.
 MOST_LANGUAGES = 5000
-#: Distinct n-grams that a task counts before it hands them on.
-HELD_COUNTS = 200_000
+#: Distinct words that a task counts before it hands their n-grams on.
+HELD_WORDS = 200_000
 _RUN = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in _RUN.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
+    words = _RUN.findall(text.lower())
+    return words if text.isascii() else [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
 
 
-@lru_cache(maxsize=200_000)
-def ngrams(word: str) -> tuple[str, ...]:
-    padded = f" {word} "
-    grams = [padded[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(padded) - n + 1)]
-    return tuple(g for g in grams if g != " ")
+def ngram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of some words, each as a number that orders as its text, and the index of its word.
 
+    The words stand in one line with a blank on either side of each; an n-gram with a blank in its middle or
+    of a blank alone belongs to no word.
+    """
+    line = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.int64)
+    blank = line == 32
+    word = np.cumsum(blank) - 1
+    word[blank] -= 1  # a blank ends the word before it
+    one, two = line << 42, (line[:-1] << 42) | (line[1:] << 21)
+    three = (two[:-1] | line[2:])[~blank[1:-1]]
+    of_two = np.where(blank[:-1], word[1:], word[:-1])
+    codes = [one[~blank], two, three]
+    return np.concatenate(codes), np.concatenate([word[~blank], of_two, word[1:-1][~blank[1:-1]]])
+
+
+def code_of(gram: str) -> int:
+    return sum(ord(c) << (42 - 21 * i) for i, c in enumerate(gram))
+
+
+def gram_of(code: int) -> str:
+    return "".join(chr(c) for c in (code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF) if c)
 
-def count_ngrams(words: Counter) -> Counter:
-    counts: Counter = Counter()
-    for word, times in words.items():
-        for gram in ngrams(word):
-            counts[gram] += times
-    return counts
+
+def count_ngrams(words: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of counted words, in the order of their text, and how often each is there."""
+    codes, word = ngram_codes(list(words))
+    times = np.fromiter(words.values(), np.int64, len(words))[word]
+    distinct, place = np.unique(codes, return_inverse=True)
+    return distinct, np.bincount(place, times, len(distinct)).astype(np.int64)
+
+
+def most_frequent(words: list[str]) -> np.ndarray:
+    """Codes of a profile's n-grams, the most frequent first; equal counts in the order of the text."""
+    distinct, counts = np.unique(ngram_codes(words)[0], return_counts=True)
+    return distinct[np.argsort(-counts, kind="stable")[:PROFILE]]
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words: dict[str, Counter] = {}
 
-    def handed() -> pd.DataFrame:
-        rows = [(lang, g, n) for lang, seen in words.items() for g, n in count_ngrams(seen).items()]
+    def handed() -> Iterator[pd.DataFrame]:
+        for lang, seen in words.items():
+            if seen:
+                codes, counts = count_ngrams(seen)
+                yield pd.DataFrame({"lang": [lang] * len(codes), "code": codes, "n": counts})
         words.clear()
-        return pd.DataFrame(rows, columns=["lang", "gram", "n"])
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
             words.setdefault(lang, Counter()).update(words_of(text))
-        if sum(map(len, words.values())) > HELD_COUNTS:
-            yield handed()
-    yield handed()
+        if sum(map(len, words.values())) > HELD_WORDS:
+            yield from handed()
+    yield from handed()
 
 
 def learn_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang``, ``gram``, ``rank`` (from 0), from every row that has a text and a language."""
+    """``lang``, ``code`` (see :func:`gram_of`), ``rank`` (from 0), from every row that has a text and a language."""
     known = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    counts = known.mapInPandas(_counted, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(
+    counts = known.mapInPandas(_counted, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(
         F.sum("n").alias("n")
     )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     ranked = counts.withColumn("place", place).where(F.col("place") <= PROFILE)
-    return keep(ranked.select("lang", "gram", (F.col("place") - 1).alias("rank")), "profiles")
-
-
-def most_frequent(counts: Counter) -> list[str]:
-    """The n-grams of a profile, the most frequent first; equal counts in the order of the text."""
-    least = sorted(counts.values())[-PROFILE:][0]
-    return [gram for _, gram in sorted([(-n, gram) for gram, n in counts.items() if n >= least])[:PROFILE]]
+    return keep(ranked.select("lang", "code", (F.col("place") - 1).alias("rank")), "profiles")
 
 
 class _Profiles:
     """Ranks of all languages as one matrix, a row per n-gram."""
 
-    def __init__(self, rows: list[tuple[str, str, int]]):
+    def __init__(self, rows: list[tuple[str, int, int]]):
         self.langs = sorted({lang for lang, _, _ in rows})
         at = {lang: i for i, lang in enumerate(self.langs)}
-        self.row = {gram: i for i, gram in enumerate(sorted({gram for _, gram, _ in rows}))}
+        self.codes = np.unique(np.array([code for _, code, _ in rows], np.int64))
         # the last row is for n-grams of no profile; -1: not in this profile
-        self.ranks = np.full((len(self.row) + 1, len(self.langs)), -1, np.int32)
-        for lang, gram, rank in rows:
-            self.ranks[self.row[gram], at[lang]] = rank
+        self.ranks = np.full((len(self.codes) + 1, len(self.langs)), -1, np.int32)
+        for lang, code, rank in rows:
+            self.ranks[np.searchsorted(self.codes, code), at[lang]] = rank
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
-        top = most_frequent(count_ngrams(Counter(words)))
-        found = self.ranks[[self.row.get(gram, -1) for gram in top]]
+        top = most_frequent(words)
+        row = np.minimum(np.searchsorted(self.codes, top), len(self.codes) - 1)
+        found = self.ranks[np.where(self.codes[row] == top, row, len(self.codes))]
         away = np.abs(found - np.arange(len(top))[:, None])
         distance = np.where(found < 0, PROFILE, away).sum(axis=0)
         best = int(distance.argmin())
@@ -119,7 +139,7 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str, *kept: Column)
     languages = profiles.select("lang").distinct().count()
     if languages > MOST_LANGUAGES:
         raise ValueError(f"{languages} languages; profiles of at most {MOST_LANGUAGES} are sent to every executor")
-    rows = [tuple(r) for r in profiles.select("lang", "gram", "rank").collect()]
+    rows = [tuple(r) for r in profiles.select("lang", "code", "rank").collect()]
     sent = docs.sparkSession.sparkContext.broadcast(rows)
 
     @F.pandas_udf("lang string, score double")
