@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.llm import chat, contamination, exact_dedup, language, licenses, mixing, order_minhash, substring, toxicity, warc
-from lakemill.llm.common import hash_remainder, ship_package, table
+from lakemill.llm.common import hash_remainder, keep, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,10 +41,14 @@ def op1_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     away = held_out(5, 0)
     model = toxicity.char_model(toxicity.learn_characters(docs))
+    # restored once: the labels and the scores both start from the hashed words
+    features = toxicity.restored_features(docs, model, F.col("text"))
+    restored = keep(docs.select("doc_id", away.alias("held_out"), features.alias("features")), "restored")
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
-    labelled = docs.where(~away).join(labels, "doc_id")
-    score = toxicity.score(docs, model, *toxicity.learn_words(labelled, model), F.col("text"))
-    scored = docs.select("doc_id", away.alias("held_out"), score.alias("score"))
+    # as many labels as documents: never a side to broadcast
+    labelled = restored.where(~F.col("held_out")).join(labels.hint("merge"), "doc_id")
+    score = toxicity.score(docs, *toxicity.learn_words(labelled), F.col("features"))
+    scored = restored.select("doc_id", "held_out", score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

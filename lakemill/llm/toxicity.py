@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,6 +144,12 @@ def _lattice(token: str, spaced: bool) -> Iterator[tuple[list[str], list[float]]
         yield list(options), list(options.values())
 
 
+@lru_cache(maxsize=200_000)
+def hashed(word: str) -> int:
+    """31 bits of a word."""
+    return xxhash.xxh32_intdigest(word.encode()) >> 1
+
+
 class Restorer:
     """Restores texts, remembering the tokens it has decoded."""
 
@@ -167,26 +174,40 @@ class Restorer:
         tokens, spelled = written_tokens(text)
         return set().union(*map(self.decode, set(tokens)), *(self.decode(t, True) for t in spelled))
 
+    def features(self, text: str | None) -> list[int]:
+        """Hashes of the distinct restored words."""
+        return sorted(set(map(hashed, self.words(text))))
+
+
+_CODES = np.array([_letter(chr(i)) for i in range(256)])
 
-def _counted_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    words: Counter = Counter()
-    codes: Counter = Counter()
 
-    def sum_up() -> None:
-        for word, n in words.items():
-            padded = f"  {_folded(word)} "
-            for i in range(len(padded) - 2):
-                codes[CharModel.code(*padded[i : i + 3])] += n
-        words.clear()
+def count_trigrams(words: Counter) -> np.ndarray:
+    """Character trigrams of some words, each with its edges, as many times as the word is there."""
+    padded = [f"  {_folded(word)} " for word in words]
+    sizes = np.fromiter(map(len, padded), np.int64, len(padded))
+    letters = _CODES[np.frombuffer("".join(padded).encode("ascii", "replace"), np.uint8)]
+    codes = (letters[:-2] * len(ALPHABET) + letters[1:-1]) * len(ALPHABET) + letters[2:]
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(padded)), sizes)
+    ends = np.cumsum(sizes)
+    times[ends - 1] = times[ends - 2] = 0  # no trigram begins at the last two characters
+    return np.bincount(codes, times[:-2], len(ALPHABET) ** 3).astype(np.int64)
 
+
+def _counted_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    words: Counter = Counter()
+    total = np.zeros(len(ALPHABET) ** 3, np.int64)
     for batch in batches:
         for text in batch["text"]:
             if text:
                 words.update(filter(str.isalpha, written_tokens(text)[0]))
         if len(words) > HELD_WORDS:
-            sum_up()
-    sum_up()
-    yield pd.DataFrame(list(codes.items()), columns=["code", "n"])
+            total += count_trigrams(words)
+            words.clear()
+    if words:
+        total += count_trigrams(words)
+    found = np.flatnonzero(total)
+    yield pd.DataFrame({"code": found.astype(np.int32), "n": total[found]})
 
 
 def learn_characters(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -200,32 +221,31 @@ def char_model(characters: DataFrame) -> CharModel:
     return CharModel([tuple(r) for r in characters.select("code", "n").collect()])
 
 
-def restored_words(model: CharModel, docs: DataFrame, text: Column) -> Column:
-    """The distinct restored words of a text."""
+def restored_features(docs: DataFrame, model: CharModel, text: Column) -> Column:
+    """Hashes of the distinct restored words of a text, as an array."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<string>")
-    def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<int>")
+    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         restorer = Restorer(sent.value)
         for texts in batches:
-            yield pd.Series([sorted(restorer.words(text)) for text in texts], dtype=object)
+            yield pd.Series([np.array(restorer.features(text), np.int32) for text in texts], dtype=object)
 
-    return words(text)
+    return features(text)
 
 
 def learn_words(
-    labelled: DataFrame, model: CharModel, text_col: str = "text", label_col: str = "toxic"
-) -> tuple[dict[str, float], float]:
-    """Log-odds of the words that tell label 1 from label 0, and the log-odds of a text with none of them."""
-    known = labelled.where(F.col(label_col).isin(0, 1))
-    sizes = {r[0]: r[1] for r in known.groupBy(label_col).count().collect()}
+    labelled: DataFrame, features_col: str = "features", label_col: str = "toxic"
+) -> tuple[dict[int, float], float]:
+    """Log-odds of the words (hashes) that tell label 1 from label 0, and of a text with none of them."""
+    known = labelled.where(F.col(label_col).isin(0, 1)).select(
+        F.col(label_col).alias("label"), F.col(features_col).alias("features")
+    )
+    sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return {}, -math.inf
-    words = known.select(
-        F.col(label_col).alias("label"), F.explode(restored_words(model, known, F.col(text_col))).alias("word")
-    )
-    counts = words.groupBy("word").agg(
+    counts = known.select("label", F.explode("features").alias("word")).groupBy("word").agg(
         F.sum("label").cast("double").alias("in_toxic"), F.sum(1 - F.col("label")).cast("double").alias("in_clean")
     )
     rate = (F.col("in_toxic") + F.col("in_clean")) / (toxic + clean)
@@ -243,16 +263,15 @@ def learn_words(
     return weights, none
 
 
-def score(docs: DataFrame, model: CharModel, weights: dict[str, float], none: float, text: Column) -> Column:
+def score(docs: DataFrame, weights: dict[int, float], none: float, features: Column) -> Column:
     """Probability of label 1."""
-    sent = docs.sparkSession.sparkContext.broadcast((model, weights, none))
+    sent = docs.sparkSession.sparkContext.broadcast((weights, none))
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        chars, known, base = sent.value
-        restorer = Restorer(chars)
-        for texts in batches:
-            odds = [base + math.fsum(known.get(w, 0.0) for w in restorer.words(text)) for text in texts]
+        known, base = sent.value
+        for rows in batches:
+            odds = [base + math.fsum(known.get(w, 0.0) for w in words.tolist()) for words in rows]
             yield pd.Series([1 / (1 + math.exp(-max(-700.0, min(700.0, o)))) for o in odds], dtype=float)
 
-    return probability(text)
+    return probability(features)

@@ -24,13 +24,17 @@ def corpus(n=900, seed=3):
     return rows, labels
 
 
+def restored(docs, model):
+    return docs.select("doc_id", toxicity.restored_features(docs, model, F.col("text")).alias("features"))
+
+
 @pytest.fixture(scope="module")
 def learned(spark):
     rows, labels = corpus()
     docs = frame(spark, rows)
     model = toxicity.char_model(toxicity.learn_characters(docs))
     table = spark.createDataFrame([(i, x) for i, x in labels.items()] + [(1, None)], "doc_id bigint, toxic int")
-    return model, *toxicity.learn_words(docs.join(table, "doc_id"), model)
+    return model, *toxicity.learn_words(restored(docs, model).join(table, "doc_id"))
 
 
 @pytest.mark.parametrize(
@@ -78,7 +82,9 @@ def test_character_counts_cover_all_texts(spark):
 
 def scores(spark, rows, learned):
     docs = frame(spark, rows)
-    found = docs.select("doc_id", toxicity.score(docs, *learned, F.col("text")).alias("s")).collect()
+    found = restored(docs, learned[0]).select(
+        "doc_id", toxicity.score(docs, *learned[1:], F.col("features")).alias("s")
+    ).collect()
     return {r.doc_id: r.s for r in found}
 
 
@@ -102,6 +108,7 @@ def test_messy_rows_and_empty_texts(spark, learned):
 def test_no_rows_or_one_label(spark, learned):
     empty = spark.createDataFrame([], SCHEMA)
     model = toxicity.char_model(toxicity.learn_characters(empty))
-    assert toxicity.learn_words(empty.withColumn("toxic", F.lit(1)), model) == ({}, -math.inf)
-    assert toxicity.learn_words(frame(spark, messy()).withColumn("toxic", F.lit(1)), model) == ({}, -math.inf)
+    for docs in (empty, frame(spark, messy())):
+        one_label = restored(docs, model).withColumn("toxic", F.lit(1))
+        assert toxicity.learn_words(one_label) == ({}, -math.inf)
     assert toxicity.Restorer(model).words("a") == {"a"}
