@@ -21,6 +21,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -49,7 +50,8 @@ _LOOK = re.escape("".join(LOOKALIKES))
 _CHAR = rf"(?:[^\W\d_]|[{_LOOK}])"
 # single characters with the same kind of gap between them, at least three
 _SPACED = re.compile(rf"(?<![^\W_]){_CHAR}(?:([ ._\-*])(?:{_CHAR}\1)*{_CHAR}\1{_CHAR})(?![^\W_])")
-_TOKEN = re.compile(rf"{_CHAR}+")
+# all digits and letters are among a word's characters; underscores are blanks by then
+_TOKEN = re.compile(r"[\w" + re.escape("".join(c for c in LOOKALIKES if not c.isalnum())) + "]+")
 _TRIPLE = re.compile(r"(.)\1\1")
 _DECOR = re.compile(rf"([{_LOOK}])\1+$|^([{_LOOK}])\2+|[!|*(<+]+$|^[!|*(<+]+")
 
@@ -78,7 +80,7 @@ def written_tokens(text: str) -> tuple[list[str], list[str]]:
         spelled.append(match.group().replace(match.group(1), ""))
         return " "
 
-    return _TOKEN.findall(_SPACED.sub(take, text)), spelled
+    return _TOKEN.findall(_SPACED.sub(take, text).replace("_", " ")), spelled
 
 
 def _letter(c: str) -> int:
@@ -144,10 +146,9 @@ def _lattice(token: str, spaced: bool) -> Iterator[tuple[list[str], list[float]]
         yield list(options), list(options.values())
 
 
-@lru_cache(maxsize=200_000)
 def hashed(word: str) -> int:
     """31 bits of a word."""
-    return xxhash.xxh32_intdigest(word.encode()) >> 1
+    return xxhash.xxh32_intdigest(word) >> 1
 
 
 class Restorer:
@@ -156,27 +157,35 @@ class Restorer:
     def __init__(self, model: CharModel):
         self.model = model
         self.decode = lru_cache(maxsize=200_000)(self._decode)
+        self.codes = lru_cache(maxsize=200_000)(lambda *token: tuple(map(hashed, self._decode(*token))))
 
     def _decode(self, token: str, spelled: bool = False) -> tuple[str, ...]:
-        token = _folded(token)
+        plain = token.isalpha() and not _TRIPLE.search(token)
+        if not token.isascii():
+            token = _folded(token)
+            plain = plain and not any(c in LOOKALIKES for c in token)
         if not spelled:
-            if token.isalpha() and not _TRIPLE.search(token) and not any(c in LOOKALIKES for c in token):
+            if plain:
                 return (token,)
             token = _DECOR.sub("", token)
             if not any("a" <= c <= "z" for c in token):
                 return ()
         return tuple(self.model.restore(token, spelled).split())
 
-    def words(self, text: str | None) -> set[str]:
-        """The distinct restored words of a text."""
+    def _all(self, text: str | None, decode) -> set:
         if not text:
             return set()
         tokens, spelled = written_tokens(text)
-        return set().union(*map(self.decode, set(tokens)), *(self.decode(t, True) for t in spelled))
+        found = set(chain.from_iterable(map(decode, set(tokens))))
+        return found.union(*(decode(t, True) for t in spelled))
+
+    def words(self, text: str | None) -> set[str]:
+        """The distinct restored words of a text."""
+        return self._all(text, self.decode)
 
-    def features(self, text: str | None) -> list[int]:
+    def features(self, text: str | None) -> np.ndarray:
         """Hashes of the distinct restored words."""
-        return sorted(set(map(hashed, self.words(text))))
+        return np.sort(np.fromiter(self._all(text, self.codes), np.int32))
 
 
 _CODES = np.array([_letter(chr(i)) for i in range(256)])
@@ -229,7 +238,7 @@ def restored_features(docs: DataFrame, model: CharModel, text: Column) -> Column
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         restorer = Restorer(sent.value)
         for texts in batches:
-            yield pd.Series([np.array(restorer.features(text), np.int32) for text in texts], dtype=object)
+            yield pd.Series([restorer.features(text) for text in texts], dtype=object)
 
     return features(text)
 
