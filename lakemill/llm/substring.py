@@ -7,11 +7,13 @@ smallest hash, which equal stretches choose alike.  Hashes of twice the length a
 halves.  Rows of one hash meet only in sums and minima, which map tasks reduce first, so a window that a
 third of all documents share is one row per task.
 
+Equal texts are looked at once, as the one of the smallest id: all windows of its copies start earlier there.
 At 20 words the first place (id, text hash, start) of every distinct window stays; words under any
 other window go.  :func:`longest_repeats` doubles on, until no candidates survive.
 
 Words are runs of other characters than blanks (space, tab to carriage return), compared byte by byte through
-128-bit hashes.  Defined cases: null and empty texts have no words; texts of fewer words
+128-bit hashes (a window by two of 64 bits, a text by MD5; which texts windows belong to is told by 64 bits, where a
+collision could only leave a repeat in place).  Defined cases: null and empty texts have no words; texts of fewer words
 than a window lose none; documents of equal id are ordered by a hash of their text; a null id comes last;
 rows that repeat id and text are one document and have the same result; no rows give no rows.
 """
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import filled, keep
+from lakemill.llm.common import filled, join_groups, keep
 
 WINDOW_WORDS = 20
 BASE_WORDS = 5
@@ -147,7 +149,7 @@ def _anchor_rows(length: int, window: int):
         for texts in _texts(batches, window):
             hashes = window_hashes(known.of(texts.words), length)
             chosen = np.unique(texts.anchors(hashes, length, window))
-            yield texts.places(chosen).assign(hash=hashes[chosen].view(np.int64))
+            yield texts.places(chosen)[["k", "pos"]].assign(hash=hashes[chosen].view(np.int64))
 
     return run
 
@@ -170,24 +172,35 @@ def _surviving_rows(length: int, window: int):
 _STRETCHES = "id bigint, k bigint, base bigint, words binary"
 
 
-def _stretches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"),
-        F.xxhash64(text_col).alias("k"),
-        F.lit(0).cast("bigint").alias("base"),
+        F.xxhash64(filled(text_col)).alias("k"),
         filled(text_col).cast("binary").alias("words"),
+        F.struct("*").alias("row"),
     )
 
 
-def survivors(stretches: DataFrame, length: int, window: int) -> DataFrame:
-    """The parts of stretches under windows that may repeat, judged by windows of ``length`` words inside them."""
-    chosen = stretches.mapInPandas(_anchor_rows(length, window), "id bigint, k bigint, pos bigint, hash bigint")
-    # of a hash that is there once, the minima are its only place
-    single = chosen.groupBy("hash").agg(
-        F.count("*").alias("n"), F.min("id").alias("id"), F.min("k").alias("k"), F.min("pos").alias("pos")
-    ).where("n = 1")
-    by_document = single.groupBy("id", "k").agg(F.collect_list(F.col("pos").cast("int")).alias("single"))
-    joined = stretches.join(by_document, ["id", "k"], "left")
+def _whole(rows: DataFrame) -> DataFrame:
+    """Texts as stretches from their first word."""
+    return rows.select("id", "k", F.lit(0).cast("bigint").alias("base"), "words")
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """One row per text, under the smallest id."""
+    return _whole(rows.groupBy("k").agg(F.min("id").alias("id"), F.first("words").alias("words")))
+
+
+def survivors(every: DataFrame, stretches: DataFrame, length: int, window: int) -> DataFrame:
+    """The parts of stretches under windows that may repeat, judged by windows of ``length`` words inside them.
+
+    ``every`` holds the same stretches and may repeat those of equal texts.
+    """
+    chosen = every.mapInPandas(_anchor_rows(length, window), "k bigint, pos bigint, hash bigint")
+    place = [F.min("k").alias("k"), F.max("k").alias("k_last"), F.min("pos").alias("pos"), F.max("pos").alias("last")]
+    single = chosen.groupBy("hash").agg(*place).where("k = k_last AND pos = last")
+    by_text = single.groupBy("k").agg(F.collect_list(F.col("pos").cast("int")).alias("single"))
+    joined = stretches.join(by_text, "k", "left")
     return keep(joined.mapInPandas(_surviving_rows(length, window), _STRETCHES), "stretches")
 
 
@@ -195,9 +208,10 @@ def candidates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, base: int = BASE_WORDS
 ) -> DataFrame:
     """Stretches that have survived all lengths below ``window``, which is ``base`` doubled some times."""
-    length, stretches = base, _stretches(docs, id_col, text_col)
+    rows = _identified(docs, id_col, text_col)
+    every, stretches, length = _whole(rows), _distinct(rows), base
     while length < window:
-        stretches = survivors(stretches, length, window)
+        every = stretches = survivors(every, stretches, length, window)
         length *= 2
     if length != window:
         raise ValueError(f"{window} is not {base} doubled")
@@ -207,11 +221,11 @@ def candidates(
 def longest_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, base: int = BASE_WORDS
 ) -> DataFrame:
-    """Per document (``id``, null ids as the largest number) the longest length, ``window`` doubled some times, at
-    which one of its windows repeats; documents without any are left out."""
+    """Per distinct text (smallest ``id``, null ids as the largest number) the longest length, ``window`` doubled some
+    times, at which one of its windows repeats in it or in another text; texts without any are left out."""
     stretches, length, found = candidates(docs, id_col, text_col, window, base), window, []
     while True:
-        stretches = survivors(stretches, length, length)
+        stretches = survivors(stretches, stretches, length, length)
         if stretches.isEmpty():
             break
         found.append(stretches.select("id", "k", F.lit(length).alias("words")))
@@ -251,7 +265,10 @@ def _removed_rows(window: int):
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, base: int = BASE_WORDS
 ) -> DataFrame:
-    """Word ranges (``id``, ``k``, ``start``, ``stop``) under windows whose words also start earlier."""
+    """Word ranges (``id``, ``k``, ``start``, ``stop``) under windows whose words also start earlier.
+
+    Of equal texts only the one of the smallest id is listed.
+    """
     stretches = candidates(docs, id_col, text_col, window, base)
     windows = stretches.mapInPandas(_window_rows(window), "id bigint, k bigint, pos bigint, a bigint, b bigint")
     first = windows.groupBy("a", "b").agg(F.min(F.struct("id", "k", "pos")).alias("first")).select("first.*")
@@ -260,35 +277,48 @@ def repeated_spans(
     return joined.mapInPandas(_removed_rows(window), "id bigint, k bigint, start bigint, stop bigint")
 
 
-def _kept(texts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for text, starts, stops in texts:
-        rows = []
-        for value, begin, end in zip(text, starts, stops, strict=True):
-            words = (value or "").encode().split()
-            total = len(words)
-            if begin is not None:
-                for a, b in sorted(zip(begin, end, strict=True), reverse=True):
-                    del words[a:b]
-            kept = b" ".join(words)
-            rows.append((total, total - len(words), hashlib.sha256(kept).hexdigest(), kept.decode()))
-        yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept"])
+def copies(rows: DataFrame) -> DataFrame:
+    """(``id``, ``k``) of the documents whose whole text an earlier document has."""
+    hashed = rows.select("id", "k", F.unhex(F.md5("words")).alias("text"))
+    first = hashed.groupBy("text").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    joined = join_groups(hashed, keep(first, "copies"), ["text"], "n", F.xxhash64("id"))
+    return joined.where(F.col("id") > F.col("first")).select("id", "k").distinct()
+
+
+def _kept(window: int):
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, copied, starts, stops in batches:
+            rows = []
+            for text, copy, begin, end in zip(texts, copied, starts, stops, strict=True):
+                words = bytes(text).split()
+                total = len(words)
+                if copy and total >= window:
+                    words = []
+                elif begin is not None:
+                    for a, b in sorted(zip(begin, end, strict=True), reverse=True):
+                        del words[a:b]
+                kept = b" ".join(words)
+                rows.append((total, total - len(words), hashlib.sha256(kept).hexdigest(), kept.decode()))
+            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept"])
+
+    return run
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, base: int = BASE_WORDS
 ) -> DataFrame:
     """Per input row: ``row``, ``id``, ``n_words``, ``n_removed``, ``kept_sha256`` and the ``kept`` words, joined by blanks."""
-    spans = repeated_spans(docs, id_col, text_col, window, base).distinct().groupBy("id", "k").agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")
+    rows = _identified(docs, id_col, text_col)
+    spans = repeated_spans(docs, id_col, text_col, window, base).groupBy("id", "k").agg(
+        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans")
     )
-    rows = docs.select(
-        F.col(id_col).alias("doc"),
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"),
-        F.xxhash64(text_col).alias("k"),
-        F.col(text_col).alias("text"),
-        F.struct("*").alias("row"),
+    marks = spans.withColumn("copied", F.lit(False)).unionByName(
+        copies(rows).withColumn("copied", F.lit(True)), allowMissingColumns=True
+    )
+    kept = F.pandas_udf(
+        _kept(window), "n_words bigint, n_removed bigint, kept_sha256 string, kept string"
     )
-    kept = F.pandas_udf(_kept, "n_words bigint, n_removed bigint, kept_sha256 string, kept string")
-    joined = rows.join(spans, ["id", "k"], "left")
-    done = joined.withColumn("done", kept("text", F.col("spans.start"), F.col("spans.stop")))
-    return done.select("row", F.col("doc").alias("id"), "done.*")
+    joined = rows.join(marks, ["id", "k"], "left")
+    copied = F.coalesce("copied", F.lit(False))
+    done = joined.withColumn("done", kept("words", copied, F.col("spans.start"), F.col("spans.stop")))
+    return done.select("row", F.col("row")[id_col].alias("id"), "done.*")
