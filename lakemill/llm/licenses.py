@@ -8,9 +8,9 @@ A region that covers a share c of a template's n words holds at least one of any
 that many words, the rarest in the text, place the regions: each occurrence puts the template where its own place in
 it says.  A region is as long as the template and a quarter more on either side.
 
-Defined cases: null and empty texts, and texts without a license, have no findings; a template found in several
-regions counts once, by the best (then first) of them; of several templates the one with the most aligned
-words is named first, then by name; repeated rows have equal results.
+Defined cases: null and empty texts, and texts without a license, have no findings; every copy of a template is a
+finding, the best (then first) region before those that do not overlap it; findings with the most aligned words are
+named first, then by name and place; repeated rows have equal results.
 """
 
 from __future__ import annotations
@@ -81,6 +81,21 @@ def align(text: Sequence[str], template: Sequence[str]) -> list[tuple[int, int]]
     return sorted(pairs)
 
 
+def apart(regions: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """The best regions that do not overlap; of equally good ones the first."""
+    kept: list[tuple[str, float, int, int, int]] = []
+    # in order of start, none overlaps another
+    starts: list[int] = []
+    stops: list[int] = []
+    for region in sorted(dict.fromkeys(regions), key=lambda f: -f[4]):
+        at = bisect_left(starts, region[2])
+        if (at == 0 or stops[at - 1] <= region[2]) and (at == len(starts) or region[3] <= starts[at]):
+            starts.insert(at, region[2])
+            stops.insert(at, region[3])
+            kept.append(region)
+    return kept
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
         self.coverage = coverage
@@ -107,15 +122,14 @@ class Scanner:
             size, most = len(template), sum(min(n, len(places.get(w, ()))) for w, n in self.counts[name].items())
             if most < self.coverage * size:
                 continue
-            more, best = size // 4, None
+            more, regions = size // 4, []
             for begin in self.regions(places, template):
                 low = max(0, begin - more)
                 pairs = align(words[low : begin + size + more], template)
-                if len(pairs) >= self.coverage * size and (best is None or len(pairs) > best[4]):
-                    best = (name, len(pairs) / size, low + pairs[0][0], low + pairs[-1][0] + 1, len(pairs))
-            if best:
-                found.append(best)
-        return sorted(found, key=lambda f: (-f[4], f[0]))
+                if len(pairs) >= self.coverage * size:
+                    regions.append((name, len(pairs) / size, low + pairs[0][0], low + pairs[-1][0] + 1, len(pairs)))
+            found += apart(regions)
+        return sorted(found, key=lambda f: (-f[4], f[0], f[2]))
 
 
 def scan_licenses(
@@ -125,7 +139,7 @@ def scan_licenses(
     templates: dict[str, str] = TEMPLATES,
     coverage: float = COVERAGE,
 ) -> DataFrame:
-    """Per row ``id`` and ``found``: license, coverage, word range and aligned words of each template found."""
+    """Per row ``id`` and ``found``: license, coverage, word range and aligned words of each copy of a template."""
 
     @F.pandas_udf(_FOUND)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -67,11 +67,12 @@ def op3_license_scan(spark, sf):
     best = F.get("found", F.lit(0))
     return found.select(
         F.col("id").alias("doc_id"),
-        F.size("found").alias("n_licenses"),
+        F.size(F.array_distinct(F.transform("found", lambda f: f["license"]))).alias("n_licenses"),
         best["license"].alias("license"),
         best["coverage"].alias("coverage"),
         best["start"].alias("start"),
         best["stop"].alias("stop"),
+        "found",
     )
 
 

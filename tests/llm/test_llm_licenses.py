@@ -89,3 +89,26 @@ def test_query_over_rows(spark):
         (i, str(scanner.scan(t))) for i, t, *_ in rows
     )
     assert licenses.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_copy_of_every_license_is_found():
+    rng, names = random.Random(9), list(TEMPLATES)
+    scanner = licenses.Scanner(TEMPLATES)
+    for name in names:
+        text = TEMPLATES[name]
+        size = len(licenses.words_of(text))
+        spans = [(f[2], f[3]) for f in scanner.scan(f"{text} {sentence(rng, 9)} {text} {text}") if f[0] == name]
+        assert spans == [(0, size), (size + 9, 2 * size + 9), (2 * size + 9, 3 * size + 9)], name
+
+
+def test_query_names_all_licenses(spark, tmp_path):
+    from lakemill.llm.queries import QUERIES
+
+    names = list(TEMPLATES)[:2]
+    text = " filler ".join([TEMPLATES[n] for n in names] + [TEMPLATES[names[0]]])
+    frame(spark, [(1, text, "en", "s"), (2, "none", "en", "s")]).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op3_license_scan"](spark, str(tmp_path)).collect()}
+    assert set(names) <= {f.license for f in rows[1].found} and rows[2].found == [] and rows[2].n_licenses == 0
+    assert sum(f.license == names[0] for f in rows[1].found) == 2
+    assert rows[1].n_licenses == len({f.license for f in rows[1].found})
+    assert (rows[1].license, rows[1].start, rows[1].stop) == tuple(rows[1].found[0][i] for i in (0, 2, 3))
