@@ -105,7 +105,7 @@ def op4_chat_prefix_targets(spark, sf):
     extra = spark.createDataFrame(
         [(-1, 0, "user", CONTROL_STRINGS), (-1, 1, "assistant", CONTROL_STRINGS)], conversations.schema
     )
-    return chat.digest(chat.format_turns(conversations.unionByName(extra)))
+    return chat.digest_examples(chat.format_turns(conversations.unionByName(extra)))
 
 
 @_query("""
