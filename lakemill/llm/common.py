@@ -5,10 +5,10 @@ from __future__ import annotations
 import posixpath
 import shutil
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemill.storage import shared_folder
@@ -92,3 +92,39 @@ def small_side(df: DataFrame) -> DataFrame:
     printed = F.to_json(F.struct(*columns))
     measured = df.agg(F.sum(F.octet_length(printed) + 64).alias("bytes")).first()["bytes"]
     return F.broadcast(df) if (measured or 0) <= BROADCAST_BYTES else df
+
+
+#: An aggregate, its column, and how two of its values add up.
+Running = tuple[Callable[[Column], Column], Column, Callable[[Column, Column], Column]]
+
+
+def running(
+    rows: DataFrame, group: str, order: Sequence[str], results: dict[str, Running], purpose: str
+) -> DataFrame:
+    """Rows with running aggregates, inclusive, in the order inside each group, whatever a group's size.
+
+    The rows are stored in range order of group (never null) and order; a window aggregates within a range, and what
+    earlier ranges hold of the group is added.  Only the first and last group of a range can reach over its border,
+    so this is at most two rows a range, and broadcast.
+    """
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(group, *order, "_row").withColumn("_range", F.spark_partition_id())
+    stored = keep(ranged, purpose)
+    ends = stored.groupBy("_range").agg(F.array(F.min(group), F.max(group)).alias("ends"))
+    border = F.broadcast(ends.select(F.explode("ends").alias(group)).distinct())
+    whole = stored.join(border, group, "left_semi").groupBy("_range", group).agg(
+        *(aggregate(column).alias(f"_{name}") for name, (aggregate, column, _) in results.items())
+    )
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.select(
+        "_range", group, *(aggregate(F.col(f"_{name}")).over(earlier).alias(f"_{name}") for name, (aggregate, _, _) in results.items())
+    )
+    within = Window.partitionBy("_range", group).orderBy(*order, "_row").rowsBetween(Window.unboundedPreceding, 0)
+    joined = stored.join(F.broadcast(before), ["_range", group], "left")
+    return joined.select(
+        *rows.columns,
+        *(
+            add(aggregate(column).over(within), F.coalesce(F.col(f"_{name}"), F.lit(0))).alias(name)
+            for name, (aggregate, column, add) in results.items()
+        ),
+    )

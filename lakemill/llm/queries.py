@@ -8,7 +8,21 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, contamination, exact_dedup, language, licenses, mixing, order_minhash, substring, toxicity, warc
+from lakemill.llm import (
+    chat,
+    contamination,
+    divergence,
+    exact_dedup,
+    language,
+    licenses,
+    mixing,
+    order_minhash,
+    prefix_trie,
+    substring,
+    token_files,
+    toxicity,
+    warc,
+)
 from lakemill.llm.common import hash_remainder, keep, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,3 +232,99 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 def op10_exact_dedup(spark, sf):
     marked = exact_dedup.mark_duplicates(table(spark, sf, "documents"))
     return marked.selectExpr("id AS doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@_query(r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || t)) AS said,
+        -- CRC-32 of the decimal id, a byte and a bit at a time
+        xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+            lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+                lambda v, bit: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 6 AS h
+    FROM turns GROUP BY conv_id
+), built AS (
+    SELECT o.conv_id,
+        list_concat(list_slice(coalesce(b.said, []), 1, o.h), list_slice(o.said, o.h + 1, len(o.said))) AS said
+    FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), prefixes AS (
+    SELECT conv_id, d AS depth, list_slice(said, 1, d) AS path, len(said) = d AS ends
+    FROM (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS d FROM built)
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ended,
+        CASE WHEN depth > 0 THEN list_slice(path, 1, depth - 1) END AS parent
+    FROM prefixes GROUP BY path, depth
+), children AS (
+    SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent
+), graded AS (
+    SELECT nodes.*, coalesce(n, 0) AS n_children,
+        (n_convs - 1) * CASE WHEN depth > 0 THEN length(path[depth].t) ELSE 0 END AS saved
+    FROM nodes LEFT JOIN children ON children.parent = nodes.path
+), sums AS (
+    SELECT list_slice(path, 1, d) AS top, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT path, n_children, saved, unnest(range(0, depth + 1)) AS d FROM graded) GROUP BY top
+)
+SELECT g.conv_id, g.depth, p.conv_id AS parent_conv_id, g.n_convs, g.n_children, n_leaves, saved_tokens,
+    sha256(g.ended) AS ends_sha256
+FROM graded g JOIN sums ON sums.top = g.path LEFT JOIN nodes p ON p.path = g.parent
+""")
+def op11_conversation_trie(spark, sf):
+    turns = prefix_trie.turn_rows(table(spark, sf, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.share_openings(turns))
+
+
+@_query()
+def op12_token_files(spark, sf):
+    from public_tokenizers import path
+
+    folder = warc.archive_folder(spark, "token-ids")
+    manifest = token_files.write(table(spark, sf, "documents"), folder, path("byte_bpe_50k.json"))
+    return token_files.read(manifest, folder)
+
+
+@_query(r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), per_doc AS (
+    SELECT lang, source, term, sum(n) AS n, count(*) AS docs
+    FROM (
+        SELECT id, lang, source, term, count(*) AS n
+        FROM (SELECT id, lang, source, unnest(words) AS term FROM (SELECT row_number() OVER () AS id, * FROM docs))
+        GROUP BY ALL
+    ) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n)::HUGEINT AS n FROM per_doc GROUP BY ALL HAVING sum(docs) >= 30
+), langs AS (
+    SELECT lang, sum(n)::HUGEINT AS total, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), totals AS (
+    SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+    FROM groups LEFT JOIN (SELECT p.* FROM per_doc p SEMI JOIN kept USING (lang, term)) USING (lang, source) GROUP BY ALL
+), shares AS (
+    SELECT t.lang, t.source, k.term, coalesce(p.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(p.n, 0) + 5)) // (t.total + 5 * l.v) AS p,
+        1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v) AS q
+    FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN per_doc p ON p.lang = t.lang AND p.source = t.source AND p.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+) WHERE part = 'pair' OR rank <= 50
+""")
+def op13_source_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))

@@ -301,7 +301,7 @@ def read(manifest: DataFrame, root: str) -> DataFrame:
     )
 
 
-def archive_folder(spark: SparkSession) -> str:
+def archive_folder(spark: SparkSession, purpose: str = "warc") -> str:
     """A fresh folder for archives in the shared folder, as a URI."""
-    folder = shared_folder(spark, "warc")
+    folder = shared_folder(spark, purpose)
     return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"

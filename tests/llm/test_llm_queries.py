@@ -24,7 +24,8 @@ def test_query_equals_its_oracle(spark, db, name):
 
 def test_every_document_has_one_row(spark, db):
     ids = sorted(r[0] for r in db.sql("SELECT doc_id FROM documents").fetchall())
-    for name in set(QUERIES) - {"op4_chat_prefix_targets", "op5_warc_round_trip"}:
+    others = {"op4_chat_prefix_targets", "op5_warc_round_trip", "op11_conversation_trie", "op13_source_divergence"}
+    for name in set(QUERIES) - others:
         assert sorted(r.doc_id for r in QUERIES[name](spark, SMALL).select("doc_id").collect()) == ids, name
 
 
