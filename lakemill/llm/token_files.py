@@ -15,7 +15,7 @@ for, encoded and written there at once, so texts are shuffled once and ids never
 uniquely and reports them; only the manifest, which rows of succeeded tasks reach, says which files count, so
 a lost or repeated task leaves files that nobody reads.  First ids of files are running sums over the manifest.
 
-Texts are encoded by the tokenizer in pieces that end before a blank between two visible characters, where its own
+Texts are encoded by a byte-level tokenizer in pieces that end before a blank between two visible characters, where its own
 splitting always ends a piece as well, so equal pieces are encoded once and a long text never as one string.
 
 Defined cases: a null text is an empty one and has the end id only; a null document id comes first; rows of equal id are
@@ -25,13 +25,15 @@ text are ordinary text; no documents give no files.
 
 from __future__ import annotations
 
+import os
 import posixpath
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,47 +52,125 @@ CHUNK = 2048 * BLOCK
 FILE_IDS = 1 << 24
 #: Text that one task encodes.
 TASK_BYTES = 64 << 20
-#: Pieces that a task remembers, and the longest of them.
-HELD_PIECES, HELD_CHARS = 200_000, 32
+#: Pieces of a generation that a task remembers, and the longest of them.
+HELD_PIECES, HELD_CHARS = 250_000, 32
+#: Characters of a text that are encoded at a time.
+WINDOW_CHARS = 1 << 20
 MAGIC = b"PFORIDS1"
 
 _HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("count", "u1"), ("exceptions", "u1")])
 _POWERS = np.uint64(1) << np.arange(32, dtype=np.uint64)
 _TRAILER = struct.Struct("<QQQQ8s")
-_VISIBLE = "[!-~À-ɏ]"
+_VISIBLE = "[!-~\u00c0-\u024f]"
+_LETTERS, _MARKS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)", r"([!-/:-@\[-`{-~]*)"
+#: Letters and marks behind them, perhaps twice with a line feed between: runs that are never split otherwise.
+_WORD = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
 _CUT = re.compile(f"(?<={_VISIBLE})(?= {_VISIBLE})")
 
 
+def _spelling() -> dict[int, str]:
+    """How a byte-level tokenizer spells the characters of :data:`_WORD`: visible bytes as themselves, the others from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    byte = {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(byte[b] for b in chr(c).encode()) for c in [0x0A, *range(0x20, 0x7F), *range(0xC0, 0x250)]}
+
+
+_SPELLED = _spelling()
+
+
+def _visible(char: str) -> bool:
+    return "!" <= char <= "~" or "\u00c0" <= char <= "\u024f"
+
+
+def _windows(text: str) -> Iterator[str]:
+    """A long text in parts that end where pieces end."""
+    start = 0
+    while start < len(text):
+        cut = _CUT.search(text, start + WINDOW_CHARS)
+        stop = cut.start() if cut else len(text)
+        yield text[start:stop]
+        start = stop
+
+
+def _pieces(text: str) -> list[str]:
+    """What stands between the blanks where a text may be cut; the others are inside pieces."""
+    return [p if i == 0 else p[1:] for i, p in enumerate(_CUT.split(text))]
+
+
 class Encoder:
-    """Ids of whole texts; pieces seen before are looked up."""
+    """Ids of whole texts.
+
+    A piece is known by what follows its blank.  Pieces seen of late are looked up: two generations of at most
+    ``HELD_PIECES``, of which the older is forgotten when the younger is full.
+    """
 
     def __init__(self, path: str):
+        # Spark runs a task per core; threads of the library's own would be in their way
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
-
-    def _learn(self, pieces: Iterator[str]) -> dict[str, list[int]]:
-        learnt: dict[str, list[int]] = {}
-        while part := list(islice(pieces, 10_000)):
-            for piece, done in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                learnt[piece] = done.ids
-        return learnt
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> dict[str, bytes]:
+        done: dict[str, bytes] = {}
+        for at in range(0, len(texts), 10_000):
+            part = texts[at : at + 10_000]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            done.update((t, array("I", f.ids).tobytes()) for t, f in zip(part, found, strict=True))
+        return done
+
+    def _word(self, word: re.Match) -> bytes:
+        """Ids of a matched :data:`_WORD` behind a blank, run by run as the tokenizer's own splitting has them."""
+        letters, marks, next_letters, next_marks = word.groups()
+        runs = [f" {letters}", marks] if next_letters is None else [f" {letters}", marks, "\n", next_letters, next_marks]
+        return array("I", [t.id for run in runs if run for t in self.model.tokenize(run.translate(_SPELLED))]).tobytes()
+
+    def _window(self, text: str, later: bool) -> bytes:
+        """Ids of a window; a later one begins with the blank of its first piece."""
+        pieces = text[later:].split(" ")
+        found = list(map(self.known.get, pieces))
+        if not later:
+            found[0] = None  # has no blank before it
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        # known pieces begin and end in visible characters, so a cut can only be wrong beside others
+        if any(not pieces[i] or not (_visible(pieces[i][0]) and _visible(pieces[i][-1])) for i in missing):
+            pieces = _pieces(text[later:])
+            found = list(map(self.known.get, pieces))
+            if not later:
+                found[0] = None
+            missing = [i for i, ids in enumerate(found) if ids is None]
+        others = []
+        for i in missing:
+            piece, blank = pieces[i], i or later
+            if not blank:
+                others.append(i)
+            elif piece in self.older:
+                self.known[piece] = found[i] = self.older[piece]
+            elif word := _WORD.fullmatch(piece):
+                found[i] = self._word(word)
+                if len(piece) <= HELD_CHARS:
+                    self.known[piece] = found[i]
+            else:
+                others.append(i)
+        if others:
+            keys = {i: f" {pieces[i]}" if i or later else pieces[i] for i in others}
+            learnt = self._encode(list(set(keys.values())))
+            for i, key in keys.items():
+                found[i] = learnt[key]
+                if key[:1] == " " and (i or later) and 0 < len(pieces[i]) <= HELD_CHARS and _visible(pieces[i][0]) and _visible(pieces[i][-1]):
+                    self.known[pieces[i]] = found[i]
+        if len(self.known) > HELD_PIECES:
+            self.known, self.older = {}, self.known
+        return b"".join(found)
 
     def __call__(self, text: str) -> np.ndarray:
-        pieces = _CUT.split(text) if text else []
-        new = {p for p in pieces if p not in self.known}
-        if new:
-            if len(self.known) > HELD_PIECES:
-                self.known.clear()
-                new = set(pieces)
-            own = self._learn(iter(sorted(new)))
-            self.known.update((p, ids) for p, ids in own.items() if len(p) <= HELD_CHARS)
-            found = (own[p] if p in own else self.known[p] for p in pieces)
-        else:
-            found = map(self.known.__getitem__, pieces)
-        return np.fromiter(chain.from_iterable(found), np.uint32)
+        parts = [self._window(window, i > 0) for i, window in enumerate(_windows(text))]
+        return np.frombuffer(b"".join(parts), np.uint32)
 
 
 def _bit_length(values: np.ndarray) -> np.ndarray:

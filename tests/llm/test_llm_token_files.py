@@ -76,14 +76,16 @@ def test_no_documents_in_a_file():
     assert list(tf.documents(written([]))) == []
 
 
-WORDS = [" ", "  ", "\n", "\t ", "the", "The's", "it's", "don't", "1234", "é", "ß", "日本", "…", "<|endoftext|>", "!!", " ", "\x85", "\x1c", "a"]
+WORDS = [" ", "  ", "\n", "\t ", "the", " Über", " straße,", " end.\nThe", " so,\nÄnd!!", " don't\nwe", "The's", "it's", "don't", "1234", "é", "ß", "日本", "…", "<|endoftext|>", "!!", " ", "\x85", "\x1c", "a"]
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.one_of(st.lists(st.sampled_from(WORDS), max_size=30).map("".join), st.text(max_size=60)))
-def test_pieces_give_the_ids_of_the_whole_text(text):
+@given(st.one_of(st.lists(st.sampled_from(WORDS), max_size=30).map("".join), st.text(max_size=60)), st.sampled_from([1, 5, 1 << 20]))
+def test_pieces_give_the_ids_of_the_whole_text(text, window):
     encoder = _encoder()
-    assert encoder(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tf, "WINDOW_CHARS", window)
+        assert encoder(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 _ENCODERS = []
@@ -101,7 +103,7 @@ def test_a_full_memory_of_pieces_is_forgotten(monkeypatch):
     for i in range(20):
         text = f"one two three w{i} x{i} one"
         assert encoder(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
-    assert len(encoder.known) <= 12
+    assert len(encoder.known) <= 12 and len(encoder.older) <= 12
 
 
 def plain(rows):
@@ -119,7 +121,7 @@ def plain(rows):
 @pytest.mark.parametrize("limits", [{}, {"file_ids": 500, "task_bytes": 4000}])
 def test_documents_against_the_tokenizer(spark, limits):
     rows = [(i, t, lang, s) for i, t, lang, s in messy()]
-    rows += [(900, "a long text " * 20_000, "en", "s0"), (901, "x" * 50_000, "en", "s0"), (-7, "first of all", "en", "s0")]
+    rows += [(900, "a long text " * 20_000, "en", "s0"), (901, "x" * 5_000, "en", "s0"), (-7, "first of all", "en", "s0")]
     root = archive_folder(spark, "token-ids")
     manifest = tf.write(frame(spark, rows), root, PATH, **limits)
     got = [tuple(r) for r in tf.read(manifest, root).collect()]
