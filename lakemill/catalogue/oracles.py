@@ -406,7 +406,10 @@ ORACLES: dict[str, str] = {
     "clustered_rewrite": _with(MISSIONS) + f"SELECT {_FLAT_COLUMNS} FROM mission_rows",
     "clustered_external": _with(MISSIONS) + f"SELECT {_CLEAN_COLUMNS} FROM people CROSS JOIN (VALUES (1), (2))",
     # streams
-    "clustered_stream": _EVENTS.replace(" FROM", ", true AS refused FROM"),
+    "clustered_stream": _EVENTS,
+    "shared_target": _EVENTS,
+    "zordered_rewrite": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DOUBLE) AS l_quantity"
+    " FROM lineitem WHERE l_suppkey % 3 = 0",
     "stream_ingest": _EVENTS,
     "stream_continuous": _EVENTS,
     "bulk_load_idempotent": _EVENTS,

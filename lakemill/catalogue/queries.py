@@ -32,6 +32,7 @@ from lakemill.sinks import (
     write_flat_csv,
     write_flat_parquet,
     write_path,
+    zorder_table,
 )
 from lakemill.sources import (
     files_as_table,
@@ -42,7 +43,7 @@ from lakemill.sources import (
     read_table,
 )
 from lakemill.storage import move_single_files, shared_folder
-from lakemill.streaming import arriving_files, bulk_load, drain_into, ingest_available, run_into
+from lakemill.streaming import arriving_files, bulk_load, drain_into, ingest_available, load_new_files, run_into
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -528,6 +529,17 @@ def clustered_rewrite(spark, sf):
     return read_table(spark, f"{schema}.people")
 
 
+@_query
+def zordered_rewrite(spark, sf):
+    """Lines along the curve of their keys: rows, and those of one supplier, found by its own column alone."""
+    _, schema = _scratch(spark, "curve")
+    append_table(b.table(spark, sf, "lineitem"), f"{schema}.lines")
+    zorder_table(spark, f"{schema}.lines", ("l_orderkey", "l_suppkey"), partitions=16)
+    return read_table(spark, f"{schema}.lines").where(F.col("l_suppkey") % 3 == 0).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("double").alias("l_quantity")
+    )
+
+
 @_query
 def clustered_external(spark, sf):
     """Load, cluster, load again: both loads are there."""
@@ -594,18 +606,33 @@ def stream_continuous(spark, sf):
 
 @_query
 def clustered_stream(spark, sf):
-    """Stream, try to cluster, stream more: the target of a stream is refused and goes on as it was."""
+    """Stream, cluster, stream more: every event is there once."""
     folder, schema = _scratch(spark, "stream")
-    events, refused = b.table(spark, sf, "events"), False
+    events = b.table(spark, sf, "events")
     for rest in (0, 1):
         events.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(f"{folder}/landing")
         drain_into(arriving_files(spark, f"{folder}/landing", events.schema), f"{schema}.events", f"{folder}/ledger")
         if not rest:
-            try:
-                cluster_table(spark, f"{schema}.events", ("event_id",))
-            except ValueError:
-                refused = True
-    return _timed_events(spark, schema).withColumn("refused", F.lit(refused))
+            cluster_table(spark, f"{schema}.events", ("event_id",))
+    return _timed_events(spark, schema)
+
+
+@_query
+def shared_target(spark, sf):
+    """Batch rows, a stream, loads and clustering of one table: a third of the events each way, twice tried, once there."""
+    folder, schema = _scratch(spark, "shared")
+    events, target = b.table(spark, sf, "events"), f"{schema}.events"
+    part = F.col("event_id") % 4
+    append_table(events.where(part == 0), target)
+    for way in (1, 2, 3):
+        export_parquet(events.where(part == way), f"{folder}/landing-{way}")
+    for _ in range(2):
+        drain_into(arriving_files(spark, f"{folder}/landing-1", events.schema), target, f"{folder}/ledger")
+        load_new_files(spark, f"{folder}/landing-2", target, max_files=2)
+        zorder_table(spark, target, ("user_id", "ts"))
+    # the folder as a whole holds two files' worth of rows that came another way
+    load_new_files(spark, f"{folder}/landing-[23]", target)
+    return _timed_events(spark, schema)
 
 
 @_query

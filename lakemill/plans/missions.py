@@ -10,13 +10,13 @@ from lakemill.functions import conditional_sum, empty_if_null, full_name, is_mis
 from lakemill.operators.flatten import document_report, flatten_documents
 from lakemill.operators.topk import counted, largest, top
 from lakemill.sinks import (
-    cluster_table,
     comment_on,
     create_schema,
     register_external,
     write_flat_csv,
     write_flat_parquet,
     write_path,
+    zorder_table,
 )
 from lakemill.sources import read_documents, read_parquet
 
@@ -131,5 +131,5 @@ def load_missions(spark: SparkSession, run: MissionRun) -> None:
 
 
 def cluster_missions(spark: SparkSession, table: str, partitions: int | None = None) -> None:
-    """Cluster a table of mission rows by mission and institution."""
-    cluster_table(spark, table, ("mission_identifier", "institution"), partitions)
+    """Cluster a table of mission rows by mission and institution at once."""
+    zorder_table(spark, table, ("mission_identifier", "institution"), partitions)

@@ -16,6 +16,7 @@ from lakemill.sinks.tables import (
     empty_table_like,
     register_external,
     replace_table,
+    zorder_table,
 )
 
 __all__ = [
@@ -34,4 +35,5 @@ __all__ = [
     "write_flat_csv",
     "write_flat_parquet",
     "write_path",
+    "zorder_table",
 ]

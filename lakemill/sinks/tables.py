@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakemill.storage import folder_bytes, path_exists, swap_folders
+from lakemill.operators.curve import along_curve
+from lakemill.storage import copy_folder, folder_bytes, path_exists, swap_folders
 
 
 def _literal(text: str) -> str:
@@ -30,7 +33,7 @@ def replace_table(df: DataFrame, table: str, table_format: str = "parquet") -> N
 
 
 def create_table(spark: SparkSession, table: str, schema: StructType, table_format: str = "parquet") -> None:
-    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {table_format}")
 
 
@@ -67,22 +70,19 @@ def table_location(spark: SparkSession, table: str) -> str:
     return details.first()["data_type"]
 
 
-def cluster_table(
+def _rewrite(
     spark: SparkSession,
     table: str,
-    columns: tuple[str, ...],
-    partitions: int | None = None,
-    table_format: str = "parquet",
+    order: Callable[[DataFrame, int], DataFrame],
+    partitions: int | None,
+    table_format: str,
 ) -> None:
-    """Rewrite a table in range order of some columns, for tight file statistics.
-
-    The table, managed or external, stays where it is: the rewrite goes to a folder beside its location, and the two
-    change places by renaming.  If the job dies between the renames, both folders still hold every row.
-    The target of a stream is refused before anything is touched, since its readers
-    follow the sink's log, not the folder.  Files have about ``CLUSTERED_FILE_BYTES`` unless ``partitions`` is given.
+    """Write a table anew in some order, where it is.
 
-    The row number of the scan is the last range key: it lets a value that fills a third of
-    the table span several tasks, and it stays the same when a lost task is repeated.
+    The rewrite goes to a folder beside the table's location, and the two change places by renaming.  If the job
+    dies between the renames, both folders still hold every row.  The ledger of batches goes along.  The target of a
+    stream that has its own log is refused before anything is touched, since its readers follow that log, not the folder.
+    Nothing else may write to the table meanwhile.
     """
     location = table_location(spark, table)
     if path_exists(spark, f"{location}/_spark_metadata"):
@@ -90,8 +90,42 @@ def cluster_table(
     if partitions is None:
         partitions = max(1, -(-folder_bytes(spark, location) // CLUSTERED_FILE_BYTES))
     staging, retired = f"{location}__clustering", f"{location}__before"
-    numbered = spark.table(table).withColumn("_scan_row", F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(partitions, *columns, "_scan_row").sortWithinPartitions(*columns)
-    ranged.drop("_scan_row").write.format(table_format).mode("overwrite").save(staging)
+    # a listing from before other writers' files would lose them
+    spark.catalog.refreshTable(table)
+    order(spark.table(table), partitions).write.format(table_format).mode("overwrite").save(staging)
+    for kept in ("_ledger", "_staged"):
+        copy_folder(spark, f"{location}/{kept}", f"{staging}/{kept}")
     swap_folders(spark, location, staging, retired)
     spark.catalog.refreshTable(table)
+
+
+def cluster_table(
+    spark: SparkSession,
+    table: str,
+    columns: tuple[str, ...],
+    partitions: int | None = None,
+    table_format: str = "parquet",
+) -> None:
+    """Rewrite a table, managed or external, in range order of some columns, for tight file statistics of the first.
+
+    Files have about ``CLUSTERED_FILE_BYTES`` unless ``partitions`` is given.  The row number of the scan is the last
+    range key: it lets a value that fills a third of the table span several tasks, and it stays the same when a
+    lost task is repeated.
+    """
+
+    def in_ranges(rows: DataFrame, n: int) -> DataFrame:
+        numbered = rows.withColumn("_scan_row", F.monotonically_increasing_id())
+        return numbered.repartitionByRange(n, *columns, "_scan_row").sortWithinPartitions(*columns).drop("_scan_row")
+
+    _rewrite(spark, table, in_ranges, partitions, table_format)
+
+
+def zorder_table(
+    spark: SparkSession,
+    table: str,
+    columns: tuple[str, ...],
+    partitions: int | None = None,
+    table_format: str = "parquet",
+) -> None:
+    """Rewrite a table along a space-filling curve, for file statistics that are tight in each of the columns."""
+    _rewrite(spark, table, lambda rows, n: along_curve(rows, columns, n), partitions, table_format)

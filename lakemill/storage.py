@@ -43,6 +43,35 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly inside a folder, none when it is missing."""
+    fs, folder = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; one that somebody else has renamed meanwhile is left alone."""
+    fs, target_path = _file_system(spark, target)
+    source_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    fs.mkdirs(target_path.getParent())
+    if not fs.rename(source_path, target_path) and not (fs.exists(target_path) and not fs.exists(source_path)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a folder, if it is there."""
+    fs, source_path = _file_system(spark, source)
+    if fs.exists(source_path):
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        hadoop.FileUtil.copy(fs, source_path, fs, hadoop.Path(target), False, True, conf)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     fs, hadoop_path = _file_system(spark, path)
     return fs.getContentSummary(hadoop_path).getLength()

@@ -4,6 +4,7 @@ from lakemill.streaming.ingest import (
     bulk_load,
     drain_into,
     ingest_available,
+    load_new_files,
     run_into,
 )
 
@@ -13,5 +14,6 @@ __all__ = [
     "bulk_load",
     "drain_into",
     "ingest_available",
+    "load_new_files",
     "run_into",
 ]

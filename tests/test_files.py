@@ -1,9 +1,14 @@
 """CSV and Parquet sources and sinks, table maintenance."""
 
+import random
+
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from lakemill.config import RetailRun
+from lakemill.operators.curve import along_curve
 from lakemill.plans import bronze, silver
 from lakemill.schemas import MISSION_SCHEMA, RETAIL_COLUMNS, text_schema
 from lakemill import sinks, sources, storage
@@ -132,12 +137,14 @@ def test_clustered_external_table_stays_where_it_is(spark, schema, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir() if p.name.startswith("data")) == ["data"]
 
 
-def test_a_stream_target_is_not_clustered(spark, schema, tmp_path):
-    from lakemill.streaming import bulk_load
+def test_a_stream_target_with_a_log_is_not_clustered(spark, schema, tmp_path):
+    from lakemill.streaming import arriving_files
 
     spark.range(10).write.parquet(f"{tmp_path}/landing")
-    sinks.empty_table_like(spark, f"{schema}.t", f"{tmp_path}/landing")
-    bulk_load(spark, f"{tmp_path}/landing", f"{schema}.t", f"{tmp_path}/ledger")
+    files = arriving_files(spark, f"{tmp_path}/landing", spark.range(0).schema)
+    files.writeStream.option("checkpointLocation", f"{tmp_path}/ledger").trigger(availableNow=True).toTable(
+        f"{schema}.t"
+    ).awaitTermination()
     with pytest.raises(ValueError, match="target of a stream"):
         sinks.cluster_table(spark, f"{schema}.t", ("id",))
     assert spark.table(f"{schema}.t").count() == 10
@@ -170,3 +177,47 @@ def test_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = storage.shared_folder(spark, "a"), storage.shared_folder(spark, "a")
     assert one != two and one.startswith(f"{root}/lakemill/a-")
+
+
+def _files_to_read(folder, column, value):
+    """Files whose footers allow a value of a column, of all."""
+    ranges = []
+    for path in folder.glob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+    return sum(low <= value <= high for low, high in ranges), len(ranges)
+
+
+def test_the_curve_skips_files_by_either_column(spark, schema, tmp_path):
+    rng = random.Random(9)
+    data = [(rng.randrange(100_000), f"name {rng.randrange(100_000):06d}", i) for i in range(20_000)]
+    spark.createDataFrame(data, "a int, b string, i int").write.saveAsTable(f"{schema}.t")
+    folder = tmp_path / "tables" / "t"
+    found = {}
+    for way in (sinks.cluster_table, sinks.zorder_table):
+        way(spark, f"{schema}.t", ("a", "b"), partitions=64)
+        assert rows(spark.table(f"{schema}.t")) == rows(spark.createDataFrame(data, "a int, b string, i int"))
+        found[way] = [_files_to_read(folder, c, v)[0] for c, v in (("a", 50_000), ("b", "name 050000"))]
+        assert _files_to_read(folder, "a", 0)[1] == 64
+    assert found[sinks.cluster_table][1] == 64  # range order skips none by the second column
+    assert max(found[sinks.zorder_table]) <= 24
+
+
+def test_the_curve_takes_every_type_nulls_and_hot_values(spark, schema, tmp_path):
+    rows_of = spark.range(2000).selectExpr(
+        "if(id % 3 = 0, null, id % 5) AS few", "if(id % 3 = 1, cast('nan' AS double), id / 7) AS d",
+        "cast(id AS decimal(20,2)) AS n", "date_add(date'2020-01-01', cast(id AS int)) AS day",
+        "timestamp_seconds(id) AS t", "repeat('x', cast(id AS int)) AS s", "id % 2 = 0 AS yes", "id",
+    )
+    for columns in (("few", "d"), ("day", "n", "s"), ("yes", "t"), ("s",)):
+        placed = along_curve(rows_of, columns, 8)
+        assert placed.columns == rows_of.columns
+        assert placed.select("id").exceptAll(rows_of.select("id")).isEmpty() and placed.count() == 2000
+    hot = spark.range(3000).selectExpr("1 AS a", "'same' AS b", "id")
+    sizes = along_curve(hot, ("a", "b"), 6).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 6 and max(r["count"] for r in sizes) < 1000
+    assert along_curve(hot.limit(0), ("a", "b"), 3).count() == 0
+    with pytest.raises(ValueError, match="do not fit"):
+        along_curve(hot, ("a",) * 7, 3)

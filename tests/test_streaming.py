@@ -1,7 +1,11 @@
+import os
+
 import pytest
 
 from conftest import rows
 from lakemill import sinks, streaming
+from lakemill.sinks import ledger
+from lakemill.sinks.ledger import add_once
 
 
 def land(spark, path, low, high, mode="append"):
@@ -49,9 +53,104 @@ def test_continuous_run_picks_up_new_files(spark, schema, tmp_path):
     assert spark.table(table).count() == 9
 
 
-def test_a_table_with_batch_rows_is_no_stream_target(spark, schema, tmp_path):
-    path = f"{tmp_path}/landing"
+def test_a_stream_shares_its_table_with_batch_rows(spark, schema, tmp_path):
+    path, table = f"{tmp_path}/landing", f"{schema}.people"
+    land(spark, path, 0, 5)
+    spark.range(100, 103).selectExpr("id", "'batch' AS v").write.saveAsTable(table)
+    for _ in range(2):
+        streaming.bulk_load(spark, path, table, f"{tmp_path}/ledger")
+    sinks.cluster_table(spark, table, ("v",))
+    land(spark, path, 5, 9)
+    for _ in range(2):
+        streaming.bulk_load(spark, path, table, f"{tmp_path}/ledger")
+    assert sorted(r.id for r in spark.table(table).collect()) == [*range(9), 100, 101, 102]
+
+
+def test_a_target_with_the_sinks_own_log_goes_on_as_it_was(spark, schema, tmp_path):
+    path, table = f"{tmp_path}/landing", f"{schema}.old"
     land(spark, path, 0, 5)
-    spark.read.parquet(path).write.saveAsTable(f"{schema}.people")
-    with pytest.raises(ValueError, match="batch data"):
-        streaming.bulk_load(spark, path, f"{schema}.people", f"{tmp_path}/ledger")
+    files = streaming.arriving_files(spark, path, spark.read.parquet(path).schema)
+    begun = files.writeStream.option("checkpointLocation", f"{tmp_path}/ledger").trigger(availableNow=True).toTable(table)
+    begun.awaitTermination()
+    land(spark, path, 5, 9)
+    streaming.drain_into(files, table, f"{tmp_path}/ledger")
+    assert sorted(r.id for r in spark.table(table).collect()) == list(range(9))
+    with pytest.raises(ValueError, match="log of its own"):
+        add_once(spark.table(table), table, "x")
+
+
+def test_loads_take_each_file_once(spark, schema, tmp_path):
+    path, table = f"{tmp_path}/landing", f"{schema}.people"
+    land(spark, path, 0, 10)
+    spark.range(100, 103).selectExpr("id", "'batch' AS v").write.saveAsTable(table)
+    assert streaming.load_new_files(spark, path, table, max_files=2) == 3
+    assert streaming.load_new_files(spark, path, table) == 0
+    sinks.zorder_table(spark, table, ("id", "v"), partitions=2)
+    assert streaming.load_new_files(spark, path, table) == 0
+    land(spark, path, 10, 15)
+    assert streaming.load_new_files(spark, path, table) == 3
+    assert sorted(r.id for r in spark.table(table).collect()) == [*range(15), 100, 101, 102]
+    # a file that has changed is the same file, unless it is asked for
+    for part in sorted((tmp_path / "landing").glob("*.parquet"))[:1]:
+        os.utime(part, (1_700_000_000, 1_700_000_000))
+    assert streaming.load_new_files(spark, path, table) == 0
+    assert streaming.load_new_files(spark, path, table, reload_changed=True) == 1
+    # replacing the table takes the ledger with the rows
+    sinks.replace_table(spark.range(1).selectExpr("id", "'new' AS v"), table)
+    assert streaming.load_new_files(spark, path, table) == 6
+
+
+@pytest.mark.parametrize("dies", ["staging", "entry", "first move", "all moves"])
+def test_a_load_that_died_is_repaired(spark, schema, tmp_path, monkeypatch, dies):
+    path, table = f"{tmp_path}/landing", f"{schema}.people"
+    land(spark, path, 0, 12)
+    sinks.empty_table_like(spark, table, path)
+    moves = []
+    move, drop = ledger.move_file, ledger.delete_path
+
+    def moving(spark, source, target):
+        into_ledger = "/_ledger/" in target
+        if dies == "staging" and into_ledger or dies == "entry" and not into_ledger or dies == "first move" and moves:
+            raise KeyboardInterrupt
+        move(spark, source, target)
+        moves.extend([] if into_ledger else [target])
+
+    def dropping(spark, path):
+        if dies == "all moves":
+            raise KeyboardInterrupt
+        drop(spark, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "move_file", moving)
+        patch.setattr(ledger, "delete_path", dropping)
+        with pytest.raises(KeyboardInterrupt):
+            streaming.load_new_files(spark, path, table)
+    if dies == "first move":
+        sinks.cluster_table(spark, table, ("id",))  # half of a batch is there: the rest still comes
+    for _ in range(2):
+        streaming.load_new_files(spark, path, table)
+        assert sorted(r.id for r in spark.table(table).collect()) == list(range(12))
+    assert not list(tmp_path.glob("tables/people/_staged/*"))
+
+
+def test_a_repeated_batch_adds_nothing(spark, schema):
+    table = f"{schema}.t"
+    sinks.replace_table(spark.range(3), table)
+    for batch, expected in (("s-0", 5), ("s-0", 5), ("s-1", 7), ("s-1", 7)):
+        add_once(spark.range(2), table, batch)
+        assert spark.table(table).count() == expected
+    sinks.cluster_table(spark, table, ("id",))
+    assert not add_once(spark.range(2), table, "s-1")
+    assert spark.table(table).count() == 7
+
+
+def test_added_rows_fit_the_table(spark, schema):
+    table = f"{schema}.t"
+    sinks.create_table(spark, table, spark.range(0).selectExpr("id", "'' AS v").schema)
+    add_once(spark.range(2).selectExpr("cast(id AS int) AS id"), table, "a")
+    assert rows(spark.table(table)) == [(0, None), (1, None)]
+    with pytest.raises(ValueError, match="no columns extra"):
+        add_once(spark.range(2).selectExpr("id", "1 AS extra"), table, "b")
+    spark.range(2).selectExpr("id", "id AS p").write.partitionBy("p").saveAsTable(f"{schema}.parts")
+    with pytest.raises(ValueError, match="partitioned"):
+        add_once(spark.range(2), f"{schema}.parts", "a")
