@@ -6,8 +6,8 @@ ranks are interleaved, the first column's first (Z-order).  Rows near each other
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +25,8 @@ def _ranked(df: DataFrame, column: str) -> Column:
     return F.substring(F.col(column), 1, RANKED_CHARS) if text else F.col(column)
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) -> dict[str, list[Any]]:
-    """At most 2^bits - 1 distinct values that cut each column into parts of about equal size, from a sample.
+def quantiles(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) -> dict[str, list[str]]:
+    """At most 2^bits - 1 distinct values, as text, that cut each column into parts of about equal size, from a sample.
 
     The sample has about ``SAMPLED_ROWS`` rows, and only the cuts come to the driver.
     """
@@ -36,20 +36,25 @@ def quantiles(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) -> d
         picked = picked.sample(SAMPLED_ROWS / rows, seed=1)
     parts = 1 << bits
 
+    # sorted once, below the lambda that looks into it
+    ordered = picked.agg(*(F.collect_list(c).alias(c) for c in columns)).select(*(F.sort_array(c).alias(c) for c in columns))
+
     def cuts(column: str) -> Column:
-        ordered = F.sort_array(F.collect_list(column))
-        place = lambda i: F.floor(i * F.size(ordered) / F.lit(parts)).cast("int")
-        at = F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), lambda i: F.get(ordered, place(i)))
-        return F.array_distinct(F.filter(at, lambda v: v.isNotNull())).alias(column)
+        at = F.transform(
+            F.sequence(F.lit(1), F.lit(parts - 1)),
+            lambda i: F.get(column, F.floor(i * F.size(column) / F.lit(parts)).cast("int")),
+        )
+        return F.array_distinct(F.filter(at, lambda v: v.isNotNull())).cast("array<string>").alias(column)
 
-    return picked.agg(*(cuts(c) for c in columns)).first().asDict()
+    return ordered.select(*(cuts(c) for c in columns)).first().asDict()
 
 
-def _rank(value: Column, kind: str, cuts: Sequence[Any], bits: int) -> Column:
+def _rank(value: Column, kind: str, cuts: Sequence[str], bits: int) -> Column:
     """How many cuts are not above the value, by binary search, spread over all of the bits; NULL ranks lowest."""
     if not cuts:
         return F.lit(0).cast("bigint")
-    sorted_cuts = F.array(*(F.lit(c).cast(kind) for c in cuts))
+    # one literal, which the optimizer turns into an array once
+    sorted_cuts = F.from_json(F.lit(json.dumps(list(cuts))), "array<string>").cast(f"array<{kind}>")
     steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
     found = F.aggregate(
         F.array(*map(F.lit, steps)),
