@@ -5,13 +5,14 @@ from __future__ import annotations
 import posixpath
 import shutil
 import tempfile
+import weakref
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakemill.storage import shared_folder
+from lakemill.storage import delete_path, shared_folder
 
 #: Characters between words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -46,7 +47,23 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = posixpath.join(shared_folder(df.sparkSession, purpose), "rows")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    _KEPT[id(kept)] = (weakref.ref(kept), path)
+    return kept
+
+
+_KEPT: dict[int, tuple] = {}
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete kept tables, whose readers have all been stored themselves; other DataFrames are left alone.
+
+    What was made from a table no longer needs it once it is stored, so a lost executor does not either.
+    """
+    for df in tables:
+        of, path = _KEPT.pop(id(df), (lambda: None, ""))
+        if of() is df:
+            delete_path(df.sparkSession, path)
 
 
 def filled(column: str | Column) -> Column:

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -29,9 +30,12 @@ PROFILE = 300
 UNDETERMINED = "und"
 #: Languages that may be learned; a table of profiles is at most this many times PROFILE rows.
 MOST_LANGUAGES = 5000
-#: Distinct words that a task counts before it hands their n-grams on.
-HELD_WORDS = 200_000
+#: Distinct words, or their characters, that a task holds before it hands on their n-grams.
+HELD_WORDS, HELD_CHARS = 100_000, 2_000_000
+#: Words whose n-grams are spelled out at a time, and characters of a text.
+WORDS_AT_ONCE, CHARS_AT_ONCE = 10_000, 1 << 20
 _RUN = re.compile(r"[^\W\d_]+")
+_BLANK = re.compile(r"\s")
 
 
 def words_of(text: str) -> list[str]:
@@ -39,6 +43,16 @@ def words_of(text: str) -> list[str]:
     return words if text.isascii() else [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
 
 
+def parts_of(text: str) -> Iterator[str]:
+    """A long text in parts that end at a blank."""
+    start = 0
+    while start < len(text):
+        blank = _BLANK.search(text, start + CHARS_AT_ONCE)
+        stop = blank.end() if blank else len(text)
+        yield text[start:stop]
+        start = stop
+
+
 def ngram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams of some words, each as a number that orders as its text, and the index of its word.
 
@@ -64,35 +78,58 @@ def gram_of(code: int) -> str:
     return "".join(chr(c) for c in (code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF) if c)
 
 
-def count_ngrams(words: Counter) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of counted words, in the order of their text, and how often each is there."""
-    codes, word = ngram_codes(list(words))
-    times = np.fromiter(words.values(), np.int64, len(words))[word]
+def _added_up(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     distinct, place = np.unique(codes, return_inverse=True)
-    return distinct, np.bincount(place, times, len(distinct)).astype(np.int64)
+    totals = np.zeros(len(distinct), np.int64)
+    np.add.at(totals, place, counts)
+    return distinct, totals
+
+
+def count_ngrams(words: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of counted words, in the order of their text, and how often each is there.
+
+    Only ``WORDS_AT_ONCE`` words are spelled out at a time: what a task holds grows with the distinct n-grams.
+    """
+    distinct, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    left = iter(words.items())
+    while part := list(islice(left, WORDS_AT_ONCE)):
+        codes, word = ngram_codes([w for w, _ in part])
+        own = _added_up(codes, np.fromiter((n for _, n in part), np.int64, len(part))[word])
+        distinct, counts = _added_up(np.concatenate([distinct, own[0]]), np.concatenate([counts, own[1]]))
+    return distinct, counts
 
 
 def most_frequent(words: list[str]) -> np.ndarray:
     """Codes of a profile's n-grams, the most frequent first; equal counts in the order of the text."""
-    distinct, counts = np.unique(ngram_codes(words)[0], return_counts=True)
+    if len(words) <= WORDS_AT_ONCE:
+        distinct, counts = np.unique(ngram_codes(words)[0], return_counts=True)
+    else:
+        distinct, counts = count_ngrams(Counter(words))
     return distinct[np.argsort(-counts, kind="stable")[:PROFILE]]
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words: dict[str, Counter] = {}
+    held = chars = 0
 
     def handed() -> Iterator[pd.DataFrame]:
         for lang, seen in words.items():
-            if seen:
-                codes, counts = count_ngrams(seen)
+            codes, counts = count_ngrams(seen)
+            if len(codes):
                 yield pd.DataFrame({"lang": [lang] * len(codes), "code": codes, "n": counts})
         words.clear()
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            words.setdefault(lang, Counter()).update(words_of(text))
-        if sum(map(len, words.values())) > HELD_WORDS:
-            yield from handed()
+            for part in parts_of(text):
+                own = words.setdefault(lang, Counter())
+                for word, n in Counter(words_of(part)).items():
+                    if word not in own:
+                        held, chars = held + 1, chars + len(word)
+                    own[word] += n
+                if held > HELD_WORDS or chars > HELD_CHARS:
+                    yield from handed()
+                    held = chars = 0
     yield from handed()
 
 
@@ -122,7 +159,7 @@ class _Profiles:
             self.ranks[np.searchsorted(self.codes, code), at[lang]] = rank
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text) if text else []
+        words = [word for part in parts_of(text) for word in words_of(part)] if text else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
         top = most_frequent(words)

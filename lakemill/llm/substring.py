@@ -36,7 +36,7 @@ BASE_WORDS = 5
 #: Words that a task holds in arrays at a time; a longer text is held alone.
 HELD_WORDS = 250_000
 #: Distinct words whose hashes a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 _LAST = (1 << 63) - 1
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 

@@ -1,5 +1,8 @@
+import random
+import tracemalloc
 from collections import Counter
 
+import pandas as pd
 from llm_cases import SCHEMA, frame, messy
 from pyspark.sql import functions as F
 
@@ -79,3 +82,43 @@ def test_documents_of_a_language_stay(spark):
     kept = language.identified(df, language.learn_profiles(frame(spark, ROWS)))
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in ROWS)
+
+
+def test_parts_of_a_text_hold_its_words(monkeypatch):
+    text = "Ein Haus\u2003und  noch\neins, ΟΔΥΣΣΕΥΣ Σ " + "x" * 50 + " so"
+    for size in (1, 3, 10, 1000):
+        monkeypatch.setattr(language, "CHARS_AT_ONCE", size)
+        parts = list(language.parts_of(text))
+        assert "".join(parts) == text
+        assert [w for p in parts for w in language.words_of(p)] == language.words_of(text)
+    assert list(language.parts_of("")) == []
+
+
+def test_ngrams_of_many_words_are_counted_in_pieces(monkeypatch):
+    rng = random.Random(1)
+    words = Counter({"".join(rng.choices("abcdeäö", k=rng.randrange(1, 9))): rng.randrange(1, 50) for _ in range(500)})
+    plain = Counter()
+    for word, n in words.items():
+        padded = f" {word} "
+        for size in (1, 2, 3):
+            grams = [padded[i : i + size] for i in range(len(padded) - size + 1)]
+            plain.update({g: n * c for g, c in Counter(g for g in grams if g.strip()).items()})
+    for size in (1, 7, 10_000):
+        monkeypatch.setattr(language, "WORDS_AT_ONCE", size)
+        codes, counts = language.count_ngrams(words)
+        assert {language.gram_of(int(c)): int(n) for c, n in zip(codes, counts, strict=True)} == plain
+
+
+def test_a_task_counts_in_bounded_memory():
+    """200,000 distinct words and one very long text take under 100 MB beside the text itself."""
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(2000)) for _ in range(100)]
+    texts.append(" ".join(texts[:50]))
+    batch = pd.DataFrame({"lang": "en", "text": texts})
+    tracemalloc.start()
+    try:
+        rows = sum(len(part) for part in language._counted(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows and peak < 100 << 20
