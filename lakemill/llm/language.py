@@ -30,8 +30,8 @@ PROFILE = 300
 UNDETERMINED = "und"
 #: Languages that may be learned; a table of profiles is at most this many times PROFILE rows.
 MOST_LANGUAGES = 5000
-#: Distinct words, or their characters, that a task holds before it hands on their n-grams.
-HELD_WORDS, HELD_CHARS = 100_000, 2_000_000
+#: Distinct words, and characters of them at most, that a task holds before it hands on their n-grams.
+HELD_WORDS, HELD_CHARS = 100_000, 8_000_000
 #: Words whose n-grams are spelled out at a time, and characters of a text.
 WORDS_AT_ONCE, CHARS_AT_ONCE = 10_000, 1 << 20
 _RUN = re.compile(r"[^\W\d_]+")
@@ -80,9 +80,7 @@ def gram_of(code: int) -> str:
 
 def _added_up(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     distinct, place = np.unique(codes, return_inverse=True)
-    totals = np.zeros(len(distinct), np.int64)
-    np.add.at(totals, place, counts)
-    return distinct, totals
+    return distinct, np.bincount(place, counts, len(distinct)).astype(np.int64)
 
 
 def count_ngrams(words: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -122,11 +120,12 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
             for part in parts_of(text):
-                own = words.setdefault(lang, Counter())
-                for word, n in Counter(words_of(part)).items():
-                    if word not in own:
-                        held, chars = held + 1, chars + len(word)
-                    own[word] += n
+                own, found = words.setdefault(lang, Counter()), words_of(part)
+                before = len(own)
+                own.update(found)
+                new = len(own) - before
+                # every new word is at most as long as the longest
+                held, chars = held + new, chars + new * max(map(len, found), default=0)
                 if held > HELD_WORDS or chars > HELD_CHARS:
                     yield from handed()
                     held = chars = 0

@@ -25,6 +25,7 @@ text are ordinary text; no documents give no files.
 
 from __future__ import annotations
 
+import gc
 import os
 import posixpath
 import re
@@ -53,7 +54,7 @@ FILE_IDS = 1 << 24
 #: Text that one task encodes.
 TASK_BYTES = 64 << 20
 #: Pieces of a generation that a task remembers, and the longest of them.
-HELD_PIECES, HELD_CHARS = 250_000, 32
+HELD_PIECES, HELD_CHARS = 400_000, 32
 #: Characters of a text that are encoded at a time.
 WINDOW_CHARS = 1 << 20
 MAGIC = b"PFORIDS1"
@@ -64,6 +65,7 @@ _TRAILER = struct.Struct("<QQQQ8s")
 _VISIBLE = "[!-~\u00c0-\u024f]"
 _LETTERS, _MARKS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)", r"([!-/:-@\[-`{-~]*)"
 #: Letters and marks behind them, perhaps twice with a line feed between: runs that are never split otherwise.
+_PLAIN = re.compile(f"([A-Za-z]+){_MARKS}")
 _WORD = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
 _CUT = re.compile(f"(?<={_VISIBLE})(?= {_VISIBLE})")
 
@@ -130,33 +132,45 @@ class Encoder:
         runs = [f" {letters}", marks] if next_letters is None else [f" {letters}", marks, "\n", next_letters, next_marks]
         return array("I", [t.id for run in runs if run for t in self.model.tokenize(run.translate(_SPELLED))]).tobytes()
 
+    def _look_up(self, pieces: list[str], found: list[bytes | None], later: bool) -> list[int]:
+        """Fill in what is older or a word; the places that are left."""
+        others = []
+        known, older, tokens = self.known, self.older, self.model.tokenize
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            piece = pieces[i]
+            if not (i or later):
+                others.append(i)
+                continue
+            ids = older.get(piece)
+            if ids is None:
+                if word := _PLAIN.fullmatch(piece):
+                    letters, marks = word.groups()
+                    run = tokens("\u0120" + letters)
+                    ids = array("I", [t.id for t in (run + tokens(marks) if marks else run)]).tobytes()
+                elif word := _WORD.fullmatch(piece):
+                    ids = self._word(word)
+                else:
+                    others.append(i)
+                    continue
+            found[i] = ids
+            if len(piece) <= HELD_CHARS:
+                known[piece] = ids
+        return others
+
     def _window(self, text: str, later: bool) -> bytes:
         """Ids of a window; a later one begins with the blank of its first piece."""
         pieces = text[later:].split(" ")
         found = list(map(self.known.get, pieces))
         if not later:
             found[0] = None  # has no blank before it
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        # known pieces begin and end in visible characters, so a cut can only be wrong beside others
-        if any(not pieces[i] or not (_visible(pieces[i][0]) and _visible(pieces[i][-1])) for i in missing):
+        others = self._look_up(pieces, found, later)
+        # known pieces and words begin and end in visible characters, so a cut can only be wrong beside others
+        if any(not pieces[i] or not (_visible(pieces[i][0]) and _visible(pieces[i][-1])) for i in others):
             pieces = _pieces(text[later:])
             found = list(map(self.known.get, pieces))
             if not later:
                 found[0] = None
-            missing = [i for i, ids in enumerate(found) if ids is None]
-        others = []
-        for i in missing:
-            piece, blank = pieces[i], i or later
-            if not blank:
-                others.append(i)
-            elif piece in self.older:
-                self.known[piece] = found[i] = self.older[piece]
-            elif word := _WORD.fullmatch(piece):
-                found[i] = self._word(word)
-                if len(piece) <= HELD_CHARS:
-                    self.known[piece] = found[i]
-            else:
-                others.append(i)
+            others = self._look_up(pieces, found, later)
         if others:
             keys = {i: f" {pieces[i]}" if i or later else pieces[i] for i in others}
             learnt = self._encode(list(set(keys.values())))
@@ -169,7 +183,12 @@ class Encoder:
         return b"".join(found)
 
     def __call__(self, text: str) -> np.ndarray:
-        parts = [self._window(window, i > 0) for i, window in enumerate(_windows(text))]
+        # a text makes many small objects and no cycles
+        gc.disable()
+        try:
+            parts = [self._window(window, i > 0) for i, window in enumerate(_windows(text))]
+        finally:
+            gc.enable()
         return np.frombuffer(b"".join(parts), np.uint32)
 
 
