@@ -408,6 +408,13 @@ ORACLES: dict[str, str] = {
     # streams
     "clustered_stream": _EVENTS,
     "shared_target": _EVENTS,
+    "stream_changing_shapes": """SELECT event_id,
+  CASE WHEN event_id % 3 <> 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts,
+  CASE WHEN event_id % 3 <> 1 OR user_id % 5 <> 0 THEN user_id END AS user_id,
+  CASE WHEN event_id % 3 <> 2 THEN event_type END AS event_type, CASE WHEN event_id % 3 <> 2 THEN value END AS value,
+  CASE WHEN event_id % 3 <> 2 THEN props END AS props, CASE WHEN event_id % 3 = 2 THEN 'late' END AS note,
+  CASE WHEN event_id % 3 = 1 AND user_id % 5 = 0 THEN 'u' || user_id END AS _rescued
+FROM events""",
     "zordered_rewrite": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DOUBLE) AS l_quantity"
     " FROM lineitem WHERE l_suppkey % 3 = 0",
     "stream_ingest": _EVENTS,

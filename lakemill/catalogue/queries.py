@@ -43,7 +43,7 @@ from lakemill.sources import (
     read_table,
 )
 from lakemill.storage import move_single_files, shared_folder
-from lakemill.streaming import arriving_files, bulk_load, drain_into, ingest_available, load_new_files, run_into
+from lakemill.streaming import arriving_files, bulk_load, drain_into, ingest_available, ingest_shapes, load_new_files, run_into
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -617,6 +617,27 @@ def clustered_stream(spark, sf):
     return _timed_events(spark, schema)
 
 
+@_query
+def stream_changing_shapes(spark, sf):
+    """Files of three shapes, in two runs: another type, a new column, missing ones; what does not fit is rescued."""
+    folder, schema = _scratch(spark, "shapes")
+    events = b.table(spark, sf, "events")
+    part = F.col("event_id") % 3
+    odd = F.when(F.col("user_id") % 5 == 0, F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    shapes = [
+        events.where(part == 0),
+        events.where(part == 1).withColumn("user_id", F.coalesce(odd, F.col("user_id").cast("string"))),
+        events.where(part == 2).select("event_id", "user_id", F.lit("late").alias("note")),
+    ]
+    for run in (shapes[:1], shapes[1:]):
+        for i, shape in enumerate(run):
+            shape.write.mode("append").parquet(f"{folder}/landing/{len(run)}-{i}")
+        for _ in range(2):
+            ingest_shapes(spark, f"{folder}/landing", f"{schema}.events")
+    rescued = F.get_json_object("_rescued", "$.user_id")
+    return _timed_events(spark, schema).drop("ingest_ts").withColumn("_rescued", rescued)
+
+
 @_query
 def shared_target(spark, sf):
     """Batch rows, a stream, loads and clustering of one table: a third of the events each way, twice tried, once there."""

@@ -7,6 +7,7 @@ from lakemill.streaming.ingest import (
     load_new_files,
     run_into,
 )
+from lakemill.streaming.shapes import ingest_shapes
 
 __all__ = [
     "arriving_documents",
@@ -14,6 +15,7 @@ __all__ = [
     "bulk_load",
     "drain_into",
     "ingest_available",
+    "ingest_shapes",
     "load_new_files",
     "run_into",
 ]

@@ -113,6 +113,19 @@ def bulk_load(
     drain_into(arriving_files(spark, path, schema, max_files=max_files), table, checkpoint)
 
 
+def new_files(
+    spark: SparkSession, path: str, table: str, max_files: int, reload_changed: bool = False
+) -> DataFrame | None:
+    """At most so many files under a path that no load has entered in the table's ledger; None when there are none."""
+    same = ["path", "length", "modificationTime"] if reload_changed else ["path"]
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).drop("content")
+    new = listed
+    if spark.catalog.tableExists(table):
+        new = listed.join(entered_files(spark, table, "load-"), same, "left_anti").select(*listed.columns)
+    files = new.orderBy("path").limit(max_files).collect()
+    return spark.createDataFrame(files, listed.schema).coalesce(1) if files else None
+
+
 def load_new_files(
     spark: SparkSession,
     path: str,
@@ -131,15 +144,10 @@ def load_new_files(
     """
     repair(spark, table, "load-")
     schema = spark.table(table).schema
-    same = ["path", "length", "modificationTime"] if reload_changed else ["path"]
     loaded = 0
-    while True:
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).drop("content")
-        new = listed.join(entered_files(spark, table, "load-"), same, "left_anti").select(*listed.columns)
-        files = new.orderBy("path").limit(max_files).collect()
-        if not files:
-            return loaded
-        rows = spark.read.schema(schema).format(file_format).load([escape_glob(f["path"]) for f in files])
-        entries = spark.createDataFrame(files, listed.schema).coalesce(1)
+    while (entries := new_files(spark, path, table, max_files, reload_changed)) is not None:
+        paths = [escape_glob(f["path"]) for f in entries.collect()]
+        rows = spark.read.schema(schema).format(file_format).load(paths)
         add_once(rows, table, f"load-{uuid.uuid4().hex}", entries, table_format)
-        loaded += len(files)
+        loaded += len(paths)
+    return loaded

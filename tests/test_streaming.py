@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -154,3 +155,55 @@ def test_added_rows_fit_the_table(spark, schema):
     spark.range(2).selectExpr("id", "id AS p").write.partitionBy("p").saveAsTable(f"{schema}.parts")
     with pytest.raises(ValueError, match="partitioned"):
         add_once(spark.range(2), f"{schema}.parts", "a")
+
+
+def test_files_of_changing_shapes_lose_nothing(spark, schema, tmp_path):
+    path, table = f"{tmp_path}/landing", f"{schema}.t"
+    shapes = [
+        "SELECT 1 AS id, 1.5D AS x, 'a' AS s, date'2024-01-02' AS d",
+        "SELECT 2L AS id, '2.5' AS x, 7 AS s, '2024-02-30' AS d",  # widened, fits, is text, does not fit
+        "SELECT 'three' AS ID, 1e0F AS x, named_struct('k', 1) AS s, '2024-03-01' AS d",
+        "SELECT 4 AS id, array(1, 2) AS x, true AS more",
+        "SELECT 5 AS id, 'no' AS more",
+    ]
+    spark.sql(shapes[0]).write.parquet(f"{path}/0")
+    assert streaming.ingest_shapes(spark, path, table) == 1
+    for i, shape in enumerate(shapes[1:], 1):
+        spark.sql(shape).write.parquet(f"{path}/{i}")
+    assert streaming.ingest_shapes(spark, path, table, max_files=3) == 4
+    assert streaming.ingest_shapes(spark, path, table) == 0
+    assert spark.table(table).columns == ["id", "x", "s", "d", "_rescued", "ingest_ts", "more"]
+    got = {}
+    for r in spark.table(table).collect():
+        rescued = json.loads(r["_rescued"] or "{}")
+        if rescued:
+            assert "/landing/" in rescued.pop("_file_path")
+        key = r.id if r.id is not None else rescued["id"]
+        got[key] = (r.x, r.s, str(r.d), r.more, rescued)
+    assert got == {
+        1: (1.5, "a", "2024-01-02", None, {}),
+        2: (2.5, "7", "None", None, {"d": "2024-02-30"}),
+        "three": (1.0, '{"k":1}', "2024-03-01", None, {"id": "three"}),
+        4: (None, None, "None", True, {"x": "[1,2]"}),
+        5: (None, None, "None", None, {"more": "no"}),
+    }
+
+
+@pytest.mark.parametrize(
+    ("have", "want", "fits"),
+    [
+        ("'12'", "int", "12"), ("'007'", "int", None), ("300", "tinyint", None), ("3L", "int", "3"), ("1.5D", "bigint", None),
+        ("'1.5'", "double", "1.5"), ("date'2024-01-01'", "int", None), ("cast('x' AS binary)", "string", "x"),
+        ("map('a', 1)", "string", '{"a":1}'), ("1", "array<int>", None), ("cast(null AS string)", "int", None),
+    ],
+)
+def test_fitting_is_exact(spark, have, want, fits):
+    from pyspark.sql import functions as F
+    from lakemill.streaming.shapes import fitted
+
+    one = spark.sql(f"SELECT {have} AS v")
+    wanted = spark.sql(f"SELECT cast(null AS {want}) AS v").schema["v"].dataType
+    value, left = fitted(F.col("v"), one.schema["v"].dataType, wanted)
+    row = one.select(value.cast("string").alias("value"), left.alias("left"), F.col("v").isNull().alias("null")).first()
+    assert row.value == fits
+    assert (row.left is None) == (fits is not None or row.null)
