@@ -8,6 +8,7 @@ from lakemill.sources.files import (
     read_parquet,
     read_table,
 )
+from lakemill.sources.split_csv import read_split_csv
 
 __all__ = [
     "files_as_table",
@@ -17,5 +18,6 @@ __all__ = [
     "read_flat_csv",
     "read_index",
     "read_parquet",
+    "read_split_csv",
     "read_table",
 ]
