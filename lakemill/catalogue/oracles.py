@@ -400,6 +400,7 @@ ORACLES: dict[str, str] = {
     "flat_csv_roundtrip": _with(DOCUMENTS)
     + f"""SELECT * REPLACE ('  ' || institution || chr(9) AS institution, ' ' || role || ' ' AS role)
   FROM (SELECT {_FLAT_COLUMNS} FROM flat)""",
+    "documents_csv": "SELECT doc_id, lang, source, text FROM documents",
     "flat_parquet_roundtrip": _with(DOCUMENTS) + f"SELECT {_FLAT_COLUMNS} FROM flat",
     "external_table": _with(MISSIONS) + "SELECT * FROM flagged",
     "empty_table_like": "SELECT * FROM customer WHERE 1 = 0",

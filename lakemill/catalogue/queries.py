@@ -40,6 +40,7 @@ from lakemill.sources import (
     read_flat_csv,
     read_index,
     read_parquet,
+    read_split_csv,
     read_table,
 )
 from lakemill.storage import move_single_files, shared_folder
@@ -498,6 +499,15 @@ def flat_csv_roundtrip(spark, sf):
     return read_flat_csv(spark, path)
 
 
+@_query
+def documents_csv(spark, sf):
+    """Texts with line breaks, commas and quotes, read back by the splits of their files."""
+    path = shared_folder(spark, "split-csv")
+    docs = b.table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    write_csv(docs, path)
+    return read_split_csv(spark, path, docs.schema)
+
+
 @_query
 def flat_parquet_roundtrip(spark, sf):
     path = shared_folder(spark, "flat-parquet")

@@ -155,10 +155,16 @@ def in_document_order(rows: DataFrame, *ids: str) -> DataFrame:
     return rows.orderBy(*(ids or ("file_path",)), "person_pos", "role_pos")
 
 
+def _computed(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows with some columns as a generator's output, below which Spark pushes no filter that would compute them again."""
+    others = [c for c in rows.columns if c not in columns]
+    return rows.select(*others, F.inline(F.array(F.struct(*columns))))
+
+
 def rejected_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents that give no rows because they are no JSON objects, with the reason."""
-    rejects = _parsed(docs, text).where(F.col("reason").isNotNull())
-    return rejects.drop("doc", "people_not_a_list")
+    parsed = _parsed(docs, text).drop("doc", "people_not_a_list")
+    return _computed(parsed, "reason").where(F.col("reason").isNotNull())
 
 
 def _row_count(doc: Column) -> Column:
@@ -176,7 +182,8 @@ def document_report(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Counted inside each document, so nothing is shuffled; sum ``row_count`` for the total.
     """
-    return _parsed(docs, text).withColumn("row_count", _row_count(F.col("doc"))).drop("doc")
+    parsed = _computed(_parsed(docs, text), "doc", "reason", "people_not_a_list")
+    return parsed.withColumn("row_count", _row_count(F.col("doc"))).drop("doc")
 
 
 def index_entries(index: DataFrame, first: int | None = None) -> DataFrame:

@@ -39,7 +39,7 @@ WRITERS = {
     "flat_parquet_roundtrip", "external_table", "empty_table_like", "clustered_rewrite", "stream_ingest",
     "stream_continuous", "stream_flatten", "bulk_load_idempotent", "medallion_layers", "medallion_results",
     "documents_from_pattern", "no_documents", "clustered_external", "clustered_stream", "shared_target", "zordered_rewrite",
-    "stream_changing_shapes",
+    "stream_changing_shapes", "documents_csv",
 }
 
 

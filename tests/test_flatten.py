@@ -1,6 +1,7 @@
 """Every branch of the document flattener, batch and streaming."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +234,10 @@ def test_index(spark, tmp_path):
         (0, "A-1", urls[0]), (1, "B%20II", urls[1]), (2, "C", urls[2]), (3, "D", urls[3]),
     ]
     assert rows(flatten.index_entries(index, first=2).select("name")) == [("A-1",), ("B%20II",)]
+
+
+def test_no_filter_parses_the_text_again(spark):
+    docs = spark.createDataFrame([("a", "[]"), ("b", "{}")], "doc_id string, text string")
+    plan = flatten.rejected_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" +-:").startswith("Filter")]
+    assert filters and all(re.fullmatch(r"[ +:-]*Filter isnotnull\(reason#\d+\)", line) for line in filters)
