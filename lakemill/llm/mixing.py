@@ -4,7 +4,8 @@ Every shard of a source (documents dealt out by a seeded hash) is a line of word
 equally many words.  Blocks go to sources, and within a source to its shards, by the highest quotients
 words / (2 k + 1).  Each shard then takes all its blocks equally often, and a seeded choice of them
 once more, until its quota is full.  Sources and shards are summaries: a row per source, and a row per
-million words.  No group of documents is larger than a shard.
+million words.  No group of documents is larger than a shard.  In a source of a single shard the last block is cut to
+what is left of the target, so sources of fewer words than a block get theirs too.
 
 Defined cases: a null text has no words and is taken 0 times; a null source is a source of its own, the
 last.  Sources without words have target 0.  Repeated rows are separate documents.
@@ -99,7 +100,30 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: i
     return running.withColumn("target", target).drop("left", "left_weight", "stopped")
 
 
-def _take(seed: int, block_words: int):
+def _cut_to(wanted: int, times: np.ndarray, lengths: np.ndarray, turns: np.ndarray, epochs: int) -> np.ndarray:
+    """Make the words taken as many as wanted: whole blocks more or fewer, and of one block its first words.
+
+    Changes ``times`` and returns how many of each block's first words are taken once more, or, if below 0, once less.
+    """
+    part = np.zeros(len(times), np.int64)
+    left = wanted - int((times * lengths).sum())
+    step = 1 if left > 0 else -1
+    # blocks taken least often gain first, those taken most often lose first, each kind in the order of the draw
+    while left:
+        open_blocks = times < epochs if step > 0 else times > 0
+        edge = times[open_blocks].min() if step > 0 else times[open_blocks].max()
+        for block in turns[(times == edge)[turns]]:
+            if abs(left) < lengths[block]:
+                part[block] = left
+                return part
+            times[block] += step
+            left -= step * int(lengths[block])
+            if not left:
+                break
+    return part
+
+
+def _take(seed: int, block_words: int, epochs: int):
     """Words taken of each document of one shard."""
 
     def run(docs: pd.DataFrame) -> pd.DataFrame:
@@ -111,11 +135,17 @@ def _take(seed: int, block_words: int):
         each, more = divmod(quota, blocks)
         times = np.full(blocks, each, np.int64)
         place, shard = int(docs["place"].iloc[0]), int(docs["shard"].iloc[0])
-        times[np.random.default_rng([seed, place, shard]).permutation(blocks)[:more]] += 1
+        turns = np.random.default_rng([seed, place, shard]).permutation(blocks)
+        times[turns[:more]] += 1
+        part = np.zeros(blocks, np.int64)
+        wanted = docs["wanted"].iloc[0]
+        if not pd.isna(wanted):
+            part = _cut_to(min(int(wanted), epochs * words), times, np.diff(edges), turns, epochs)
         # words taken before a point of the line rise by the block's count from edge to edge
-        before = np.concatenate([[0], np.cumsum(times * np.diff(edges))])
+        before = np.concatenate([[0], np.cumsum(times * np.diff(edges) + part)])
         block = np.minimum(np.searchsorted(edges, ends, "right") - 1, blocks - 1)
-        reached = before[block] + times[block] * (ends - edges[block])
+        inside = ends - edges[block]
+        reached = before[block] + times[block] * inside + np.sign(part[block]) * np.minimum(inside, np.abs(part[block]))
         docs["taken"] = np.diff(reached, prepend=0)
         return docs
 
@@ -183,14 +213,16 @@ def mix(
         F.col("source_place").alias("place"), F.col("place").alias("shard"), "quota"
     )
     chosen = lines.join(quotas, ["place", "shard"]).select(
-        "place", "shard", "doc_id", "order", "size", "quota", "source_size", "target"
+        "place", "shard", "doc_id", "order", "size", "quota", "source_size", "target",
+        # a source of one shard is small enough for a block to count: its last block is cut
+        F.when(F.col("shards") <= 1, F.round("target")).alias("wanted"),
     )
     id_type = sized.schema["doc_id"].dataType.simpleString()
     schema = (
         f"place int, shard bigint, doc_id {id_type}, `order` bigint, size bigint, quota bigint,"
-        " source_size bigint, target double, taken bigint"
+        " source_size bigint, target double, wanted double, taken bigint"
     )
-    taken = chosen.groupBy("place", "shard").applyInPandas(_take(seed, block_words), schema)
+    taken = chosen.groupBy("place", "shard").applyInPandas(_take(seed, block_words, epochs), schema)
     return taken.select(*columns).unionByName(empty.select(*columns))
 
 

@@ -94,3 +94,40 @@ def test_mixed_documents_keep_their_columns(spark):
     assert mixed.select("row.*").columns == df.columns
     repeated = [r.mix.taken for r in mixed.where("row.doc_id = 500").collect()]
     assert len(repeated) <= 1
+
+
+def test_small_sources_come_near_their_targets(spark):
+    rng = random.Random(6)
+    sizes = [1, 2, 5, 10, 20, 30, 40, 50, 63, 64, 65, 100, 150, 200]
+    rows, doc = [], 0
+    for i, size in enumerate(sizes):
+        left = size
+        while left:
+            n = min(left, rng.randrange(1, 30))
+            rows.append((doc, sentence(rng, n), "en", f"small {i:02d}"))
+            left, doc = left - n, doc + 1
+    rows += [(10_000 + i, sentence(rng, 2000), "en", "z large") for i in range(100)]
+    found = mixing.mix(frame(spark, rows)).collect()
+    source = {r[0]: r[3] for r in rows}
+    taken, target = defaultdict(int), {}
+    for r in found:
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+        assert 0 <= r.taken <= 3 * r.size
+    for name, words_wanted in target.items():
+        assert abs(taken[name] - words_wanted) <= 1, name
+
+
+def test_cut_to_any_number_of_words():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        blocks = int(rng.integers(1, 8))
+        lengths = rng.integers(1, 20, blocks)
+        times = rng.integers(0, 4, blocks)
+        wanted = int(rng.integers(0, 3 * lengths.sum() + 1))
+        part = mixing._cut_to(wanted, times, lengths, rng.permutation(blocks), 3)
+        assert (times * lengths + part).sum() == wanted
+        assert (np.abs(part) < lengths).all() and ((times >= 0) & (times <= 3)).all()
+        assert (times[part > 0] < 3).all() and (times[part < 0] > 0).all()

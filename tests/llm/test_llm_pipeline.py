@@ -73,5 +73,5 @@ def test_stages_stand_messy_and_no_rows(spark):
 def test_registered():
     names = set(queries())
     numbers = {int(n[2:].split("_")[0]) for n in names if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in names
+    assert numbers == set(range(1, 14)) and "pipeline" in names
     assert set(oracle_sql()) <= names
