@@ -34,7 +34,7 @@ from lakemill.llm.common import filled, join_groups, keep
 WINDOW_WORDS = 20
 BASE_WORDS = 5
 #: Words that a task holds in arrays at a time; a longer text is held alone.
-HELD_WORDS = 250_000
+HELD_WORDS = 100_000
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 150_000
 _LAST = (1 << 63) - 1
