@@ -61,8 +61,7 @@ def op1_toxicity(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
     # as many labels as documents: never a side to broadcast
     labelled = restored.where(~F.col("held_out")).join(labels.hint("merge"), "doc_id")
-    score = toxicity.score(docs, *toxicity.learn_words(labelled), F.col("features"))
-    scored = restored.select("doc_id", "held_out", score.alias("score"))
+    scored = toxicity.score(restored, *toxicity.learn_words(labelled))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

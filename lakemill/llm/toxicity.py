@@ -1,12 +1,17 @@
 """Toxicity by noisy-channel deobfuscation.
 
 A writer's word went through a channel that may replace letters by look-alikes (``m0r0n``), put separators
-between letters (``m o r o n``, ``m.o.r.o.n``) and repeat letters (``morooon``).  Every written token is a lattice
-of the letters it may stand for, each with a channel cost; Viterbi finds the cheapest path under a
-character trigram model of the corpus.  A token of plain letters has one path, itself.
-
-The restored words are scored by a Bernoulli naive Bayes model over words that tell the labels apart
-beyond chance.  Its counts come from all labelled rows given, those of the language model from all texts.
+between letters (``m o r o n``, ``m.o.r.o.n``, also wider gaps), repeat letters (``morooon``) and put decoration around
+(``moron!!!``).  Every written token is a lattice of the letters it may stand for, each with a channel cost; Viterbi finds
+the cheapest path under a character trigram model of the corpus.  Nothing is cut off before: decoration is a path that
+leaves out an outer run, at a cost, and tokens wholly of look-alikes (``4$$``, numbers too) are decoded as well.  Look-alikes are read
+as the script of most of a token's letters, Latin where it has none; in scripts without a table here they stand for themselves.
+A token of plain letters of one script has one path, itself.  A word split into pieces of several letters stays split.
+
+The restored words are scored by a Bernoulli naive Bayes model over all words of the labelled rows: log-odds
+towards either label are smoothed and shrunk by the positive-part rule 1 - DOUBT^2 / deviance, so a word weighs what its
+rows support: a word of 8 toxic rows alone counts beside as many clean rows, one that chance explains does not.  Counts come from all labelled rows given, those of the language model
+from all texts.
 
 Defined cases: null and empty texts have no words and get the score of such a text; rows without a label
 teach nothing, nor do null labels; without rows of both labels every score is 0; repeated rows
@@ -37,29 +42,38 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i",
 }
+# Characters that stand for Cyrillic letters.
+CYRILLIC_LOOKALIKES = {
+    "0": "о", "1": "ил", "3": "зэ", "4": "ч", "6": "б", "8": "в", "9": "я", "@": "а", "!": "и", "*": "аеиоу",
+    "a": "а", "b": "в", "c": "с", "e": "е", "h": "н", "k": "к", "m": "м", "o": "о", "p": "р", "t": "т", "x": "х", "y": "у",
+}
 # Letters and the word's edge, then every other character.
-ALPHABET = " abcdefghijklmnopqrstuvwxyz?"
-#: Words that a model may hold, the most telling ones; bounds what is sent to every executor.
-MODEL_WORDS = 5000
-#: Distance from chance, in standard deviations, from which a word is used.
-TELLING = 6.0
+ALPHABET = " abcdefghijklmnopqrstuvwxyzабвгдежзийклмнопрстуфхцчшщъыьэюя?"
+#: Words whose weights are broadcast, those in most rows; weights of all others reach their rows by a join.
+FREQUENT_WORDS = 100_000
+#: Root of the deviance at which a word's log-odds shrink to zero.
+DOUBT = 3.0
 HELD_WORDS = 200_000
 
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 _LOOK = re.escape("".join(LOOKALIKES))
 _CHAR = rf"(?:[^\W\d_]|[{_LOOK}])"
-# single characters with the same kind of gap between them, at least three
-_SPACED = re.compile(rf"(?<![^\W_]){_CHAR}(?:([ ._\-*])(?:{_CHAR}\1)*{_CHAR}\1{_CHAR})(?![^\W_])")
+# single characters with the same gap between them, at least three
+_SPACED = re.compile(rf"(?<![^\W_]){_CHAR}(([ ._\-*])\2{{0,3}})(?:{_CHAR}\1)+{_CHAR}(?![^\W_])")
 # all digits and letters are among a word's characters; underscores are blanks by then
 _TOKEN = re.compile(r"[\w" + re.escape("".join(c for c in LOOKALIKES if not c.isalnum())) + "]+")
 _TRIPLE = re.compile(r"(.)\1\1")
-_DECOR = re.compile(rf"([{_LOOK}])\1+$|^([{_LOOK}])\2+|[!|*(<+]+$|^[!|*(<+]+")
+_RUN = re.compile(r"(.)\1*", re.S)
+# decoration: marks that often stand before or after a word
+_BEFORE, _AFTER = frozenset("*(<+"), frozenset("!|*(<+")
 
 _COST_LOOKALIKE = 1.0
 _COST_KEPT = 9.0
 _COST_HALVED = 4.0
 _COST_REPEAT = 0.5
 _COST_EDGE = 2.0
+_COST_DECORATION = 1.0
+_COST_DROPPED = 7.0
 
 
 def _folded(token: str) -> str:
@@ -83,8 +97,26 @@ def written_tokens(text: str) -> tuple[list[str], list[str]]:
     return _TOKEN.findall(_SPACED.sub(take, text).replace("_", " ")), spelled
 
 
+_LETTERS = {c: i for i, c in enumerate(ALPHABET)}
+
+
 def _letter(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else len(ALPHABET) - 1
+    return _LETTERS.get(c, len(ALPHABET) - 1)
+
+
+def _scripts(token: str) -> tuple[int, int, int]:
+    """Letters of a token that are Latin, Cyrillic and other ones."""
+    latin = sum("a" <= c <= "z" for c in token)
+    cyrillic = sum("\u0400" <= c <= "\u052f" for c in token)
+    return latin, cyrillic, sum(map(str.isalpha, token)) - latin - cyrillic
+
+
+def _table(token: str) -> dict[str, str]:
+    """What the characters of a token may stand for, by the script of most of its letters."""
+    latin, cyrillic, other = _scripts(token)
+    if other > max(latin, cyrillic):
+        return {}
+    return CYRILLIC_LOOKALIKES if cyrillic > latin else LOOKALIKES
 
 
 class CharModel:
@@ -130,9 +162,10 @@ class CharModel:
 
 def _lattice(token: str, spaced: bool) -> Iterator[tuple[list[str], list[float]]]:
     """Per run of a character what it may stand for, and the channel's cost of that."""
-    runs = [m.group() for m in re.finditer(r"(.)\1*", token, re.S)]
+    runs = [m.group() for m in _RUN.finditer(token)]
+    table = _table(token)
     for i, run in enumerate(runs):
-        base = [(c, _COST_LOOKALIKE) for c in LOOKALIKES.get(run[0], "")]
+        base = [(c, _COST_LOOKALIKE) for c in table.get(run[0], "")]
         base.append((run[0], _COST_KEPT if base else 0.0))
         options: dict[str, float] = {}
         for c, price in base:
@@ -143,12 +176,16 @@ def _lattice(token: str, spaced: bool) -> Iterator[tuple[list[str], list[float]]
                 options[c + c] = price
         if spaced and i:
             options |= {" " + c: price + _COST_EDGE for c, price in options.items()}
+        outer = 0 < i == len(runs) - 1, 0 == i < len(runs) - 1
+        if not spaced and any(outer) and not run[0].isalpha():
+            marks = run[0] in (_AFTER if outer[0] else _BEFORE) or (len(run) > 2 and not run[0].isdigit())
+            options[""] = _COST_DECORATION if marks else _COST_DROPPED
         yield list(options), list(options.values())
 
 
 def hashed(word: str) -> int:
-    """31 bits of a word."""
-    return xxhash.xxh32_intdigest(word) >> 1
+    """64 bits of a word, signed."""
+    return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
 class Restorer:
@@ -160,16 +197,10 @@ class Restorer:
         self.codes = lru_cache(maxsize=200_000)(lambda *token: tuple(map(hashed, self._decode(*token))))
 
     def _decode(self, token: str, spelled: bool = False) -> tuple[str, ...]:
-        plain = token.isalpha() and not _TRIPLE.search(token)
-        if not token.isascii():
-            token = _folded(token)
-            plain = plain and not any(c in LOOKALIKES for c in token)
-        if not spelled:
-            if plain:
+        token = _folded(token)
+        if not spelled and token.isalpha() and not _TRIPLE.search(token):
+            if token.isascii() or sum(map(bool, _scripts(token))) == 1:
                 return (token,)
-            token = _DECOR.sub("", token)
-            if not any("a" <= c <= "z" for c in token):
-                return ()
         return tuple(self.model.restore(token, spelled).split())
 
     def _all(self, text: str | None, decode) -> set:
@@ -185,17 +216,18 @@ class Restorer:
 
     def features(self, text: str | None) -> np.ndarray:
         """Hashes of the distinct restored words."""
-        return np.sort(np.fromiter(self._all(text, self.codes), np.int32))
+        return np.sort(np.fromiter(self._all(text, self.codes), np.int64))
 
 
-_CODES = np.array([_letter(chr(i)) for i in range(256)])
+_CODES = np.array([_letter(chr(i)) for i in range(0x500)])
 
 
 def count_trigrams(words: Counter) -> np.ndarray:
     """Character trigrams of some words, each with its edges, as many times as the word is there."""
     padded = [f"  {_folded(word)} " for word in words]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
-    letters = _CODES[np.frombuffer("".join(padded).encode("ascii", "replace"), np.uint8)]
+    points = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32)
+    letters = _CODES[np.minimum(points, len(_CODES) - 1)]
     codes = (letters[:-2] * len(ALPHABET) + letters[1:-1]) * len(ALPHABET) + letters[2:]
     times = np.repeat(np.fromiter(words.values(), np.int64, len(padded)), sizes)
     ends = np.cumsum(sizes)
@@ -220,7 +252,7 @@ def _counted_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 
 def learn_characters(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Counts ``n`` of character trigrams (``code``) over the words of all texts; at most 28^3 rows."""
+    """Counts ``n`` of character trigrams (``code``) over the words of all texts; at most 60^3 rows."""
     texts = docs.select(F.col(text_col).alias("text"))
     counted = texts.mapInPandas(_counted_trigrams, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
     return keep(counted, "trigrams")
@@ -234,7 +266,7 @@ def restored_features(docs: DataFrame, model: CharModel, text: Column) -> Column
     """Hashes of the distinct restored words of a text, as an array."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<bigint>")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         restorer = Restorer(sent.value)
         for texts in batches:
@@ -245,42 +277,73 @@ def restored_features(docs: DataFrame, model: CharModel, text: Column) -> Column
 
 def learn_words(
     labelled: DataFrame, features_col: str = "features", label_col: str = "toxic"
-) -> tuple[dict[int, float], float]:
-    """Log-odds of the words (hashes) that tell label 1 from label 0, and of a text with none of them."""
+) -> tuple[DataFrame, float]:
+    """Per word (hash) of the labelled rows the log-odds ``weight`` that it adds; and the log-odds of a text with none of them.
+
+    ``n`` is the number of labelled rows with the word.  Without rows of both labels there are no words.
+    """
     known = labelled.where(F.col(label_col).isin(0, 1)).select(
         F.col(label_col).alias("label"), F.col(features_col).alias("features")
     )
+    counted = keep(
+        known.select("label", F.explode("features").alias("word"))
+        .groupBy("word")
+        .agg(F.sum("label").cast("double").alias("t"), F.sum(1 - F.col("label")).cast("double").alias("c")),
+        "word-counts",
+    )
     sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        return {}, -math.inf
-    counts = known.select("label", F.explode("features").alias("word")).groupBy("word").agg(
-        F.sum("label").cast("double").alias("in_toxic"), F.sum(1 - F.col("label")).cast("double").alias("in_clean")
-    )
-    rate = (F.col("in_toxic") + F.col("in_clean")) / (toxic + clean)
-    chance = F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / toxic + 1 / clean))
-    telling = counts.withColumn("z", F.abs(F.col("in_toxic") / toxic - F.col("in_clean") / clean) / chance).where(
-        (F.col("z") >= TELLING) & (F.col("in_toxic") / toxic > F.col("in_clean") / clean)
-    )
-    rows = telling.orderBy(F.desc("z"), "word").limit(MODEL_WORDS).collect()
-    weights, none = {}, math.log(toxic / clean)
-    for r in rows:
-        p, q = (r["in_toxic"] + 0.5) / (toxic + 1), (r["in_clean"] + 0.5) / (clean + 1)
-        absent = math.log((1 - p) / (1 - q))
-        weights[r["word"]] = math.log(p / q) - absent
-        none += absent
-    return weights, none
-
-
-def score(docs: DataFrame, weights: dict[int, float], none: float, features: Column) -> Column:
-    """Probability of label 1."""
-    sent = docs.sparkSession.sparkContext.broadcast((weights, none))
-
-    @F.pandas_udf("double")
-    def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known, base = sent.value
-        for rows in batches:
-            odds = [base + math.fsum(known.get(w, 0.0) for w in words.tolist()) for words in rows]
-            yield pd.Series([1 / (1 + math.exp(-max(-700.0, min(700.0, o)))) for o in odds], dtype=float)
-
-    return probability(features)
+        return counted.select("word", F.lit(0.0).alias("weight"), F.lit(0).cast("bigint").alias("n")).limit(0), -math.inf
+    t, c = F.col("t"), F.col("c")
+    p, q = (t + 0.5) / (toxic + 1), (c + 0.5) / (clean + 1)
+    ratio = F.log(p / q)
+    # deviance of the two by two table of word and label from independence
+    rate = (t + c) / (toxic + clean)
+    cells = [(t, toxic * rate), (c, clean * rate), (toxic - t, toxic * (1 - rate)), (clean - c, clean * (1 - rate))]
+    deviance = 2 * sum(F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells)
+    drawn = ratio * F.greatest(1 - DOUBT**2 / F.greatest(deviance, F.lit(1e-9)), F.lit(0.0))
+    # the larger of the two rates comes down to the other one's drawn multiple
+    p_drawn = F.when(drawn < 0, p).otherwise(q * F.exp(drawn))
+    q_drawn = F.when(drawn < 0, p * F.exp(-drawn)).otherwise(q)
+    absent = F.log((1 - p_drawn) / (1 - q_drawn))
+    weighed = counted.select("word", drawn.alias("drawn"), absent.alias("absent"), (t + c).cast("bigint").alias("n"))
+    # summed in whole steps, so that the sum does not depend on the order of rows
+    step = 1 << 32
+    missing = weighed.agg(F.sum(F.round(F.col("absent") * step).cast("decimal(30,0)"))).first()[0]
+    words = weighed.select("word", (F.col("drawn") - F.col("absent")).alias("weight"), "n")
+    return keep(words, "word-weights"), math.log(toxic / clean) + float(missing or 0) / step
+
+
+def score(rows: DataFrame, words: DataFrame, none: float, features_col: str = "features") -> DataFrame:
+    """The rows with ``score``, the probability of label 1, in place of their features.
+
+    Rows are read twice: store them before.
+    """
+    frequent = words.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).toPandas().sort_values("word")
+    sent = rows.sparkSession.sparkContext.broadcast((frequent["word"].to_numpy(), frequent["weight"].to_numpy()))
+
+    @F.pandas_udf("struct<odds: double, others: array<bigint>>")
+    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known, weights = sent.value
+        for batch in batches:
+            odds, others = [], []
+            for found in batch:
+                at = np.searchsorted(known, found)
+                hit = at < len(known)
+                hit[hit] = known[at[hit]] == found[hit]
+                odds.append(math.fsum(weights[at[hit]]))
+                others.append(found[~hit])
+            yield pd.DataFrame({"odds": odds, "others": pd.Series(others, dtype=object)})
+
+    kept = [c for c in rows.columns if c != features_col]
+    weighed = rows.select(*kept, weigh(features_col).alias("_w"))
+    odds = F.col("_w.odds")
+    if len(frequent) == FREQUENT_WORDS:
+        numbered = keep(weighed.withColumn("_row", F.monotonically_increasing_id()), "weighed")
+        pairs = numbered.select("_row", F.explode("_w.others").alias("word")).join(words.where("weight != 0"), "word")
+        sums = pairs.groupBy("_row").agg(F.sum("weight").alias("_rest"))
+        weighed = numbered.join(sums, "_row", "left")
+        odds = odds + F.coalesce("_rest", F.lit(0.0))
+    total = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), odds + F.lit(none)))
+    return weighed.select(*kept, F.round(1 / (1 + F.exp(-total)), 12).alias("score"))

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 
 from lakemill.llm import toxicity
 
-CLEAN = "the river runs past an old stone mill and green hills where sheep graze near tall trees in summer rain".split()
-INSULTS = ["idiot", "moron", "loser", "pathetic", "scum"]
+CLEAN = "the river runs past an old stone mill and green hills where sheep graze near tall trees in summer rain pass grass".split()
+INSULTS = ["idiot", "moron", "loser", "pathetic", "scum", "ass"]
+RUSSIAN = "река течёт мимо старой мельницы и зелёных холмов где пасутся овцы летом идёт дождь отец".split()
 
 
-def corpus(n=900, seed=3):
+def corpus(n=900, seed=3, clean=CLEAN, insults=INSULTS):
     rng = random.Random(seed)
     rows, labels = [], {}
     for i in range(n):
-        words = [rng.choice(CLEAN) for _ in range(rng.randrange(5, 40))]
+        words = [rng.choice(clean) for _ in range(rng.randrange(5, 40))]
         labels[i] = int(i % 4 == 0)
         if labels[i]:
-            words.insert(rng.randrange(len(words)), rng.choice(INSULTS))
+            words.insert(rng.randrange(len(words)), rng.choice(insults))
         rows.append((i, " ".join(words), "en", "s"))
     return rows, labels
 
@@ -42,6 +43,8 @@ def learned(spark):
     [
         ("1d10t", "idiot"), ("m0r0n", "moron"), ("i d i o t", "idiot"), ("l.o.s.e.r", "loser"), ("l-o-s-e-r", "loser"),
         ("morooon", "moron"), ("p@thet1c", "pathetic"), ("$cum", "scum"), ("M 0 R 0 N", "moron"), ("iiidiooot", "idiot"),
+        ("a$$", "ass"), ("4$$", "ass"), ("@$$", "ass"), ("m  o  r  o  n", "moron"), ("moron$$$", "moron"),
+        ("**moron**", "moron"), ("(moron", "moron"), ("идиот", "идиот"), ("第3章", "第3章"),
         ("ïdíöt", "idiot"), ("id​iot", "idiot"), ("idiоt", "idiot"), ("moron!!!", "moron"), ("loser", "loser"),
     ],
 )
@@ -64,7 +67,7 @@ def best_path(model, token, spaced):
 
 
 def test_viterbi_finds_the_cheapest_path(learned):
-    for token, spaced in [("1d10t", False), ("m00r0nn", False), ("p4th3t1c", False), ("anidiot", True), ("55", False)]:
+    for token, spaced in [("1d10t", False), ("m00r0nn", False), ("p4th3t1c", False), ("anidiot", True), ("55", False), ("$$moron!!", False), ("4$$", False)]:
         cheapest, totals = best_path(learned[0], token, spaced)
         assert totals[learned[0].restore(token, spaced)] == pytest.approx(cheapest)
 
@@ -81,11 +84,8 @@ def test_character_counts_cover_all_texts(spark):
 
 
 def scores(spark, rows, learned):
-    docs = frame(spark, rows)
-    found = restored(docs, learned[0]).select(
-        "doc_id", toxicity.score(docs, *learned[1:], F.col("features")).alias("s")
-    ).collect()
-    return {r.doc_id: r.s for r in found}
+    found = toxicity.score(restored(frame(spark, rows), learned[0]), *learned[1:]).collect()
+    return {r.doc_id: r.score for r in found}
 
 
 def test_held_out_rows_plain_and_disguised(spark, learned):
@@ -99,10 +99,62 @@ def test_held_out_rows_plain_and_disguised(spark, learned):
         assert right >= 0.99 * len(labels)
 
 
+def test_cyrillic_words_are_learnt_and_restored(spark):
+    rows, labels = corpus(300, clean=RUSSIAN, insults=["идиот", "дурак"])
+    docs = frame(spark, rows)
+    model = toxicity.char_model(toxicity.learn_characters(docs))
+    table = spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")
+    learned = model, *toxicity.learn_words(restored(docs, model).join(table, "doc_id"))
+    texts = ["река течёт", "река идиот", "река ид1от", "и д и о т летом", "дурaк", "дурааак!!!", "отец и дождь"]
+    found = scores(spark, [(i, t, "ru", "s") for i, t in enumerate(texts)], learned)
+    assert [found[i] >= 0.5 for i in range(len(texts))] == [False, True, True, True, True, True, False]
+
+
+def brute_force(rows, labels, words_of):
+    """Scores of the rows, learnt from the labelled ones."""
+    found = {i: words_of(text) for i, text, *_ in rows}
+    sides = [[found[i] for i, x in labels.items() if x == side] for side in (0, 1)]
+    clean, toxic = map(len, sides)
+    weights, none = {}, math.log(toxic / clean)
+    for word in set().union(*sides[0], *sides[1]):
+        c, t = (sum(word in words for words in side) for side in sides)
+        p, q, rate = (t + 0.5) / (toxic + 1), (c + 0.5) / (clean + 1), (t + c) / (toxic + clean)
+        cells = [(t, toxic * rate), (c, clean * rate), (toxic - t, toxic * (1 - rate)), (clean - c, clean * (1 - rate))]
+        deviance = 2 * sum(seen * math.log(seen / expected) for seen, expected in cells if seen)
+        drawn = math.log(p / q) * max(0.0, 1 - toxicity.DOUBT**2 / max(deviance, 1e-9))
+        if drawn < 0:
+            q = p * math.exp(-drawn)
+        else:
+            p = q * math.exp(drawn)
+        absent = math.log((1 - p) / (1 - q))
+        weights[word] = drawn - absent
+        none += absent
+    return {i: 1 / (1 + math.exp(-none - sum(weights.get(w, 0) for w in words))) for i, words in found.items()}
+
+
+@pytest.mark.parametrize("frequent", [100_000, 7])
+def test_scores_as_brute_force_however_many_words_are_broadcast(spark, learned, monkeypatch, frequent):
+    monkeypatch.setattr(toxicity, "FREQUENT_WORDS", frequent)
+    rows, labels = corpus()
+    expected = brute_force(rows, labels, toxicity.Restorer(learned[0]).words)
+    found = scores(spark, rows, learned)
+    assert found == pytest.approx(expected, abs=1e-6)
+    assert sum((found[i] >= 0.5) == bool(x) for i, x in labels.items()) >= 0.99 * len(rows)
+
+
+def test_a_few_rows_teach_a_word(spark, learned):
+    rows, labels = corpus(40, insults=["moron"])
+    labels = {i: int("moron" in text) for i, text, *_ in rows}
+    table = spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")
+    few = learned[0], *toxicity.learn_words(restored(frame(spark, rows), learned[0]).join(table, "doc_id"))
+    assert {i: int(s >= 0.5) for i, s in scores(spark, rows, few).items()} == labels
+
+
 def test_messy_rows_and_empty_texts(spark, learned):
     found = scores(spark, messy(), learned)
     assert found[300] == found[301] == found[302] and 0 <= found[300] < 0.5
-    assert scores(spark, [(1, "the river", "en", "s")], (learned[0], {}, -math.inf)) == {1: pytest.approx(0, abs=1e-9)}
+    nothing = learned[0], learned[1].limit(0), -math.inf
+    assert scores(spark, [(1, "the river", "en", "s")], nothing) == {1: pytest.approx(0, abs=1e-9)}
 
 
 def test_no_rows_or_one_label(spark, learned):
@@ -110,5 +162,6 @@ def test_no_rows_or_one_label(spark, learned):
     model = toxicity.char_model(toxicity.learn_characters(empty))
     for docs in (empty, frame(spark, messy())):
         one_label = restored(docs, model).withColumn("toxic", F.lit(1))
-        assert toxicity.learn_words(one_label) == ({}, -math.inf)
+        words, none = toxicity.learn_words(one_label)
+        assert words.isEmpty() and none == -math.inf
     assert toxicity.Restorer(model).words("a") == {"a"}
