@@ -30,7 +30,6 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -183,18 +182,12 @@ def _lattice(token: str, spaced: bool) -> Iterator[tuple[list[str], list[float]]
         yield list(options), list(options.values())
 
 
-def hashed(word: str) -> int:
-    """64 bits of a word, signed."""
-    return xxhash.xxh64_intdigest(word) - (1 << 63)
-
-
 class Restorer:
     """Restores texts, remembering the tokens it has decoded."""
 
     def __init__(self, model: CharModel):
         self.model = model
         self.decode = lru_cache(maxsize=200_000)(self._decode)
-        self.codes = lru_cache(maxsize=200_000)(lambda *token: tuple(map(hashed, self._decode(*token))))
 
     def _decode(self, token: str, spelled: bool = False) -> tuple[str, ...]:
         token = _folded(token)
@@ -203,20 +196,13 @@ class Restorer:
                 return (token,)
         return tuple(self.model.restore(token, spelled).split())
 
-    def _all(self, text: str | None, decode) -> set:
+    def words(self, text: str | None) -> set[str]:
+        """The distinct restored words of a text."""
         if not text:
             return set()
         tokens, spelled = written_tokens(text)
-        found = set(chain.from_iterable(map(decode, set(tokens))))
-        return found.union(*(decode(t, True) for t in spelled))
-
-    def words(self, text: str | None) -> set[str]:
-        """The distinct restored words of a text."""
-        return self._all(text, self.decode)
-
-    def features(self, text: str | None) -> np.ndarray:
-        """Hashes of the distinct restored words."""
-        return np.sort(np.fromiter(self._all(text, self.codes), np.int64))
+        found = set(chain.from_iterable(map(self.decode, set(tokens))))
+        return found.union(*(self.decode(t, True) for t in spelled))
 
 
 _CODES = np.array([_letter(chr(i)) for i in range(0x500)])
@@ -262,39 +248,46 @@ def char_model(characters: DataFrame) -> CharModel:
     return CharModel([tuple(r) for r in characters.select("code", "n").collect()])
 
 
-def restored_features(docs: DataFrame, model: CharModel, text: Column) -> Column:
-    """Hashes of the distinct restored words of a text, as an array."""
+def restored_words(docs: DataFrame, model: CharModel, text: Column) -> Column:
+    """The distinct restored words of a text, sorted, with blanks between: 64-bit hashes, which do not compress, take more."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<bigint>")
-    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("string")
+    def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         restorer = Restorer(sent.value)
         for texts in batches:
-            yield pd.Series([restorer.features(text) for text in texts], dtype=object)
+            yield pd.Series([" ".join(sorted(restorer.words(text))) for text in texts], dtype=object)
+
+    return words(text)
 
-    return features(text)
+
+def _each_word(words: str) -> Column:
+    return F.explode(F.filter(F.split(words, " "), lambda w: w != ""))
 
 
 def learn_words(
-    labelled: DataFrame, features_col: str = "features", label_col: str = "toxic"
+    labelled: DataFrame, words_col: str = "words", label_col: str = "toxic"
 ) -> tuple[DataFrame, float]:
-    """Per word (hash) of the labelled rows the log-odds ``weight`` that it adds; and the log-odds of a text with none of them.
+    """Per word of the labelled rows the log-odds ``weight`` that it adds; and the log-odds of a text with none of them.
 
     ``n`` is the number of labelled rows with the word.  Without rows of both labels there are no words.
     """
     known = labelled.where(F.col(label_col).isin(0, 1)).select(
-        F.col(label_col).alias("label"), F.col(features_col).alias("features")
+        F.col(label_col).alias("label"), F.col(words_col).alias("words")
     )
+    # the empty word, once in every row, counts the rows
+    led = F.when(F.col("words") == "", "").otherwise(F.concat(F.lit(" "), "words"))
     counted = keep(
-        known.select("label", F.explode("features").alias("word"))
+        known.select("label", F.explode(F.split(led, " ")).alias("word"))
         .groupBy("word")
         .agg(F.sum("label").cast("double").alias("t"), F.sum(1 - F.col("label")).cast("double").alias("c")),
         "word-counts",
     )
-    sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    rows = counted.where("word = ''").first()
+    toxic, clean = (rows["t"], rows["c"]) if rows else (0, 0)
     if not toxic or not clean:
         return counted.select("word", F.lit(0.0).alias("weight"), F.lit(0).cast("bigint").alias("n")).limit(0), -math.inf
+    counted = counted.where("word != ''")
     t, c = F.col("t"), F.col("c")
     p, q = (t + 0.5) / (toxic + 1), (c + 0.5) / (clean + 1)
     ratio = F.log(p / q)
@@ -315,33 +308,46 @@ def learn_words(
     return keep(words, "word-weights"), math.log(toxic / clean) + float(missing or 0) / step
 
 
-def score(rows: DataFrame, words: DataFrame, none: float, features_col: str = "features") -> DataFrame:
-    """The rows with ``score``, the probability of label 1, in place of their features.
+def _frequent(words: DataFrame) -> tuple[DataFrame, bool]:
+    """At most ``FREQUENT_WORDS`` words, and whether weights of others are left.
 
-    Rows are read twice: store them before.
+    All words with a weight where those are so few; else the words in most rows, down to a number of rows, with the
+    weightless ones among them, which need no join then.
     """
-    frequent = words.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).toPandas().sort_values("word")
-    sent = rows.sparkSession.sparkContext.broadcast((frequent["word"].to_numpy(), frequent["weight"].to_numpy()))
-
-    @F.pandas_udf("struct<odds: double, others: array<bigint>>")
+    weighty = words.where("weight != 0")
+    if weighty.count() <= FREQUENT_WORDS:
+        return weighty, False
+    level = F.floor(F.log2("n") * 16)
+    total, least = 0, math.inf
+    for r in sorted(words.groupBy(level.alias("level")).count().collect(), reverse=True):
+        total += r["count"]
+        if total > FREQUENT_WORDS:
+            break
+        least = r["level"]
+    return words.where(level >= F.lit(float(least))), True
+
+
+def score(rows: DataFrame, words: DataFrame, none: float, words_col: str = "words") -> DataFrame:
+    """The rows with ``score``, the probability of label 1, in place of their words."""
+    frequent, others_left = _frequent(words)
+    sent = rows.sparkSession.sparkContext.broadcast({r["word"]: r["weight"] for r in frequent.collect()})
+
+    @F.pandas_udf("struct<odds: double, others: string>")
     def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, weights = sent.value
+        known = sent.value
         for batch in batches:
-            odds, others = [], []
-            for found in batch:
-                at = np.searchsorted(known, found)
-                hit = at < len(known)
-                hit[hit] = known[at[hit]] == found[hit]
-                odds.append(math.fsum(weights[at[hit]]))
-                others.append(found[~hit])
-            yield pd.DataFrame({"odds": odds, "others": pd.Series(others, dtype=object)})
-
-    kept = [c for c in rows.columns if c != features_col]
-    weighed = rows.select(*kept, weigh(features_col).alias("_w"))
+            found = [text.split(" ") for text in batch]
+            odds = [math.fsum(known.get(w, 0.0) for w in each) for each in found]
+            others = [" ".join(w for w in each if w not in known) if others_left else "" for each in found]
+            yield pd.DataFrame({"odds": odds, "others": others})
+
+    kept = [c for c in rows.columns if c != words_col]
+    weighed = rows.select(*kept, weigh(words_col).alias("_w"))
     odds = F.col("_w.odds")
-    if len(frequent) == FREQUENT_WORDS:
+    if others_left:
+        # stored, since it is read twice by numbers that reading again could change
         numbered = keep(weighed.withColumn("_row", F.monotonically_increasing_id()), "weighed")
-        pairs = numbered.select("_row", F.explode("_w.others").alias("word")).join(words.where("weight != 0"), "word")
+        pairs = numbered.select("_row", _each_word("_w.others").alias("word")).join(words.where("weight != 0"), "word")
         sums = pairs.groupBy("_row").agg(F.sum("weight").alias("_rest"))
         weighed = numbered.join(sums, "_row", "left")
         odds = odds + F.coalesce("_rest", F.lit(0.0))

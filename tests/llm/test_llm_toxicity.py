@@ -26,7 +26,7 @@ def corpus(n=900, seed=3, clean=CLEAN, insults=INSULTS):
 
 
 def restored(docs, model):
-    return docs.select("doc_id", toxicity.restored_features(docs, model, F.col("text")).alias("features"))
+    return docs.select("doc_id", toxicity.restored_words(docs, model, F.col("text")).alias("words"))
 
 
 @pytest.fixture(scope="module")
@@ -136,8 +136,12 @@ def brute_force(rows, labels, words_of):
 def test_scores_as_brute_force_however_many_words_are_broadcast(spark, learned, monkeypatch, frequent):
     monkeypatch.setattr(toxicity, "FREQUENT_WORDS", frequent)
     rows, labels = corpus()
+    rows += [(900 + i, text, "en", "s") for i, text in enumerate(["", None, "... 42 $", "an unknown word"])]
+    labels |= {900: 0, 901: 0, 902: 0}
+    table = spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")
+    taught = learned[0], *toxicity.learn_words(restored(frame(spark, rows), learned[0]).join(table, "doc_id"))
     expected = brute_force(rows, labels, toxicity.Restorer(learned[0]).words)
-    found = scores(spark, rows, learned)
+    found = scores(spark, rows, taught)
     assert found == pytest.approx(expected, abs=1e-6)
     assert sum((found[i] >= 0.5) == bool(x) for i, x in labels.items()) >= 0.99 * len(rows)
 
