@@ -40,13 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def keep(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read again: executors may go, the rows stay.
+def keep(df: DataFrame, purpose: str, **options: str) -> DataFrame:
+    """Write to the shared folder, with options of the writer, and read again: executors may go, the rows stay.
 
     The folders lie below ``spark.checkpoint.dir``; whoever owns that folder expires them.
     """
     path = posixpath.join(shared_folder(df.sparkSession, purpose), "rows")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     _KEPT[id(kept)] = (weakref.ref(kept), path)
     return kept

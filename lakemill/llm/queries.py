@@ -57,7 +57,7 @@ def op1_toxicity(spark, sf):
     model = toxicity.char_model(toxicity.learn_characters(docs))
     # restored once: the labels and the scores both start from the words
     words = toxicity.restored_words(docs, model, F.col("text"))
-    restored = keep(docs.select("doc_id", away.alias("held_out"), words.alias("words")), "restored")
+    restored = keep(docs.select("doc_id", away.alias("held_out"), words.alias("words")), "restored", compression="zstd")
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
     # as many labels as documents: never a side to broadcast
     labelled = restored.where(~F.col("held_out")).join(labels.hint("merge"), "doc_id")

@@ -4,14 +4,15 @@ A writer's word went through a channel that may replace letters by look-alikes (
 between letters (``m o r o n``, ``m.o.r.o.n``, also wider gaps), repeat letters (``morooon``) and put decoration around
 (``moron!!!``).  Every written token is a lattice of the letters it may stand for, each with a channel cost; Viterbi finds
 the cheapest path under a character trigram model of the corpus.  Nothing is cut off before: decoration is a path that
-leaves out an outer run, at a cost, and tokens wholly of look-alikes (``4$$``, numbers too) are decoded as well.  Look-alikes are read
-as the script of most of a token's letters, Latin where it has none; in scripts without a table here they stand for themselves.
+leaves out an outer run, at a cost, and tokens wholly of look-alikes (``4$$``, numbers too) are decoded as well.
+Look-alikes are read in the script of most of a token's letters, Latin where it has none; in scripts without a table here
+they stand for themselves.
 A token of plain letters of one script has one path, itself.  A word split into pieces of several letters stays split.
 
 The restored words are scored by a Bernoulli naive Bayes model over all words of the labelled rows: log-odds
 towards either label are smoothed and shrunk by the positive-part rule 1 - DOUBT^2 / deviance, so a word weighs what its
-rows support: a word of 8 toxic rows alone counts beside as many clean rows, one that chance explains does not.  Counts come from all labelled rows given, those of the language model
-from all texts.
+rows support: one that chance explains nothing, one of seven toxic rows alone, beside as many clean ones, something.
+Counts come from all labelled rows given, those of the language model from all texts.
 
 Defined cases: null and empty texts have no words and get the score of such a text; rows without a label
 teach nothing, nor do null labels; without rows of both labels every score is 0; repeated rows
