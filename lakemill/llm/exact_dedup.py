@@ -37,14 +37,15 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column]
 
 def _groups(rows: DataFrame) -> DataFrame:
     """Facts of the groups of two rows or more."""
-    stays = F.max(F.struct(F.col("points"), (-F.col("id")).alias("minus_id"))).alias("stays")
+    # the id itself is not negated: the smallest one has no counterpart
+    stays = F.min(F.struct((-F.col("points")).alias("minus_points"), F.col("id").isNull(), F.col("id"))).alias("stays")
     groups = rows.groupBy("hash", "body").agg(F.count("*").alias("group_size"), stays)
     return groups.where("group_size > 1").select(
         "hash",
         F.sha2("body", 256).alias("sha"),
         "group_size",
-        (-F.col("stays.minus_id")).alias("keep_id"),
-        F.col("stays.points").alias("keep_points"),
+        F.col("stays.id").alias("keep_id"),
+        (-F.col("stays.minus_points")).alias("keep_points"),
     )
 
 

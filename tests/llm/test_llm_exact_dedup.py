@@ -35,6 +35,12 @@ def test_colliding_hashes_are_told_apart_by_bytes(spark):
     assert marked(frame(spark, messy()), digest=lambda body: F.lit("x")) == brute(messy())
 
 
+def test_the_smallest_and_largest_ids(spark):
+    rows = [(i, text, "en", "s") for text in ("same", "other") for i in (-(1 << 63), (1 << 63) - 1, None, 0)]
+    assert marked(frame(spark, rows)) == brute(rows)
+    assert {r.doc_id for r in exact_dedup.deduplicate(frame(spark, rows)).collect()} == {-(1 << 63)}
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert marked(df) == Counter() and exact_dedup.deduplicate(df).count() == 0
