@@ -103,6 +103,8 @@ def pack(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         F.col(url_col).alias("url"),
         row_key(id_col, url_col, html_col).alias("key"),
         F.sha1(html).alias("digest"),
+        # tells payloads apart; different ones of one SHA-1 are known
+        F.unhex(F.sha2(html, 256)).alias("sha256"),
         F.octet_length(html).cast("bigint").alias("length"),
         html.alias("html"),
     )
@@ -111,13 +113,13 @@ def pack(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
 
 def revisits(records: DataFrame) -> DataFrame:
     """Stored revisit records (``record``) of the pages whose payload another page's response holds."""
-    facts = records.where(F.col("length") >= MIN_REVISIT).groupBy("digest", "length").agg(
+    facts = records.where(F.col("length") >= MIN_REVISIT).groupBy("sha256").agg(
         F.count("*").alias("copies"),
         F.max(F.struct(F.col("page").cast("bigint").alias("page_id"), F.col("key"))).alias("held"),
     )
     facts = keep(facts.where("copies > 1"), "payloads")
-    narrow = records.select("number", "page", "url", "key", "digest", "length")
-    joined = join_groups(narrow, facts, ["digest", "length"], "copies", F.xxhash64("number")).where(
+    narrow = records.select("number", "page", "url", "key", "digest", "sha256", "length")
+    joined = join_groups(narrow, facts, ["sha256"], "copies", F.xxhash64("number")).where(
         F.col("held").isNotNull() & ~F.col("page").cast("bigint").eqNullSafe(F.col("held.page_id"))
     )
     named = joined.select(
@@ -154,26 +156,27 @@ def _position(page: str | None, key: bytes, number: int) -> tuple:
     return (page is not None, int(page or 0), bytes(key), int(number))
 
 
-def _with_file(rows: DataFrame, placed: DataFrame) -> DataFrame:
-    """Rows (``page``, ``key``, ``number``, ...) with their ``file``.
+def _with_file(rows: DataFrame, placed: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (``page``, ``key``, ``number``, ...) with their ``file``, and how many files there are.
 
     The first record of every file, a small row, is sent to the executors where all of them fit in the limit
     for broadcasts; beyond it the rows are joined with their places.
     """
     first = placed.groupBy("file").agg(F.min(F.struct(*_ORDER)).alias("first"))
     first = keep(first.select("file", F.col("first.page_id").cast("string").alias("page"), "first.key", "first.number"), "files")
-    if first.count() * FIRST_BYTES > common.BROADCAST_BYTES:
-        return rows.join(placed.select("number", "file").hint("merge"), "number")
+    files = first.count()
+    if files * FIRST_BYTES > common.BROADCAST_BYTES:
+        return rows.join(placed.select("number", "file").hint("merge"), "number"), files
     found = sorted((_position(r["page"], r["key"], r["number"]), r["file"]) for r in first.collect())
     sent = rows.sparkSession.sparkContext.broadcast(([p for p, _ in found], [f for _, f in found]))
 
     @F.pandas_udf("bigint")
     def file_of(page: pd.Series, key: pd.Series, number: pd.Series) -> pd.Series:
-        starts, files = sent.value
+        starts, numbers = sent.value
         own = map(_position, page, key, number)
-        return pd.Series([files[bisect_right(starts, p) - 1] for p in own], dtype="int64")
+        return pd.Series([numbers[bisect_right(starts, p) - 1] for p in own], dtype="int64")
 
-    return rows.withColumn("file", file_of("page", "key", "number"))
+    return rows.withColumn("file", file_of("page", "key", "number")), files
 
 
 def _writer(root: str):
@@ -234,19 +237,22 @@ def write(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES, **columns:
     records = pack(pages, **columns)
     again = revisits(records)
     kinds = [again.withColumn("kind", F.lit(0)), records.select(*again.columns).withColumn("kind", F.lit(1))]
-    rows = _with_file(kinds[0].unionByName(kinds[1]), place(records, again, file_bytes))
+    rows, files = _with_file(kinds[0].unionByName(kinds[1]), place(records, again, file_bytes))
     order = [F.col("file"), F.col("page").cast("bigint"), F.col("key"), F.col("number"), F.col("kind")]
-    runs = rows.repartition("file").sortWithinPartitions(*order).select("file", "number", "record")
+    runs = rows.repartition(_tasks(files), "file").sortWithinPartitions(*order).select("file", "number", "record")
     written = keep(runs.mapInPandas(_writer(root), _MANIFEST), "written")
     moved = _spread(written).mapInPandas(_mover(root), _MANIFEST)
     moved.write.parquet(posixpath.join(root, "manifest"))
     return pages.sparkSession.read.parquet(posixpath.join(root, "manifest"))
 
 
-def _spread(manifest: DataFrame) -> DataFrame:
+def _tasks(files: int) -> int:
     """A task for every few files."""
-    files = manifest.count()
-    return manifest.repartition(max(1, min(files, 10_000)), "file")
+    return max(1, min(files, 10_000))
+
+
+def _spread(manifest: DataFrame) -> DataFrame:
+    return manifest.repartition(_tasks(manifest.count()), "file")
 
 
 def _members(stream) -> Iterator[bytes]:

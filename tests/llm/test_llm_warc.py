@@ -3,6 +3,8 @@ import hashlib
 from collections import Counter
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from lakemill.llm import warc
 
 SCHEMA = "page_id bigint, url string, html string, key string, record string, digest string, number string"
@@ -89,3 +91,10 @@ def test_a_file_of_a_lost_task_is_never_read(spark, tmp_path):
 def test_no_pages(spark, tmp_path):
     manifest, root = written(spark, tmp_path, "e", 1, rows=[])
     assert manifest.count() == 0 and warc.read(manifest, root).count() == 0
+
+
+def test_different_payloads_of_one_sha1_are_both_responses(spark, monkeypatch):
+    monkeypatch.setattr("pyspark.sql.functions.sha1", lambda column: F.lit("0" * 40))
+    rows = [(1, "u", "a" * 2000), (2, "u", "b" * 2000), (3, "u", "b" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert [r["page"] for r in warc.revisits(warc.pack(pages)).collect()] == ["2"]
