@@ -393,6 +393,10 @@ ORACLES: dict[str, str] = {
          lpad(CAST(order_id % 12 AS VARCHAR), 3, '0') AS source, lpad(CAST(order_id % 12 AS VARCHAR), 3, '0') || '.csv'
            AS file
   FROM raw_orders""",
+    "csv_shapes_to_parquet": _with(RAW_ORDERS)
+    + """SELECT CAST(order_id AS INTEGER) AS order_id, customer_text AS customer_id, order_date, order_status
+  FROM raw_orders
+  UNION ALL SELECT CAST(order_id AS INTEGER), NULL, order_date, NULL FROM raw_orders""",
     "parquet_export": _with(PRODUCTS)
     + f"SELECT product_id, product_name, category, {_MONEY.format('list_price')} FROM products",
     "path_append": _with(PRODUCTS)

@@ -24,6 +24,7 @@ from lakemill.sinks import (
     append_table,
     cluster_table,
     convert_csv,
+    convert_each_csv,
     create_schema,
     empty_table_like as make_empty_table,
     export_parquet,
@@ -429,12 +430,12 @@ def _land_csv(df: DataFrame, folder: str, name: str) -> None:
     write_csv(df.select(*RETAIL_COLUMNS[name]), f"{folder}/{name}")
 
 
-def _land_numbered_csv(df: DataFrame, key: str, folder: str, files: int = 12) -> None:
-    """CSV files 000.csv, 001.csv, ... by the remainder of a key."""
-    number = F.lpad((F.col(key).cast("bigint") % files).cast("string"), 3, "0")
+def _land_numbered_csv(df: DataFrame, key: str, folder: str, files: int = 12, first: int = 0) -> None:
+    """CSV files 000.csv, 001.csv, ... by the remainder of a key, or from another first number on."""
+    number = F.lpad((F.col(key).cast("bigint") % files + first).cast("string"), 3, "0")
     numbered = df.withColumn("number", number).repartition(files, "number")
-    write_csv(numbered, f"{folder}/by-number", partition_by=["number"])
-    move_single_files(df.sparkSession, f"{folder}/by-number", "number=", f"{folder}/named", ".csv")
+    write_csv(numbered, f"{folder}/by-number-{first}", partition_by=["number"])
+    move_single_files(df.sparkSession, f"{folder}/by-number-{first}", "number=", f"{folder}/named", ".csv")
 
 
 @_query
@@ -473,6 +474,17 @@ def csv_to_parquet(spark, sf):
     return read_parquet(spark, f"{folder}/parquet")
 
 
+@_query
+def csv_shapes_to_parquet(spark, sf):
+    folder = shared_folder(spark, "convert")
+    orders = b.raw_orders(spark, sf)
+    _land_numbered_csv(orders.select(*RETAIL_COLUMNS["orders"]), "order_id", folder)
+    _land_numbered_csv(orders.select("order_date", "order_id"), "order_id", folder, first=12)
+    written = convert_each_csv(spark, f"{folder}/named", f"{folder}/parquet")
+    whole, dated = spark.read.parquet(*written[:12]), spark.read.parquet(*written[12:])
+    return whole.unionByName(dated, allowMissingColumns=True)
+
+
 @_query
 def parquet_export(spark, sf):
     folder, schema = _scratch(spark, "export")

@@ -35,7 +35,7 @@ def test_every_query_has_an_oracle():
 
 WRITERS = {
     "silver_orders_replaced", "dq_results_log", "documents_from_files", "index_from_files", "bronze_csv_roundtrip",
-    "bronze_appended_twice", "bronze_preview", "csv_to_parquet", "parquet_export", "path_append", "flat_csv_roundtrip",
+    "bronze_appended_twice", "bronze_preview", "csv_to_parquet", "csv_shapes_to_parquet", "parquet_export", "path_append", "flat_csv_roundtrip",
     "flat_parquet_roundtrip", "external_table", "empty_table_like", "clustered_rewrite", "stream_ingest",
     "stream_continuous", "stream_flatten", "bulk_load_idempotent", "medallion_layers", "medallion_results",
     "documents_from_pattern", "no_documents", "clustered_external", "clustered_stream", "shared_target", "zordered_rewrite",

@@ -158,6 +158,46 @@ def test_convert_csv_of_different_shapes(spark, exports):
     assert rows(spark.read.parquet(written[2])) == [(1,), (2,)]
 
 
+def test_many_files_of_a_few_shapes_take_a_few_jobs(spark, tmp_path):
+    heads = ["a,b", "b,a", "x", "a,b,c", '"q,r",s']
+    (tmp_path / "in").mkdir()
+    for i in range(200):
+        width = heads[i % 5].count(",") + (i % 5 != 4)
+        (tmp_path / "in" / f"f {i:03}+%41.csv").write_text(heads[i % 5] + "\n" + ",".join([str(i)] * width) + "\n")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    before = set(jobs())
+    written = sinks.convert_each_csv(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert len(set(jobs()) - before) < 50
+    assert len(written) == 200 and sorted(p.name for p in (tmp_path / "out").iterdir()) == [w.rsplit("/", 1)[-1] for w in written]
+    for i in (0, 1, 2, 3, 4, 199):
+        found = spark.read.parquet(storage.escape_glob(written[i]))
+        assert found.columns == [["a", "b"], ["b", "a"], ["x"], ["a", "b", "c"], ["q,r", "s"]][i % 5]
+        assert rows(found) == [(i,) * len(found.columns)]
+
+
+def test_types_are_those_of_each_file(spark, tmp_path):
+    values = {
+        "int": "1", "bigint": "3000000000", "decimal(38,0)": "12345678901234567890", "double": "1.5", "date": "2024-02-29",
+        "timestamp": "2024-02-29 10:00:00", "boolean": "true", "string": "2024-02-30",
+    }
+    (tmp_path / "in").mkdir()
+    for i, value in enumerate(values.values()):
+        (tmp_path / "in" / f"{i}.csv").write_bytes(f"v,w\r\n{value},\r\n,x\r\n".encode())
+    (tmp_path / "in" / "8.csv").write_text("v,w")
+    written = sinks.convert_each_csv(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    found = [spark.read.parquet(w) for w in written]
+    assert [f.schema["v"].dataType.simpleString() for f in found] == [*values, "string"]
+    assert [f.where("v IS NOT NULL").count() for f in found] == [1] * 8 + [0] and found[8].count() == 0
+    again = sinks.convert_each_csv(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert again == written and spark.read.parquet(again[0]).count() == 2
+    (tmp_path / "in" / "9.csv").write_text("")  # no bytes, no file to Spark
+    assert sinks.convert_each_csv(spark, f"{tmp_path}/in", f"{tmp_path}/out") == written
+    (tmp_path / "in" / "9.csv").write_text("\na\n")
+    with pytest.raises(ValueError, match="has no header"):
+        sinks.convert_each_csv(spark, f"{tmp_path}/in", f"{tmp_path}/none")
+    assert not (tmp_path / "none").exists()
+
+
 def test_tables(spark, schema, tmp_path):
     table = f"{schema}.t"
     sinks.replace_table(spark.range(2), table)
