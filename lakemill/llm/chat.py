@@ -9,9 +9,10 @@ Inside role and text a backslash becomes two, and every control string (``<s>``,
 Dropping each backslash and keeping the character behind it reads both back.
 
 Every assistant turn is an example: ``<s>``, all segments before it as context, then its own segment, of which
-only the escaped reply is trainable.  Examples point into the formatted conversation (``context_chars``,
-``loss_start``, ``loss_chars``), so a conversation of n turns takes n segments and not n^2;
-:func:`render` writes chosen examples out.
+only the escaped reply is trainable.  :func:`expand` gives each with the whole text of its context, so a conversation
+of n turns makes text of the order of n^2.  It is made row by row from the conversation, which meets in one task,
+and only digests of it are shuffled by the query.  Where examples are to be stored without their contexts,
+:func:`render` adds those later.
 
 Defined cases: null roles and texts are empty; a null turn number comes first; rows of equal
 turn number are ordered by role, then text, and repeated rows are turns of their own; a null ``conv_id`` is a
@@ -49,41 +50,59 @@ def format_turns(
 
     Positions count code points; ``loss_chars`` is null for turns that are not trained.
     """
-    escaped = conversations.select(
+    raw = conversations.select(
         F.col(id_col).alias("conv_id"),
         F.col(turn_col).alias("turn"),
         filled(role_col).alias("role"),
         filled(text_col).alias("text"),
-    ).withColumns({"role_part": F.concat(F.lit(ROLE), escape(F.col("role")), F.lit(TEXT)), "reply": escape(F.col("text"))})
-    turns = escaped.withColumn("segment", F.concat("role_part", "reply", F.lit(END)))
+    )
+    # escaped above the window: the shuffle below it carries each text once
+    role_part = F.concat(F.lit(ROLE), escape(F.col("role")), F.lit(TEXT))
+    reply = escape(F.col("text"))
+    segment = F.concat(role_part, reply, F.lit(END))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    length = F.length("segment").cast("bigint")
     trained = F.col("role") == TRAINED
-    return turns.select(
+    return raw.select(
         "conv_id",
         F.row_number().over(order).alias("pos"),
-        "segment",
-        (len(BEGIN) + F.coalesce(F.sum(length).over(before), F.lit(0))).alias("start"),
-        F.when(trained, F.length("role_part")).alias("loss_offset"),
-        F.when(trained, F.length("reply")).alias("loss_chars"),
+        segment.alias("segment"),
+        (len(BEGIN) + F.coalesce(F.sum(F.length(segment).cast("bigint")).over(before), F.lit(0))).alias("start"),
+        F.when(trained, F.length(role_part)).alias("loss_offset"),
+        F.when(trained, F.length(reply)).alias("loss_chars"),
     )
 
 
+def _context(turns: Column, pos: Column) -> Column:
+    """Text of a conversation, given as its turns in order, up to the turn of a position."""
+    earlier = F.slice(turns["segment"], F.lit(1), pos - 1)
+    return F.concat(F.lit(BEGIN), F.array_join(earlier, ""))
+
+
 def expand(turns: DataFrame) -> DataFrame:
-    """One example per assistant turn: context is the conversation's first ``context_chars`` code points."""
-    return turns.where(F.col("loss_chars").isNotNull()).select(
+    """One example per assistant turn: ``context``, the text of all turns before it, and its own segment as ``target``."""
+    said = turns.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "segment", "loss_offset", "loss_chars"))).alias("turns")
+    )
+    own = F.explode(F.filter("turns", lambda t: t["loss_chars"].isNotNull())).alias("own")
+    examples = said.select("conv_id", "turns", own).select(
+        "conv_id", "own", _context(F.col("turns"), F.col("own.pos")).alias("context")
+    )
+    length = F.length("context").cast("bigint")
+    return examples.select(
         "conv_id",
-        F.col("pos").alias("target_pos"),
-        F.col("start").alias("context_chars"),
-        (F.col("start") + F.col("loss_offset")).alias("loss_start"),
-        "loss_chars",
-        F.col("segment").alias("target"),
+        F.col("own.pos").alias("target_pos"),
+        length.alias("context_chars"),
+        (length + F.col("own.loss_offset")).alias("loss_start"),
+        F.col("own.loss_chars").alias("loss_chars"),
+        F.col("own.segment").alias("target"),
+        "context",
     )
 
 
 def render(examples: DataFrame, turns: DataFrame) -> DataFrame:
-    """Whole text of each example, ``context`` and ``target``; writes every context out, so select examples first."""
+    """Chosen examples, whether or not they hold their contexts, with each context read from the turns anew."""
+    examples = examples.drop("context")
     earlier = turns.select(F.col("conv_id").alias("_conv"), "pos", "segment")
     own = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("pos") < F.col("target_pos"))
     joined = examples.join(earlier, own, "left")
@@ -113,20 +132,27 @@ def read_turns(turns: DataFrame) -> DataFrame:
     )
 
 
-def digest(turns: DataFrame) -> DataFrame:
-    """Per conversation the number of turns and digests of what :func:`read_turns` reads back."""
-    read = read_turns(turns).groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "role", "text", "reply"))).alias("turns"),
+def _read_conversations(turns: DataFrame) -> DataFrame:
+    """Per conversation what :func:`read_turns` reads back, in order."""
+    return read_turns(turns).groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "role", "text", "reply", "segment"))).alias("turns"),
         (len(BEGIN) + F.sum(F.length("segment"))).cast("bigint").alias("formatted_chars"),
     )
-    said = F.array_join(
-        F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
-    )
+
+
+def _said() -> Column:
+    """Digest of all roles and texts of a conversation."""
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256")
+
+
+def digest(turns: DataFrame) -> DataFrame:
+    """Per conversation the number of turns and digests of what :func:`read_turns` reads back."""
     replies = F.array_join(F.transform("turns", lambda t: F.coalesce(t["reply"], F.lit(""))), "")
-    return read.select(
+    return _read_conversations(turns).select(
         "conv_id",
         F.size("turns").cast("bigint").alias("n_turns"),
-        F.sha2(said, 256).alias("turns_sha256"),
+        _said(),
         F.length(replies).cast("bigint").alias("loss_chars"),
         F.sha2(replies, 256).alias("loss_sha256"),
         "formatted_chars",
@@ -134,47 +160,53 @@ def digest(turns: DataFrame) -> DataFrame:
 
 
 def digest_examples(turns: DataFrame) -> DataFrame:
-    """As :func:`digest`, but what is trained is read from the examples of :func:`expand`.
+    """As :func:`digest`, but what is trained is read from the text of the examples of :func:`expand`.
 
-    Fails where an example's context is not all turns before it, or a reply is not the target of exactly one.
+    Fails where an example's context is not the text of all turns before it, or a reply is not the target of exactly one.
     """
-    own = F.substring(F.col("target"), (F.col("loss_start") - F.col("context_chars") + 1).cast("int"), F.col("loss_chars"))
-    examples = expand(turns).select(
-        "conv_id", F.col("target_pos").alias("pos"), "context_chars", "target", unescape(own).alias("reply")
+    reply = F.substring(F.concat("context", "target"), (F.col("loss_start") + 1).cast("int"), F.col("loss_chars"))
+    made = expand(turns).select(
+        F.col("conv_id").alias("_conv"),
+        F.struct(
+            F.col("target_pos").alias("pos"),
+            F.col("context_chars").alias("chars"),
+            F.unhex(F.md5("context")).alias("context"),
+            F.unhex(F.md5("target")).alias("target"),
+        ).alias("example"),
+        unescape(reply).alias("reply"),
     )
-    before = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    said = read_turns(turns).select("conv_id", "pos", "segment", "role").withColumn(
-        "context", len(BEGIN) + F.coalesce(F.sum(F.length("segment")).over(before), F.lit(0))
+    read = made.groupBy("_conv").agg(F.array_sort(F.collect_list(F.struct("example", "reply"))).alias("examples"))
+    trained = F.array_join("examples.reply", "")
+    read = read.select(
+        "_conv",
+        F.col("examples.example").alias("made"),
+        F.length(trained).cast("bigint").alias("_loss_chars"),
+        F.sha2(trained, 256).alias("_loss_sha256"),
     )
-    laid = said.where(F.col("role") == TRAINED).select(
-        F.col("conv_id").alias("_conv"), F.col("pos").alias("_pos"), "segment", "context"
-    )
-    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("pos") == F.col("_pos"))
-    right = (F.col("context") == F.col("context_chars")) & (F.col("segment") == F.col("target"))
-    # a reply without an example has no position, an example without a reply no segment
-    met = laid.join(examples, same, "full_outer").select(
-        F.when(F.col("_pos").isNotNull(), F.col("_conv")).otherwise(F.col("conv_id")).alias("_conv"), "pos", "reply",
-        F.coalesce(right, F.lit(False)).alias("right"),
-    )
-    replies = met.groupBy("_conv").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "reply"))).alias("replies"), F.every("right").alias("right")
-    )
-    positions = F.transform("replies", lambda r: r["pos"])
-    whole = F.col("right") & (F.size(F.array_distinct(positions)) == F.size("replies"))
-    trained = F.array_join(F.transform("replies", lambda r: r["reply"]), "")
-    checked = F.when(whole, trained).otherwise(
-        F.raise_error(F.concat(F.lit("the examples do not match the turns of "), F.coalesce(F.col("_conv").cast("string"), F.lit("null"))))
-    )
-    replies = replies.select("_conv", checked.alias("trained"))
-    joined = digest(turns).drop("loss_chars", "loss_sha256").join(
-        replies, F.col("conv_id").eqNullSafe(F.col("_conv")), "left"
+
+    def example(turn: Column) -> Column:
+        context = _context(F.col("turns"), turn["pos"])
+        return F.struct(
+            turn["pos"].alias("pos"),
+            F.length(context).cast("bigint").alias("chars"),
+            F.unhex(F.md5(context)).alias("context"),
+            F.unhex(F.md5(turn["segment"])).alias("target"),
+        )
+
+    wanted = F.transform(F.filter("turns", lambda t: t["role"] == TRAINED), example)
+    said = _read_conversations(turns).select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), _said(), "formatted_chars", wanted.alias("wanted")
     )
-    trained = F.coalesce("trained", F.lit(""))
+    joined = said.join(read, F.col("conv_id").eqNullSafe(F.col("_conv")), "full_outer")
+    # an example of no conversation has no wanted ones beside it
+    right = F.when(F.col("made").isNull(), F.size("wanted") == 0).otherwise(F.col("wanted") == F.col("made"))
+    named = F.coalesce(F.col("conv_id").cast("string"), F.col("_conv").cast("string"), F.lit("null"))
+    fault = F.raise_error(F.concat(F.lit("the examples do not match the turns of "), named))
     return joined.select(
         "conv_id",
-        "n_turns",
+        F.when(F.coalesce(right, F.lit(False)), F.col("n_turns")).otherwise(fault.cast("bigint")).alias("n_turns"),
         "turns_sha256",
-        F.length(trained).cast("bigint").alias("loss_chars"),
-        F.sha2(trained, 256).alias("loss_sha256"),
+        F.coalesce("_loss_chars", F.lit(0).cast("bigint")).alias("loss_chars"),
+        F.coalesce("_loss_sha256", F.sha2(F.lit(""), 256)).alias("loss_sha256"),
         "formatted_chars",
     )

@@ -101,3 +101,27 @@ def test_query_fails_with_wrong_examples(spark, tmp_path, monkeypatch, fault):
     monkeypatch.setattr(chat, "expand", lambda turns: wrong(right(turns)))
     with pytest.raises(Exception, match="do not match the turns of 1"):
         QUERIES["op4_chat_prefix_targets"](spark, str(tmp_path)).collect()
+
+
+def test_examples_hold_the_text_of_all_turns_before(spark):
+    turns = chat.format_turns(frame(spark, ROWS))
+    segments = {}
+    for r in turns.orderBy("conv_id", "pos").collect():
+        segments.setdefault(r.conv_id, []).append(r.segment)
+    examples = chat.expand(turns).collect()
+    assert len(examples) == sum(role == "assistant" for t in conversations(ROWS).values() for role, _ in t)
+    for r in examples:
+        assert r.context == "<s>" + "".join(segments[r.conv_id][: r.target_pos - 1])
+        assert r.context_chars == len(r.context)
+
+
+@pytest.mark.parametrize("change", ["context || ' '", "'<s>'", "null"])
+def test_query_reads_the_text_of_the_contexts(spark, tmp_path, monkeypatch, change):
+    from lakemill.llm.queries import QUERIES
+
+    right = chat.expand
+    frame(spark, ROWS).write.parquet(f"{tmp_path}/conversations.parquet")
+    changed = F.expr(f"case when conv_id = 1 and target_pos = 4 then {change} else context end")
+    monkeypatch.setattr(chat, "expand", lambda turns: right(turns).withColumn("context", changed))
+    with pytest.raises(Exception, match="do not match the turns of 1"):
+        QUERIES["op4_chat_prefix_targets"](spark, str(tmp_path)).collect()
