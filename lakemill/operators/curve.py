@@ -49,38 +49,52 @@ def quantiles(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) -> d
     return ordered.select(*(cuts(c) for c in columns)).first().asDict()
 
 
-def _rank(value: Column, kind: str, cuts: Sequence[str], bits: int) -> Column:
-    """How many cuts are not above the value, by binary search, spread over all of the bits; NULL ranks lowest."""
-    if not cuts:
-        return F.lit(0).cast("bigint")
-    # one literal, which the optimizer turns into an array once
-    sorted_cuts = F.from_json(F.lit(json.dumps(list(cuts))), "array<string>").cast(f"array<{kind}>")
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    found = F.aggregate(
-        F.array(*map(F.lit, steps)),
-        F.lit(0),
-        lambda at, step: F.when(F.get(sorted_cuts, at + step - 1) <= value, at + step).otherwise(at),
+def _with_ranks(
+    df: DataFrame, columns: Sequence[str], cuts: dict[str, list[str]], names: Sequence[str], bits: int
+) -> DataFrame:
+    """Rows with how many cuts of each column are not above its value, spread over all of the bits; NULL ranks lowest.
+
+    A binary search of one column a step, which stays inside generated code, unlike a lambda over the steps.
+    """
+    values = {name: f"{name}_value" for name in names}
+    found = df.withColumns({values[name]: _ranked(df, c) for name, c in zip(names, columns)}).withColumns(
+        {name: F.lit(0) for name in names}
     )
+    sorted_cuts = {}
+    for name, c in zip(names, columns):
+        # one literal, which the optimizer turns into an array once
+        as_text = F.from_json(F.lit(json.dumps(list(cuts[c]))), "array<string>")
+        sorted_cuts[name] = as_text.cast(f"array<{df.schema[c].dataType.simpleString()}>")
+    for i in reversed(range(max(len(cuts[c]) for c in columns).bit_length())):
+        step = 1 << i
+        found = found.withColumns({
+            name: F.when(
+                F.get(sorted_cuts[name], F.col(name) + (step - 1)) <= F.col(values[name]), F.col(name) + step
+            ).otherwise(F.col(name))
+            for name, c in zip(names, columns) if step <= len(cuts[c])
+        })
     # few distinct values would only reach the lowest bits, which count for nothing beside another column's
-    spread = F.floor(found.cast("bigint") * (1 << bits) / (len(cuts) + 1)).cast("bigint")
-    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(spread)
+    spread = {
+        name: F.floor(F.col(name).cast("bigint") * (1 << bits) / (len(cuts[c]) + 1)).cast("bigint")
+        for name, c in zip(names, columns)
+    }
+    return found.withColumns({
+        name: F.when(F.col(values[name]).isNull(), F.lit(0).cast("bigint")).otherwise(spread[name]) for name in names
+    }).drop(*values.values())
 
 
 def with_position(df: DataFrame, columns: Sequence[str], name: str, bits: int = RANK_BITS) -> DataFrame:
     """Rows with their position on the curve through some columns."""
     if bits * len(columns) > 62:
         raise ValueError(f"{len(columns)} columns of {bits} bits do not fit into a position of 62")
-    cuts = quantiles(df, columns, bits)
-    ranks = {
-        f"{name}_rank{i}": _rank(_ranked(df, c), df.schema[c].dataType.simpleString(), cuts[c], bits)
-        for i, c in enumerate(columns)
-    }
+    ranks = [f"{name}_rank{i}" for i in range(len(columns))]
+    ranked = _with_ranks(df, columns, quantiles(df, columns, bits), ranks, bits)
     position = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i, rank in enumerate(ranks):
             one = F.shiftright(rank, bit).bitwiseAND(F.lit(1))
             position = position.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - i))
-    return df.withColumns(ranks).withColumn(name, position).drop(*ranks)
+    return ranked.withColumn(name, position).drop(*ranks)
 
 
 def along_curve(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = RANK_BITS) -> DataFrame:

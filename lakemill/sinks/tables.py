@@ -61,8 +61,19 @@ def empty_table_like(
     )
 
 
-#: Size of the files that clustering aims at.
+#: Largest size of the files that clustering aims at.
 CLUSTERED_FILE_BYTES = 256 << 20
+#: Size of files down to which a table is spread over all cores.
+SPREAD_FILE_BYTES = 8 << 20
+
+
+def clustered_files(size: int, cores: int) -> int:
+    """Files of a clustered table of some bytes, each sorted and written by a task of its own.
+
+    As many as there are cores, or a multiple of that where files would be too large, so that no core waits for the last ones.
+    """
+    files = max(cores, -(-size // CLUSTERED_FILE_BYTES))
+    return max(1, min(-(-files // cores) * cores, -(-size // SPREAD_FILE_BYTES)))
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -88,7 +99,7 @@ def _rewrite(
     if path_exists(spark, f"{location}/_spark_metadata"):
         raise ValueError(f"{table} is the target of a stream; cluster a copy of it")
     if partitions is None:
-        partitions = max(1, -(-folder_bytes(spark, location) // CLUSTERED_FILE_BYTES))
+        partitions = clustered_files(folder_bytes(spark, location), spark.sparkContext.defaultParallelism)
     staging, retired = f"{location}__clustering", f"{location}__before"
     # a listing from before other writers' files would lose them
     spark.catalog.refreshTable(table)
@@ -108,7 +119,7 @@ def cluster_table(
 ) -> None:
     """Rewrite a table, managed or external, in range order of some columns, for tight file statistics of the first.
 
-    Files have about ``CLUSTERED_FILE_BYTES`` unless ``partitions`` is given.  The row number of the scan is the last
+    There are :func:`clustered_files` unless ``partitions`` is given.  The row number of the scan is the last
     range key: it lets a value that fills a third of the table span several tasks, and it stays the same when a
     lost task is repeated.
     """

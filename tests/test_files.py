@@ -261,3 +261,35 @@ def test_the_curve_takes_every_type_nulls_and_hot_values(spark, schema, tmp_path
     assert along_curve(hot.limit(0), ("a", "b"), 3).count() == 0
     with pytest.raises(ValueError, match="do not fit"):
         along_curve(hot, ("a",) * 7, 3)
+
+
+def test_clustering_spreads_a_table_over_all_cores(spark, schema, tmp_path, monkeypatch):
+    from lakemill.sinks import tables
+
+    cores = spark.sparkContext.defaultParallelism
+    mb = 1 << 20
+    assert [tables.clustered_files(size * mb, 12) for size in (0, 1, 20, 1000, 3100, 6500)] == [1, 1, 3, 12, 24, 36]
+    monkeypatch.setattr(tables, "SPREAD_FILE_BYTES", 100)
+    data = spark.range(5000).selectExpr("id % 7 AS k", "id")
+    for way in (sinks.cluster_table, sinks.zorder_table):
+        data.coalesce(1).write.mode("overwrite").saveAsTable(f"{schema}.t")
+        way(spark, f"{schema}.t", ("k", "id"))
+        assert len(list((tmp_path / "tables" / "t").glob("*.parquet"))) == cores
+        assert rows(spark.table(f"{schema}.t")) == rows(data)
+
+
+def test_positions_on_the_curve_are_ranks_among_the_cuts(spark):
+    from bisect import bisect_right
+
+    from lakemill.operators.curve import quantiles, with_position
+
+    data = spark.range(3000).selectExpr("if(id % 11 = 0, null, id * 7919 % 3000) AS a", "concat('n', id % 5) AS b")
+    cuts = quantiles(data, ("a", "b"), 4)
+
+    def rank(value, of):
+        return 0 if value is None else bisect_right(of, value) * 16 // (len(of) + 1)
+
+    a_cuts, b_cuts = [int(c) for c in cuts["a"]], cuts["b"]
+    for r in with_position(data, ("a", "b"), "at", 4).collect():
+        ranks = rank(r.a, a_cuts), rank(r.b, b_cuts)
+        assert r["at"] == sum(((ranks[i] >> bit) & 1) << (bit * 2 + 1 - i) for bit in range(4) for i in (0, 1))
