@@ -55,6 +55,8 @@ FILE_IDS = 1 << 24
 TASK_BYTES = 64 << 20
 #: Pieces of a generation that a task remembers, and the longest of them.
 HELD_PIECES, HELD_CHARS = 400_000, 32
+#: Marks and beginnings of lines that a task remembers.
+HELD_RUNS = 100_000
 #: Characters of a text that are encoded at a time.
 WINDOW_CHARS = 1 << 20
 MAGIC = b"PFORIDS1"
@@ -117,6 +119,29 @@ class Encoder:
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _letters(self, letters: str) -> bytes:
+        """Ids of letters behind a blank, which are a piece of their own elsewhere."""
+        ids = self.known.get(letters)
+        if ids is None:
+            ids = self.older.get(letters)
+            if ids is None:
+                ids = array("I", [t.id for t in self.model.tokenize(f" {letters}".translate(_SPELLED))]).tobytes()
+            if len(letters) <= HELD_CHARS:
+                self.known[letters] = ids
+        return ids
+
+    def _run(self, run: str) -> bytes:
+        """Ids of marks, a line feed or letters behind it."""
+        ids = self.runs.get(run)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(run.translate(_SPELLED))]).tobytes()
+            if len(run) <= HELD_CHARS:
+                if len(self.runs) >= HELD_RUNS:
+                    self.runs.clear()
+                self.runs[run] = ids
+        return ids
 
     def _encode(self, texts: list[str]) -> dict[str, bytes]:
         done: dict[str, bytes] = {}
@@ -129,13 +154,19 @@ class Encoder:
     def _word(self, word: re.Match) -> bytes:
         """Ids of a matched :data:`_WORD` behind a blank, run by run as the tokenizer's own splitting has them."""
         letters, marks, next_letters, next_marks = word.groups()
-        runs = [f" {letters}", marks] if next_letters is None else [f" {letters}", marks, "\n", next_letters, next_marks]
-        return array("I", [t.id for run in runs if run for t in self.model.tokenize(run.translate(_SPELLED))]).tobytes()
+        ids = self._letters(letters)
+        if marks:
+            ids += self._run(marks)
+        if next_letters is not None:
+            ids += self._run("\n") + self._run(next_letters)
+            if next_marks:
+                ids += self._run(next_marks)
+        return ids
 
     def _look_up(self, pieces: list[str], found: list[bytes | None], later: bool) -> list[int]:
         """Fill in what is older or a word; the places that are left."""
         others = []
-        known, older, tokens = self.known, self.older, self.model.tokenize
+        known, older = self.known, self.older
         for i in [i for i, ids in enumerate(found) if ids is None]:
             piece = pieces[i]
             if not (i or later):
@@ -145,8 +176,9 @@ class Encoder:
             if ids is None:
                 if word := _PLAIN.fullmatch(piece):
                     letters, marks = word.groups()
-                    run = tokens("\u0120" + letters)
-                    ids = array("I", [t.id for t in (run + tokens(marks) if marks else run)]).tobytes()
+                    ids = self._letters(letters)
+                    if marks:
+                        ids += self._run(marks)
                 elif word := _WORD.fullmatch(piece):
                     ids = self._word(word)
                 else:

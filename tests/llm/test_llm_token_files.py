@@ -150,3 +150,19 @@ def test_files_of_a_repeated_task_are_not_read(spark):
 def test_no_documents(spark):
     root = archive_folder(spark, "token-ids")
     assert tf.read(tf.write(frame(spark, [], 1), root, PATH), root).collect() == []
+
+
+def test_letters_and_marks_are_each_tokenized_once():
+    encoder = tf.Encoder(PATH)
+    plain, seen = encoder.tokenizer.model, []
+
+    class Counted:
+        def tokenize(self, run):
+            seen.append(run)
+            return plain.tokenize(run)
+
+    encoder.model = Counted()
+    text = "start word word, word. word; other, other. other\nword. été, été. word,\nother, end"
+    expected = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder(text).tolist() == expected
+    assert len(seen) == len(set(seen)) > 0
