@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from lakemill.plans import gold
 
 CUSTOMERS = "customer_id long, first_name string, last_name string, email string, country string"
@@ -89,3 +89,18 @@ def test_empty_tables(tables):
     none = tables["sales"].where(F.lit(False))
     assert gold.daily_revenue(tables["orders"], none).count() == 0
     assert {r.lifetime_spend for r in gold.customer_360(tables["customers"], tables["orders"], none).collect()} == {None}
+
+
+def test_the_daily_mart_does_not_copy_its_orders(tables):
+    assert "Expand" not in plan_of(gold.daily_revenue(tables["orders"], tables["sales"]))
+
+
+def test_an_order_of_several_customers_counts_once_a_day(spark):
+    import datetime as dt
+
+    day = dt.date(2024, 3, 1)
+    orders = spark.createDataFrame([(1, 7, day, ""), (1, 8, day, ""), (1, 8, day, ""), (1, None, None, ""), (None, 9, day, "")], ORDERS)
+    sales = spark.createDataFrame([(1, 1, 1, 1, Decimal("1.00")), (2, None, 1, 1, Decimal("5.00"))], SALES)
+    assert rows(gold.daily_revenue(orders, sales)) == [
+        (None, Decimal("1.00"), 1, 1, 0), (day, Decimal("3.00"), 3, 1, 2),
+    ]

@@ -81,6 +81,18 @@ def test_a_failed_stage_stops_the_run(spark, run, tmp_path):
     assert not spark.catalog.tableExists(run.table("silver", "customers"))
 
 
+def test_marts_share_the_sums_per_order(spark, run, monkeypatch):
+    from lakemill.plans import gold as marts
+
+    made, kept = [], spark.sparkContext._jsc.getPersistentRDDs().size()
+    plain = marts.order_totals
+    monkeypatch.setattr(marts, "order_totals", lambda sales: made.append(sales) or plain(sales))
+    run = run()
+    medallion.build_layers(spark, run)
+    assert len(made) == 1 and gold(spark, run, "daily_revenue")[0][1:] == (Decimal("48.50"), 3, 2, 1)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
 def test_run_parameters():
     assert RetailRun("l", catalog="c").table("gold", "m") == "c.gold.m"
     with pytest.raises(ValueError):
