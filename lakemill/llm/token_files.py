@@ -15,8 +15,8 @@ for, encoded and written there at once, so texts are shuffled once and ids never
 uniquely and reports them; only the manifest, which rows of succeeded tasks reach, says which files count, so
 a lost or repeated task leaves files that nobody reads.  First ids of files are running sums over the manifest.
 
-Texts are encoded by a byte-level tokenizer in pieces that end before a blank between two visible characters, where its own
-splitting always ends a piece as well, so equal pieces are encoded once and a long text never as one string.
+Texts are encoded by a byte-level tokenizer in pieces that end before a blank or a line feed between two visible characters, where
+its own splitting always ends a piece as well, so equal pieces are encoded once and a long text never as one string.
 
 Defined cases: a null text is an empty one and has the end id only; a null document id comes first; rows of equal id are
 in the order of a hash of their text, repeated rows beside each other; names of special tokens inside a
@@ -53,9 +53,9 @@ CHUNK = 2048 * BLOCK
 FILE_IDS = 1 << 24
 #: Text that one task encodes.
 TASK_BYTES = 64 << 20
-#: Pieces of a generation that a task remembers, and the longest of them.
+#: Pieces of a generation that a Python worker remembers, and the longest of them.
 HELD_PIECES, HELD_CHARS = 400_000, 32
-#: Marks and beginnings of lines that a task remembers.
+#: Marks and beginnings of lines that a Python worker remembers.
 HELD_RUNS = 100_000
 #: Characters of a text that are encoded at a time.
 WINDOW_CHARS = 1 << 20
@@ -65,15 +65,14 @@ _HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("count", "u1"), ("exceptio
 _POWERS = np.uint64(1) << np.arange(32, dtype=np.uint64)
 _TRAILER = struct.Struct("<QQQQ8s")
 _VISIBLE = "[!-~\u00c0-\u024f]"
-_LETTERS, _MARKS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)", r"([!-/:-@\[-`{-~]*)"
-#: Letters and marks behind them, perhaps twice with a line feed between: runs that are never split otherwise.
-_PLAIN = re.compile(f"([A-Za-z]+){_MARKS}")
-_WORD = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
+#: Letters whose spelling is known, and marks that may stand behind them: runs that are never split otherwise.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _CUT = re.compile(f"(?<={_VISIBLE})(?= {_VISIBLE})")
 
 
 def _spelling() -> dict[int, str]:
-    """How a byte-level tokenizer spells the characters of :data:`_WORD`: visible bytes as themselves, the others from U+0100 on."""
+    """How a byte-level tokenizer spells line feeds, marks and the characters of :data:`_LETTERS`: visible bytes as themselves, the others from U+0100 on."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     hidden = [b for b in range(256) if b not in shown]
     byte = {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
@@ -87,6 +86,11 @@ def _visible(char: str) -> bool:
     return "!" <= char <= "~" or "\u00c0" <= char <= "\u024f"
 
 
+def _bounded(piece: str) -> bool:
+    """Whether a piece begins, but for a line feed, and ends in visible characters, so that it is cut from its neighbours."""
+    return _visible(piece[-1:]) and _visible(piece[1:2] if piece[:1] == "\n" else piece[:1])
+
+
 def _windows(text: str) -> Iterator[str]:
     """A long text in parts that end where pieces end."""
     start = 0
@@ -105,7 +109,7 @@ def _pieces(text: str) -> list[str]:
 class Encoder:
     """Ids of whole texts.
 
-    A piece is known by what follows its blank.  Pieces seen of late are looked up: two generations of at most
+    A piece is known by what follows its blank, or by its line feed and what follows that.  Pieces seen of late are looked up: two generations of at most
     ``HELD_PIECES``, of which the older is forgotten when the younger is full.
     """
 
@@ -121,17 +125,6 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
-    def _letters(self, letters: str) -> bytes:
-        """Ids of letters behind a blank, which are a piece of their own elsewhere."""
-        ids = self.known.get(letters)
-        if ids is None:
-            ids = self.older.get(letters)
-            if ids is None:
-                ids = array("I", [t.id for t in self.model.tokenize(f" {letters}".translate(_SPELLED))]).tobytes()
-            if len(letters) <= HELD_CHARS:
-                self.known[letters] = ids
-        return ids
-
     def _run(self, run: str) -> bytes:
         """Ids of marks, a line feed or letters behind it."""
         ids = self.runs.get(run)
@@ -151,22 +144,10 @@ class Encoder:
             done.update((t, array("I", f.ids).tobytes()) for t, f in zip(part, found, strict=True))
         return done
 
-    def _word(self, word: re.Match) -> bytes:
-        """Ids of a matched :data:`_WORD` behind a blank, run by run as the tokenizer's own splitting has them."""
-        letters, marks, next_letters, next_marks = word.groups()
-        ids = self._letters(letters)
-        if marks:
-            ids += self._run(marks)
-        if next_letters is not None:
-            ids += self._run("\n") + self._run(next_letters)
-            if next_marks:
-                ids += self._run(next_marks)
-        return ids
-
     def _look_up(self, pieces: list[str], found: list[bytes | None], later: bool) -> list[int]:
-        """Fill in what is older or a word; the places that are left."""
+        """Fill in what is older, or letters and marks, run by run as the tokenizer's own splitting has them; the places that are left."""
         others = []
-        known, older = self.known, self.older
+        known, older, run = self.known, self.older, self._run
         for i in [i for i, ids in enumerate(found) if ids is None]:
             piece = pieces[i]
             if not (i or later):
@@ -174,16 +155,27 @@ class Encoder:
                 continue
             ids = older.get(piece)
             if ids is None:
-                if word := _PLAIN.fullmatch(piece):
-                    letters, marks = word.groups()
-                    ids = self._letters(letters)
-                    if marks:
-                        ids += self._run(marks)
-                elif word := _WORD.fullmatch(piece):
-                    ids = self._word(word)
-                else:
+                line = piece[:1] == "\n"
+                letters = (piece[1:] if line else piece).rstrip(_MARKS)
+                if not letters.isalpha():
                     others.append(i)
                     continue
+                marks = piece[len(letters) + line :]
+                if not line:
+                    # letters behind a blank are a piece of their own elsewhere
+                    ids = known.get(letters) or older.get(letters)
+                if ids is None:
+                    if not (letters.isascii() or _LETTERS.fullmatch(letters)):
+                        others.append(i)
+                        continue
+                    if line:
+                        ids = run("\n") + run(letters)
+                    else:
+                        ids = array("I", [t.id for t in self.model.tokenize(f" {letters}".translate(_SPELLED))]).tobytes()
+                if marks:
+                    if not line and len(letters) <= HELD_CHARS:
+                        known[letters] = ids
+                    ids += run(marks)
             found[i] = ids
             if len(piece) <= HELD_CHARS:
                 known[piece] = ids
@@ -191,24 +183,30 @@ class Encoder:
 
     def _window(self, text: str, later: bool) -> bytes:
         """Ids of a window; a later one begins with the blank of its first piece."""
-        pieces = text[later:].split(" ")
-        found = list(map(self.known.get, pieces))
-        if not later:
-            found[0] = None  # has no blank before it
-        others = self._look_up(pieces, found, later)
-        # known pieces and words begin and end in visible characters, so a cut can only be wrong beside others
-        if any(not pieces[i] or not (_visible(pieces[i][0]) and _visible(pieces[i][-1])) for i in others):
-            pieces = _pieces(text[later:])
+        text = text[later:]
+        # a piece that begins with a line feed has no blank before it; blanks before one are left to the other cuts
+        certain = " \n" not in text
+        if certain:
+            single = text[:1] != "\n" and text[-1:] != "\n" and not ("\n\n" in text or "\n " in text or "\r" in text)
+            pieces = (text.replace("\n", " \n") if single else text).split(" ")
+            found = list(map(self.known.get, pieces))
+            if not later:
+                found[0] = None  # has no blank before it
+            others = self._look_up(pieces, found, later)
+            # known pieces and words are bounded, so a cut can only be wrong beside others
+            certain = all(_bounded(pieces[i]) for i in others)
+        if not certain:
+            pieces = _pieces(text)
             found = list(map(self.known.get, pieces))
             if not later:
                 found[0] = None
             others = self._look_up(pieces, found, later)
         if others:
-            keys = {i: f" {pieces[i]}" if i or later else pieces[i] for i in others}
+            keys = {i: f" {pieces[i]}" if (i or later) and pieces[i][:1] != "\n" else pieces[i] for i in others}
             learnt = self._encode(list(set(keys.values())))
             for i, key in keys.items():
                 found[i] = learnt[key]
-                if key[:1] == " " and (i or later) and 0 < len(pieces[i]) <= HELD_CHARS and _visible(pieces[i][0]) and _visible(pieces[i][-1]):
+                if (i or later) and len(pieces[i]) <= HELD_CHARS and _bounded(pieces[i]):
                     self.known[pieces[i]] = found[i]
         if len(self.known) > HELD_PIECES:
             self.known, self.older = {}, self.known
@@ -224,6 +222,18 @@ class Encoder:
         return np.frombuffer(b"".join(parts), np.uint32)
 
 
+_HELD: dict[tuple[str, int], Encoder] = {}
+
+
+def _held_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which Spark gives one task after another; only the last one asked for is held."""
+    key = (path, os.stat(path).st_mtime_ns)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = Encoder(path)
+    return _HELD[key]
+
+
 def _bit_length(values: np.ndarray) -> np.ndarray:
     return np.searchsorted(_POWERS, values, side="right")
 
@@ -396,7 +406,7 @@ def _writer(root: str, tokenizer: str, end_id: int, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = arrow_fs.FileSystem.from_uri(root)
         store.create_dir(base, recursive=True)
-        encoder, end = Encoder(tokenizer), np.array([end_id], np.uint32)
+        encoder, end = _held_encoder(tokenizer), np.array([end_id], np.uint32)
         out, name, part, number = None, None, None, 0
 
         def closed() -> pa.RecordBatch:

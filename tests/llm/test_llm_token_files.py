@@ -166,3 +166,34 @@ def test_letters_and_marks_are_each_tokenized_once():
     expected = encoder.tokenizer.encode(text, add_special_tokens=False).ids
     assert encoder(text).tolist() == expected
     assert len(seen) == len(set(seen)) > 0
+
+
+def test_lines_do_not_join_their_words():
+    encoder, words = tf.Encoder(PATH), ["alpha", "beta.", "Gamma", "été,", "1234", "don't", "-x"]
+    lines = [f"{a}\n{b}" for a in words for b in words]
+    text = " ".join(["start", *lines])
+    assert encoder(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    # a word behind a blank, its letters, a word behind a line feed
+    assert len(encoder.known) <= 3 * len(words)
+
+
+def test_a_worker_keeps_its_encoder(tmp_path):
+    import os
+    import shutil
+
+    assert tf._held_encoder(PATH) is tf._held_encoder(PATH)
+    other = str(shutil.copy(PATH, tmp_path / "other.json"))
+    first = tf._held_encoder(other)
+    os.utime(other, ns=(1, 1))
+    assert tf._held_encoder(other) is not first and len(tf._HELD) == 1
+
+
+BREAKS = ["\n", "\n\n", " \n", "\n ", "\r\n", "\t\n", " ", "  "]
+PARTS = ["word", "Straße,", "a×", "a×,", "×", "1234,", "12", "don't,", "'s", "-", "“so”", "日本,", "ªº", "µ,", "end.", "", "\x00", "É!"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(PARTS), st.sampled_from(BREAKS)), max_size=25))
+def test_pieces_between_lines_give_the_ids_of_the_whole_text(parts):
+    text, encoder = "".join(a + b for a, b in parts), _encoder()
+    assert encoder(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
