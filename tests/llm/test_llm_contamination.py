@@ -103,3 +103,23 @@ def test_no_python_runs(spark):
     items = spark.createDataFrame(items, "item_id bigint, text string")
     plan = contamination.find_contamination(frame(spark, rows), items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_words_are_cut_as_by_the_expression(spark):
+    texts = ["".join(map(chr, range(300))), "A\0b \x7fÜx\U0001f600y,C9_d`e{f", "", None, " \t", "é", "\x85\xa0a b"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r.w for r in df.select(contamination.terms_of("text").alias("w")).collect()] == [words(t) for t in texts]
+
+
+def test_index_cuts_each_text_once(spark, monkeypatch):
+    plans = []
+
+    def kept(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(contamination, "keep", kept)
+    rows = [(1, "a b", "en", "s"), (2, None, "en", "s"), (3, ".", "en", "s")]
+    index = contamination.build_index(frame(spark, rows))
+    assert sorted((r.term, r.pos) for r in index.collect()) == [("a", 0), ("b", 1)]
+    assert "regexp_extract_all(" not in plans[0] and plans[0].count("translate(") == 1
