@@ -27,10 +27,9 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +52,11 @@ ALPHABET = " abcdefghijklmnopqrstuvwxyzабвгдежзийклмнопрсту
 FREQUENT_WORDS = 100_000
 #: Root of the deviance at which a word's log-odds shrink to zero.
 DOUBT = 3.0
-HELD_WORDS = 200_000
+#: Distinct words that a task counts at a time.
+HELD_WORDS = 50_000
+#: Tokens that a task remembers as words that read as they are written, and those that it remembers another reading of.
+PLAIN_WORDS = 200_000
+DECODED = 32_768
 
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 _LOOK = re.escape("".join(LOOKALIKES))
@@ -188,7 +191,8 @@ class Restorer:
 
     def __init__(self, model: CharModel):
         self.model = model
-        self.decode = lru_cache(maxsize=200_000)(self._decode)
+        self.plain: set[str] = set()
+        self.decode = lru_cache(maxsize=DECODED)(self._decode)
 
     def _decode(self, token: str, spelled: bool = False) -> tuple[str, ...]:
         token = _folded(token)
@@ -202,7 +206,17 @@ class Restorer:
         if not text:
             return set()
         tokens, spelled = written_tokens(text)
-        found = set(chain.from_iterable(map(self.decode, set(tokens))))
+        tokens = set(tokens)
+        found = tokens & self.plain
+        for token in tokens - found:
+            read = (token,)
+            if not (token.isascii() and token.isalpha()) or _TRIPLE.search(token):
+                read = self.decode(token)
+            if read == (token,):
+                self.plain.add(token)
+            found.update(read)
+        if len(self.plain) > PLAIN_WORDS:
+            self.plain.clear()
         return found.union(*(self.decode(t, True) for t in spelled))
 
 
@@ -222,26 +236,26 @@ def count_trigrams(words: Counter) -> np.ndarray:
     return np.bincount(codes, times[:-2], len(ALPHABET) ** 3).astype(np.int64)
 
 
-def _counted_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _counted_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
     total = np.zeros(len(ALPHABET) ** 3, np.int64)
     for batch in batches:
         for text in batch["text"]:
-            if text:
+            if text := text.as_py():
                 words.update(filter(str.isalpha, written_tokens(text)[0]))
-        if len(words) > HELD_WORDS:
-            total += count_trigrams(words)
-            words.clear()
+                if len(words) > HELD_WORDS:
+                    total += count_trigrams(words)
+                    words.clear()
     if words:
         total += count_trigrams(words)
     found = np.flatnonzero(total)
-    yield pd.DataFrame({"code": found.astype(np.int32), "n": total[found]})
+    yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(total[found])], ["code", "n"])
 
 
 def learn_characters(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Counts ``n`` of character trigrams (``code``) over the words of all texts; at most 60^3 rows."""
     texts = docs.select(F.col(text_col).alias("text"))
-    counted = texts.mapInPandas(_counted_trigrams, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(_counted_trigrams, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
     return keep(counted, "trigrams")
 
 
@@ -253,11 +267,11 @@ def restored_words(docs: DataFrame, model: CharModel, text: Column) -> Column:
     """The distinct restored words of a text, sorted, with blanks between: 64-bit hashes, which do not compress, take more."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         restorer = Restorer(sent.value)
         for texts in batches:
-            yield pd.Series([" ".join(sorted(restorer.words(text))) for text in texts], dtype=object)
+            yield pa.array((" ".join(sorted(restorer.words(t.as_py()))) for t in texts), pa.string(), size=len(texts))
 
     return words(text)
 
@@ -333,14 +347,18 @@ def score(rows: DataFrame, words: DataFrame, none: float, words_col: str = "word
     frequent, others_left = _frequent(words)
     sent = rows.sparkSession.sparkContext.broadcast({r["word"]: r["weight"] for r in frequent.collect()})
 
-    @F.pandas_udf("struct<odds: double, others: string>")
-    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<odds: double, others: string>")
+    def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = sent.value
         for batch in batches:
-            found = [text.split(" ") for text in batch]
-            odds = [math.fsum(known.get(w, 0.0) for w in each) for each in found]
-            others = [" ".join(w for w in each if w not in known) if others_left else "" for each in found]
-            yield pd.DataFrame({"odds": odds, "others": others})
+            odds, others = [], []
+            # the words of one row at a time: those of a batch would be many times its text
+            for text in batch:
+                each = text.as_py().split(" ")
+                odds.append(math.fsum(known.get(w, 0.0) for w in each))
+                others.append(" ".join(w for w in each if w not in known) if others_left else "")
+            columns = [pa.array(odds, pa.float64()), pa.array(others, pa.string())]
+            yield pa.StructArray.from_arrays(columns, ["odds", "others"])
 
     kept = [c for c in rows.columns if c != words_col]
     weighed = rows.select(*kept, weigh(words_col).alias("_w"))

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from llm_cases import SCHEMA, frame, messy
 from pyspark.sql import functions as F
@@ -169,3 +170,23 @@ def test_no_rows_or_one_label(spark, learned):
         words, none = toxicity.learn_words(one_label)
         assert words.isEmpty() and none == -math.inf
     assert toxicity.Restorer(model).words("a") == {"a"}
+
+
+def test_a_task_holds_few_words_of_a_large_batch(monkeypatch):
+    held, count = [], toxicity.count_trigrams
+    monkeypatch.setattr(toxicity, "HELD_WORDS", 10)
+    monkeypatch.setattr(toxicity, "count_trigrams", lambda words: held.append(len(words)) or count(words))
+    texts = [" ".join("abcdefgh"[i % 8] * (j + 1) + "x" * i for j in range(4)) for i in range(200)] + [None]
+    batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
+    (found,) = toxicity._counted_trigrams(iter([batch]))
+    assert max(held) <= 10 + 4
+    expected = count(Counter(w for t in texts if t for w in t.split()))
+    assert dict(zip(*found.to_pydict().values())) == {c: n for c, n in enumerate(expected.tolist()) if n}
+
+
+def test_remembered_readings_are_bounded_and_change_nothing(monkeypatch):
+    monkeypatch.setattr(toxicity, "PLAIN_WORDS", 5)
+    restorer = toxicity.Restorer(toxicity.CharModel([]))
+    for text in ["ab cd ef gh", "ij kl mn op", "ab m0ron morooon й ab", "ab m0ron morooon й ab"] * 2:
+        assert restorer.words(text) == toxicity.Restorer(restorer.model).words(text)
+        assert len(restorer.plain) <= 5
